@@ -19,8 +19,10 @@ def py_fixed(x: Column | str, digits: int = 0) -> Column:
     Python rounds the exact binary value, ties to even; Spark's `bround` and
     `format_string` round the shortest decimal form half-up or half-even, which
     differs for values such as 0.35. Here x * 10**digits is formed exactly as
-    p + e (Dekker's product with a Veltkamp split, valid while p < 2**52), and
-    the rounding decision uses e whenever p sits exactly on a half.
+    p + e (Dekker's product with a Veltkamp split) and rounded to an integer n:
+    below 2**52, p's fraction decides and e only breaks an exact half; from
+    2**52 on, p is an integer and e (then up to one ulp of p) is rounded on
+    its own. Exact while x * 10**digits < 2**63.
     """
     x = _col(x).cast("double")
     m = float(10**digits)
@@ -33,7 +35,11 @@ def py_fixed(x: Column | str, digits: int = 0) -> Column:
     fl = F.floor(p)
     d = p - fl
     up = (d > 0.5) | ((d == 0.5) & ((e > 0) | ((e == 0) & (F.pmod(fl, F.lit(2)) == 1))))
-    n = fl + up.cast("bigint")
+    ef = F.floor(e)
+    er = e - ef
+    base = fl + ef
+    up_large = (er > 0.5) | ((er == 0.5) & (F.pmod(base, F.lit(2)) == 1))
+    n = F.when(p < F.lit(2.0**52), fl + up.cast("bigint")).otherwise(base + up_large.cast("bigint"))
     if digits == 0:
         body = n.cast("string")
     else:

@@ -74,18 +74,22 @@ def repair_text(c: Column | str, mode: str = "strict") -> Column:
     c = _col(c)
     if mode == "strict":
         once = F.coalesce(_decode_or_null(latin1_bytes(c)), c)
-        return F.coalesce(_decode_or_null(latin1_bytes(once)), once)
-    if mode != "compat":
+        repaired = F.coalesce(_decode_or_null(latin1_bytes(once)), once)
+    elif mode == "compat":
+        d1 = _decode_replacing(latin1_bytes(c))
+        d2 = _decode_replacing(latin1_bytes(d1))
+        repaired = (
+            F.when(c.isNull(), F.lit(None).cast("string"))
+            .when(d1.isNull() | (d1 == c) | d1.contains("?"), c)
+            .when(d2.isNull(), c)
+            .when((d2 != d1) & ~d2.contains("?"), d2)
+            .otherwise(d1)
+        )
+    else:
         raise ValueError(f"unknown repair mode: {mode!r}")
-    d1 = _decode_replacing(latin1_bytes(c))
-    d2 = _decode_replacing(latin1_bytes(d1))
-    return (
-        F.when(c.isNull(), F.lit(None).cast("string"))
-        .when(d1.isNull() | (d1 == c) | d1.contains("?"), c)
-        .when(d2.isNull(), c)
-        .when((d2 != d1) & ~d2.contains("?"), d2)
-        .otherwise(d1)
-    )
+    # Pure ASCII (as many bytes as characters) is its own repair in both modes;
+    # skipping the regex and codec work for it keeps the common case cheap.
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(repaired)
 
 
 def is_lower(w: Column) -> Column:

@@ -25,17 +25,19 @@ def rollup_locations(per_state: DataFrame, keys: Sequence[str], additive: Sequen
     """Turn an aggregate keyed by `("state", *keys)` into one keyed by `("location", *keys)`.
 
     Each non-NULL state becomes its own location; "Nationwide" is re-aggregated
-    from the same per-state partial results (so NULL states count there). The
-    measures must be additive (counts, sums). Both branches read the same
-    per-state aggregate, whose shuffle Spark computes once and reuses; the raw
-    rows are aggregated a single time instead of once per grouping set.
+    from the same per-state results (so NULL states count there). The measures
+    must be additive (counts, sums).
+
+    Each per-state row is emitted twice, under its state and under
+    "Nationwide", and the copies are summed by location. The raw rows are
+    therefore aggregated once (a GROUPING SETS plan would expand every raw row
+    before the partial aggregate), and the second aggregate only sees the
+    per-state result. A union of a filtered and a re-aggregated branch would
+    scan the fact table twice: Catalyst pushes the `state IS NOT NULL` filter
+    into one branch, so the two branches no longer share their exchange.
     """
     keys = list(keys)
     additive = list(additive)
-    states = per_state.where(F.col("state").isNotNull()).select(
-        F.col("state").alias("location"), *keys, *additive
-    )
-    nation = per_state.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in additive]).select(
-        F.lit(NATIONWIDE).alias("location"), *keys, *additive
-    )
-    return states.unionByName(nation)
+    location = F.explode(F.array(F.col("state"), F.lit(NATIONWIDE))).alias("location")
+    both = per_state.select(location, *keys, *additive).where(F.col("location").isNotNull())
+    return both.groupBy("location", *keys).agg(*[F.sum(c).alias(c) for c in additive])
