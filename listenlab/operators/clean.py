@@ -9,6 +9,14 @@ from ..functions.text import repair_text
 
 _MS_PER_DAY = 86_400_000
 
+# --- fixed values -----------------------------------------------------------
+# Full English month names (the 'MMMM' date pattern), January first.
+MONTH_NAMES = [
+    "January", "February", "March", "April", "May", "June",
+    "July", "August", "September", "October", "November", "December",
+]
+# ---------------------------------------------------------------------------
+
 
 def clean_listens(raw: DataFrame, mode: str = "strict") -> DataFrame:
     """Repair `artist`/`song`, keep the 19 event columns (`level` -> `subscription`),
@@ -17,7 +25,8 @@ def clean_listens(raw: DataFrame, mode: str = "strict") -> DataFrame:
     One projection of built-in expressions: filters on the result still reach
     the scan, and no Python worker is involved. Date parts are taken from the
     UTC calendar day of the epoch value, so they do not move with the session
-    time zone.
+    time zone; the month name is a lookup by month number (the same text as
+    `date_format(..., 'MMMM')`, without a formatter call per row).
     """
     ms = F.col("ts").try_cast("bigint")
     day = F.date_from_unix_date(F.floor(ms / F.lit(_MS_PER_DAY)).cast("int"))
@@ -31,5 +40,5 @@ def clean_listens(raw: DataFrame, mode: str = "strict") -> DataFrame:
         F.timestamp_millis(ms).alias("ts"),
         F.year(day).alias("year"),
         F.month(day).alias("month"),
-        F.date_format(day, "MMMM").alias("month_name"),
+        F.element_at(F.array(*[F.lit(m) for m in MONTH_NAMES]), F.month(day)).alias("month_name"),
     )

@@ -25,7 +25,10 @@ def shared_dir(spark: SparkSession) -> str:
             d = None
     if not d:
         d = tempfile.mkdtemp(prefix="listenlab-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.sparkContext.setCheckpointDir(d)
+        except Exception:  # Spark Connect: nothing to register
+            pass
     return d
 
 

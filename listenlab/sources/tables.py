@@ -35,14 +35,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _epoch_millis_utc(ntz):
     """Epoch milliseconds of a TIMESTAMP_NTZ read as UTC wall-clock time.
 
-    Built from its fields so the result does not depend on the session time zone.
+    A difference of two zone-less timestamps, so it does not depend on the
+    session time zone.
     """
-    return F.unix_millis(
-        F.make_timestamp(
-            F.year(ntz), F.month(ntz), F.dayofmonth(ntz), F.hour(ntz), F.minute(ntz),
-            F.date_part(F.lit("SECOND"), ntz), F.lit("UTC"),
-        )
-    )
+    return F.timestamp_diff("MILLISECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), ntz)
 
 
 def listens_view(spark: SparkSession, sf_dir: str) -> DataFrame:
