@@ -59,9 +59,60 @@ def py_fixed(x: Column | str, digits: int = 0) -> Column:
     )
 
 
+_TWO_52 = "4503599627370496D"
+_LONG_SAFE = "9.0E18D"
+
+
+def py_fixed_sql(x: str, digits: int = 0) -> str:
+    """SQL text of `py_fixed` for the SQL expression `x` (same rounding, same text).
+
+    Each intermediate is bound once through a lambda, so the expression stays
+    small however often a value is reused; it parses in one call instead of
+    hundreds of column-building calls. Non-finite values and magnitudes past
+    the exact range are routed around the integer arithmetic (ANSI mode would
+    reject the overflow): NULL, 'nan', 'inf', '-inf', and Java's formatting
+    beyond 9e18 / 10**digits.
+    """
+    m = f"{float(10 ** digits)!r}D"
+    scale = 10**digits
+    a = "(CASE WHEN isnan(_pf_v) OR abs(_pf_v) * {m} >= {safe} THEN 0D ELSE abs(_pf_v) END)".format(m=m, safe=_LONG_SAFE)
+    hi = f"({a} * {_SPLIT!r}D - ({a} * {_SPLIT!r}D - {a}))"
+    split = f"named_struct('p', {a} * {m}, 'e', ({hi} * {m} - {a} * {m}) + ({a} - {hi}) * {m})"
+    fl = "floor(_pf_s.p)"
+    n = (
+        f"CASE WHEN _pf_s.p < {_TWO_52} THEN {fl} + IF(_pf_s.p - {fl} > 0.5D OR (_pf_s.p - {fl} = 0.5D AND "
+        f"(_pf_s.e > 0D OR (_pf_s.e = 0D AND pmod({fl}, 2) = 1))), 1, 0) "
+        f"ELSE {fl} + floor(_pf_s.e) + IF(_pf_s.e - floor(_pf_s.e) > 0.5D OR (_pf_s.e - floor(_pf_s.e) = 0.5D AND "
+        f"pmod({fl} + floor(_pf_s.e), 2) = 1), 1, 0) END"
+    )
+    if digits == 0:
+        body = "CAST(_pf_n AS STRING)"
+    else:
+        body = (
+            f"concat(CAST(floor(_pf_n / {scale}) AS STRING), '.', "
+            f"lpad(CAST(pmod(_pf_n, {scale}) AS STRING), {digits}, '0'))"
+        )
+    final = (
+        "CASE WHEN _pf_v IS NULL THEN CAST(NULL AS STRING) WHEN isnan(_pf_v) THEN 'nan' "
+        "WHEN _pf_v = double('inf') THEN 'inf' WHEN _pf_v = double('-inf') THEN '-inf' "
+        f"WHEN abs(_pf_v) * {m} >= {_LONG_SAFE} THEN format_string('%.{digits}f', _pf_v) "
+        f"ELSE concat(IF(_pf_v < 0, '-', ''), {body}) END"
+    )
+    return (
+        f"element_at(transform(array(CAST(({x}) AS DOUBLE)), _pf_v -> "
+        f"element_at(transform(array({split}), _pf_s -> "
+        f"element_at(transform(array({n}), _pf_n -> {final}), 1)), 1)), 1)"
+    )
+
+
+def py_text(x: str, digits: int = 0) -> Column:
+    """`py_fixed` of a SQL expression (e.g. a column name), built from SQL text."""
+    return F.expr(py_fixed_sql(x, digits))
+
+
 def py_round_text(x: Column | str) -> Column:
     """Text of Python's `round(x)` (ties to even) for a non-negative double."""
-    return py_fixed(x, 0)
+    return py_text(x, 0) if isinstance(x, str) else py_fixed(x, 0)
 
 
 def coerce_numeric(c: Column | str) -> Column:

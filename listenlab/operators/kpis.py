@@ -34,7 +34,7 @@ def kpi_cards(k: DataFrame) -> DataFrame:
         "total_users",
         "avg_duration",
         "paid_duration",
-        F.concat(py_round_text(F.col("total_users") / F.lit(1000.0)), F.lit("k+")).alias("users_card"),
-        F.concat(py_round_text(F.col("avg_duration") / F.lit(60.0)), F.lit(" MIN")).alias("listening_card"),
-        F.concat(py_round_text(F.col("paid_duration") / F.lit(3600000.0)), F.lit("k+ H")).alias("paid_card"),
+        F.concat(py_round_text("total_users / 1000.0D"), F.lit("k+")).alias("users_card"),
+        F.concat(py_round_text("avg_duration / 60.0D"), F.lit(" MIN")).alias("listening_card"),
+        F.concat(py_round_text("paid_duration / 3600000.0D"), F.lit("k+ H")).alias("paid_card"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numbers import py_fixed
+from ..functions.numbers import py_text
 from ..plans.locations import at_location, rollup_locations
 from ..sources.schema import NATIONWIDE
 
@@ -15,7 +15,7 @@ def _with_percentage(counts: DataFrame, partition_by: list[str]) -> DataFrame:
     total = F.sum("count").over(Window.partitionBy(*partition_by))
     pct = F.col("count").cast("double") / total * F.lit(100.0)
     return counts.withColumn("percentage", pct).withColumn(
-        "percentage_text", F.concat(py_fixed(F.col("percentage"), 1), F.lit("%"))
+        "percentage_text", F.concat(py_text("percentage", 1), F.lit("%"))
     )
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.numbers import coerce_numeric, py_fixed
+from ..functions.numbers import coerce_numeric, py_fixed, py_fixed_sql, py_text
 
 # --- fixed values -----------------------------------------------------------
 EMPTY_MONTHLY = "No listening data is available for the selected filters."
@@ -84,8 +84,8 @@ def _number(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
-def _f0(c: Column) -> Column:
-    return py_fixed(c, 0)
+def _f0(name: str) -> Column:
+    return py_text(name, 0)
 
 
 def _group(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
@@ -139,16 +139,16 @@ def monthly_summary_prompt(monthly: DataFrame) -> DataFrame:
     """`monthly_stats` plus `prompt`: the five-sentence summary request, or the
     fixed sentence when the monthly table is empty."""
     s = monthly_stats(monthly)
-    breakdown = F.array_join(
-        F.transform(F.col("peak_breakdown"), lambda x: F.concat(x["subscription"], F.lit(": "), _f0(x["minutes"]))),
-        ", ",
+    breakdown = F.expr(
+        "array_join(transform(peak_breakdown, _bd -> "
+        f"concat(_bd.subscription, ': ', {py_fixed_sql('_bd.minutes', 0)})), ', ')"
     )
     text = F.concat(
         F.lit(SUMMARIZE),
-        _fmt(TOTAL_TIME, _f0(F.col("total_minutes"))),
-        _fmt(AVERAGE_MONTH, _f0(F.col("avg_month_minutes"))),
-        _fmt(PEAK_MONTH, F.col("peak_month"), _f0(F.col("peak_minutes"))),
-        _fmt(LOW_MONTH, F.col("low_month"), _f0(F.col("low_minutes"))),
+        _fmt(TOTAL_TIME, _f0("total_minutes")),
+        _fmt(AVERAGE_MONTH, _f0("avg_month_minutes")),
+        _fmt(PEAK_MONTH, F.col("peak_month"), _f0("peak_minutes")),
+        _fmt(LOW_MONTH, F.col("low_month"), _f0("low_minutes")),
         _fmt(PEAK_BREAKDOWN, breakdown),
     )
     return s.withColumn(
@@ -160,14 +160,17 @@ def table_prompt(monthly: DataFrame) -> DataFrame:
     """The monthly table as text (one `col=value` line per row, in year, month,
     subscription order) wrapped in a request for a short summary; per location."""
     loc = ["location"] if "location" in monthly.columns else []
-    minutes = _number(monthly, "total_duration")
+    if isinstance(monthly.schema["total_duration"].dataType, T.StringType):
+        minutes_text = py_fixed(coerce_numeric(F.col("total_duration")), 2)
+    else:
+        minutes_text = py_text("total_duration", 2)
     line = F.concat_ws(
         ", ",
         F.concat(F.lit("year="), F.col("year").cast("string")),
         F.concat(F.lit("month="), F.col("month").cast("string")),
         F.concat(F.lit("month_name="), F.coalesce(F.col("month_name"), F.lit("None"))),
         F.concat(F.lit("subscription="), F.coalesce(F.col("subscription"), F.lit("None"))),
-        F.concat(F.lit("total_duration="), F.coalesce(py_fixed(minutes, 2), F.lit("nan"))),
+        F.concat(F.lit("total_duration="), F.coalesce(minutes_text, F.lit("nan"))),
     )
     rows = monthly.select(
         *loc,
@@ -198,14 +201,14 @@ def map_summary_prompt(stats: DataFrame, label: str | Column) -> DataFrame:
     51 states; `nationwide_listens` keeps the full count as a column.
     """
     lab = F.lit(label) if isinstance(label, str) else label
-    total = _f0(F.col("total_listens").cast("double"))
+    total = _f0("total_listens")
     text = F.concat(
         F.lit(SUMMARIZE),
         _fmt(MAP_TOTAL_NATION, total),
         _fmt(MAP_TOTAL_IN, lab, total),
-        _fmt(MAP_AVERAGE_IN, lab, _f0(F.col("avg_listens"))),
-        _fmt(MAP_TOP, F.col("top_state"), _f0(F.col("top_listens").cast("double"))),
-        _fmt(MAP_LOW, F.col("low_state"), _f0(F.col("low_listens").cast("double"))),
+        _fmt(MAP_AVERAGE_IN, lab, _f0("avg_listens")),
+        _fmt(MAP_TOP, F.col("top_state"), _f0("top_listens")),
+        _fmt(MAP_LOW, F.col("low_state"), _f0("low_listens")),
     )
     return stats.withColumn("label", lab).withColumn("prompt", text)
 

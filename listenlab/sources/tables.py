@@ -120,8 +120,30 @@ def listens_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Plan handles of derived frames, per session and folder. Building the joined,
+# cleaned frame costs a few hundred milliseconds of analysis on the driver; the
+# dashboard keeps its cleaned frame for the same reason. Only the logical plan
+# is kept: every query still reads and joins the tables when it runs.
+_HANDLES: dict[tuple, tuple[SparkSession, DataFrame]] = {}
+
+
+def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
+    hit = _HANDLES.get(key)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    df = build()
+    if len(_HANDLES) > 64:
+        _HANDLES.clear()
+    _HANDLES[key] = (spark, df)
+    return df
+
+
 def listen_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw play events (the JSON shape): `level` for subscription, `ts` in epoch ms."""
+    return _memo(spark, ("events", id(spark), sf_dir), lambda: _listen_events(spark, sf_dir))
+
+
+def _listen_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = listens_view(spark, sf_dir)
     return v.select(
         *[
@@ -137,4 +159,6 @@ def listens(spark: SparkSession, sf_dir: str, mode: str = "strict") -> DataFrame
     """Raw events from the driver tables, passed through `clean_listens`."""
     from ..operators.clean import clean_listens
 
-    return clean_listens(listen_events(spark, sf_dir), mode=mode)
+    return _memo(
+        spark, ("listens", id(spark), sf_dir, mode), lambda: clean_listens(listen_events(spark, sf_dir), mode=mode)
+    )

@@ -16,7 +16,9 @@ ARTISTS = ["Brand#13", "Brand#1", "Brand#24"]
 
 @pytest.fixture(scope="module")
 def df(spark, sf_small):
-    return listens(spark, sf_small).cache()
+    d = listens(spark, sf_small).cache()
+    yield d
+    d.unpersist()
 
 
 def rows(frame, cols):

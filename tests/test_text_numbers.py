@@ -170,3 +170,17 @@ def test_coerce_numeric(spark):
     df = spark.createDataFrame([(v,) for v in vals], "s string")
     got = [r[0] for r in df.select(coerce_numeric(F.col("s"))).collect()]
     assert got == [1.0, 12.0, 1000.0, -2.5, None, None, None, None, float("inf"), None, None]
+
+
+@pytest.mark.parametrize("digits", [0, 1, 2])
+def test_py_text_sql_form_matches_python(spark, digits):
+    from listenlab.functions.numbers import py_text
+
+    vals = _doubles(3000, digits + 10) + [1e300, -1e19, 5e18]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, x double")
+    got = {r.i: r.t for r in df.select("i", py_text("x", digits).alias("t")).collect()}
+    exact = [(v, got[i]) for i, v in enumerate(vals) if abs(v) * 10**digits < 9e18]
+    bad = [(v, g, format(v, f".{digits}f")) for v, g in exact if g != format(v, f".{digits}f")]
+    assert not bad, bad[:5]
+    sp = spark.createDataFrame([(None,), (float("nan"),), (float("inf"),), (float("-inf"),)], "x double")
+    assert [r[0] for r in sp.select(py_text("x", digits)).collect()] == [None, "nan", "inf", "-inf"]
