@@ -54,13 +54,17 @@ def write_clean(clean: DataFrame, path: str) -> None:
 
     Later reads prune partitions on date filters and get vectorised,
     column-pruned scans instead of re-parsing JSON and re-running the repair.
-    Each task sorts its own rows by the partition keys (no shuffle: a hash
-    repartition on the month would send a whole month to one task), so it
-    keeps one open file at a time and writes one file per month it holds.
+
+    Rows are rebalanced by `(year, month)` first. Writing straight from the
+    input partitions would leave one file per month in every task (tasks x
+    months small files when the input is not time-ordered); a plain hash
+    repartition on the month would send a whole month to one task. The
+    rebalance lets AQE split a large month into advisory-size partitions and
+    merge small ones, so each task writes about one file of a useful size.
     """
     (
         clean.select(*CLEAN_COLUMNS)
-        .sortWithinPartitions("year", "month")
+        .hint("rebalance", "year", "month")
         .write.mode("overwrite")
         .partitionBy("year", "month")
         .parquet(path)
