@@ -55,6 +55,15 @@ def _decode_or_null(b: Column) -> Column:
     return F.try_validate_utf8(b.cast("string"))
 
 
+def _let(value: Column, body) -> Column:
+    """Evaluate `value` once and pass it to `body` (a one-element `transform`).
+
+    Generated code may recompute a sub-expression in every branch that uses
+    it; on long texts each reuse is another regex scan and codec pass.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def repair_text(c: Column | str, mode: str = "strict") -> Column:
     """Undo text that was UTF-8 encoded and then read as Latin-1, once or twice.
 
@@ -73,17 +82,24 @@ def repair_text(c: Column | str, mode: str = "strict") -> Column:
     """
     c = _col(c)
     if mode == "strict":
-        once = F.coalesce(_decode_or_null(latin1_bytes(c)), c)
-        repaired = F.coalesce(_decode_or_null(latin1_bytes(once)), once)
+        repaired = _let(
+            F.coalesce(_decode_or_null(latin1_bytes(c)), c),
+            lambda once: F.coalesce(_decode_or_null(latin1_bytes(once)), once),
+        )
     elif mode == "compat":
-        d1 = _decode_replacing(latin1_bytes(c))
-        d2 = _decode_replacing(latin1_bytes(d1))
-        repaired = (
-            F.when(c.isNull(), F.lit(None).cast("string"))
-            .when(d1.isNull() | (d1 == c) | d1.contains("?"), c)
-            .when(d2.isNull(), c)
-            .when((d2 != d1) & ~d2.contains("?"), d2)
-            .otherwise(d1)
+
+        def decide(d1: Column, d2: Column) -> Column:
+            return (
+                F.when(c.isNull(), F.lit(None).cast("string"))
+                .when(d1.isNull() | (d1 == c) | d1.contains("?"), c)
+                .when(d2.isNull(), c)
+                .when((d2 != d1) & ~d2.contains("?"), d2)
+                .otherwise(d1)
+            )
+
+        repaired = _let(
+            _decode_replacing(latin1_bytes(c)),
+            lambda d1: _let(_decode_replacing(latin1_bytes(d1)), lambda d2: decide(d1, d2)),
         )
     else:
         raise ValueError(f"unknown repair mode: {mode!r}")
