@@ -106,8 +106,12 @@ def monthly_stats(monthly: DataFrame) -> DataFrame:
     input (`n_rows` = 0).
     """
     loc = ["location"] if "location" in monthly.columns else []
-    rows = monthly.select(*loc, "month_name", "subscription",
-                          F.coalesce(_number(monthly, "total_duration"), F.lit(0.0)).alias("minutes"))
+    # One exchange by location serves the three aggregates below (each groups
+    # by location plus finer keys). A location holds at most months x
+    # subscriptions rows, so Nationwide is no hotter than any state.
+    src = monthly.repartition(*loc) if loc else monthly
+    rows = src.select(*loc, "month_name", "subscription",
+                      F.coalesce(_number(monthly, "total_duration"), F.lit(0.0)).alias("minutes"))
     by_sub = rows.groupBy(*loc, "month_name", "subscription").agg(
         F.sum("minutes").alias("minutes"), F.count(F.lit(1)).alias("n")
     )
