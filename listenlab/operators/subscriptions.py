@@ -21,16 +21,56 @@ def paid_users(df: DataFrame) -> DataFrame:
     )
 
 
-def effective_subscription(df: DataFrame) -> DataFrame:
+# Estimated bytes per paid user in a broadcast hash relation (a long key plus overhead).
+_BYTES_PER_USER = 16
+
+
+def _broadcast_limit(spark) -> int:
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        return int(raw)
+    except ValueError:  # "10MB" style
+        units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+        raw = raw.strip().lower().rstrip("b") or "0"
+        return int(float(raw[:-1]) * units[raw[-1]]) if raw[-1] in units else int(raw)
+
+
+def checked_paid_users(df: DataFrame) -> DataFrame:
+    """The paid-user set, materialised in the shared folder, broadcast only when it fits.
+
+    The set is a column-pruned, map-side-aggregated pass over the listens,
+    written once (which also cuts its lineage). Its row count comes from the
+    Parquet footers; when rows x 16 bytes is within the session's
+    `spark.sql.autoBroadcastJoinThreshold` the side is broadcast, so the fact
+    table is joined where it lies. Otherwise it is returned as is and the join
+    stays a sort-merge join, with AQE splitting skewed user partitions.
+    """
+    from ..sources.files import new_output_path
+
+    spark = df.sparkSession
+    path = new_output_path(spark, "paid-users")
+    paid_users(df).write.mode("overwrite").parquet(path)
+    stored = spark.read.parquet(path)
+    limit = _broadcast_limit(spark)
+    if limit >= 0 and stored.count() * _BYTES_PER_USER <= limit:
+        return F.broadcast(stored)
+    return stored
+
+
+def effective_subscription(df: DataFrame, checked_broadcast: bool = True) -> DataFrame:
     """Every listen with `subscription` replaced by the effective subscription
     and the logged value kept as `raw_subscription`.
 
     A left equi-join to the paid-user set, not a literal IN list collected on
-    the driver. AQE measures the set at runtime: it becomes a broadcast when
-    small, otherwise stays a sort-merge join whose skewed user partitions AQE
-    splits (the fact table is the preserved side, which skew handling supports).
+    the driver. With `checked_broadcast` the set is materialised first and
+    broadcast only behind a size check (`checked_paid_users`), so a small set
+    never costs a shuffle of the fact table. Without it the join is planned
+    lazily and AQE decides at runtime. That still broadcasts a small set, but
+    only after the fact side's shuffle has been written. The fact table is the
+    preserved side, which AQE's skew-join splitting supports.
     """
-    flags = paid_users(df).withColumn("_ever_paid", F.lit(True))
+    paid = checked_paid_users(df) if checked_broadcast else paid_users(df)
+    flags = paid.withColumn("_ever_paid", F.lit(True))
     joined = df.join(flags, "userId", "left")
     cols = [c for c in df.columns if c != "subscription"]
     return joined.select(

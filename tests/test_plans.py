@@ -51,6 +51,20 @@ def test_effective_subscription_is_a_join_not_a_literal_list(plans):
     p = plans["effective_subscription"]
     assert "Join" in p and "LeftOuter" in p
     assert "InSet" not in p
+    # small paid set: broadcast after the size check, the fact side is not shuffled by user
+    assert "BroadcastHashJoin [userId" in p
+    assert "Exchange hashpartitioning(userId" not in p
+
+
+def test_effective_subscription_falls_back_to_shuffle_join(spark, sf_small):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = L.effective_subscription(listens(spark, sf_small))
+        p = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [userId" in p
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 @pytest.mark.parametrize("key", ["top_artists_all", "top_songs_all"])
