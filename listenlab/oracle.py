@@ -238,27 +238,35 @@ def _capitalize_sql() -> str:
 def oracle_sql() -> dict[str, str]:
     L = _with(LISTENS)
     counts_as = "ac AS (SELECT artist, state, count(*) AS listens FROM listens GROUP BY ALL)"
-    top_art = lambda where, part: (
-        "SELECT {sel}artist AS Artist, cnt AS \"Total Streams\", rnk AS rank FROM ("
-        "SELECT {sel}artist, cnt, " + _rank("cnt DESC, artist ASC NULLS LAST", part) + " AS rnk FROM ({src})) WHERE rnk <= 10"
-    )
-    loc_counts = lambda keys: (
-        f"SELECT state AS location, {keys}, count(*) AS cnt FROM listens WHERE state IS NOT NULL GROUP BY ALL "
-        f"UNION ALL SELECT 'Nationwide' AS location, {keys}, count(*) AS cnt FROM listens GROUP BY ALL"
-    )
+    def top_art(sel: str, part: str, src: str) -> str:
+        return (
+            f"SELECT {sel}artist AS Artist, cnt AS \"Total Streams\", rnk AS rank FROM ("
+            f"SELECT {sel}artist, cnt, {_rank('cnt DESC, artist ASC NULLS LAST', part)} AS rnk FROM ({src})) "
+            "WHERE rnk <= 10"
+        )
+
+    def loc_counts(keys: str) -> str:
+        return (
+            f"SELECT state AS location, {keys}, count(*) AS cnt FROM listens WHERE state IS NOT NULL GROUP BY ALL "
+            f"UNION ALL SELECT 'Nationwide' AS location, {keys}, count(*) AS cnt FROM listens GROUP BY ALL"
+        )
+
     mix_sel = (
         "subscription, cnt AS count, CAST(cnt AS DOUBLE) / sum(cnt) OVER ({p}) * 100.0 AS percentage, "
         "format('{{:.1f}}', CAST(cnt AS DOUBLE) / sum(cnt) OVER ({p}) * 100.0) || '%' AS percentage_text"
     )
+
     def songs(keys: str, part: str, src: str) -> str:
         return (
             f"SELECT {keys}, cnt AS listens, rnk AS rank FROM ("
             f"SELECT {keys}, cnt, {_rank('cnt DESC, song ASC NULLS LAST', part)} AS rnk FROM ({src})) WHERE rnk <= 5"
         )
 
-    docs = lambda layers: " UNION ALL ".join(
-        f"SELECT doc_id, CAST({n} AS INTEGER) AS layers, text FROM documents" for n in layers
-    )
+    def docs(layers: tuple[int, ...]) -> str:
+        return " UNION ALL ".join(
+            f"SELECT doc_id, CAST({n} AS INTEGER) AS layers, text FROM documents" for n in layers
+        )
+
     bottom = (
         "SELECT artist AS Artist, cnt AS \"Total Streams\", rnk AS rank FROM ("
         "SELECT artist, cnt, " + _rank("cnt ASC, artist ASC NULLS LAST") + " AS rnk FROM "
@@ -288,8 +296,8 @@ def oracle_sql() -> dict[str, str]:
             + " AS rnk FROM ac) WHERE rnk <= 5"
         ),
         "states_list": L + "SELECT DISTINCT state FROM listens",
-        "top_artists": L + top_art("", "").format(sel="", src="SELECT artist, count(*) AS cnt FROM listens GROUP BY artist"),
-        "top_artists_all": L + top_art("", "location").format(sel="location, ", src=loc_counts("artist")),
+        "top_artists": L + top_art("", "", "SELECT artist, count(*) AS cnt FROM listens GROUP BY artist"),
+        "top_artists_all": L + top_art("location, ", "location", loc_counts("artist")),
         "bottom_artists": L + bottom,
         "top_songs_free": L + songs(
             keys="song", part="", src="SELECT song, count(*) AS cnt FROM listens WHERE subscription = 'free' GROUP BY song"
