@@ -30,27 +30,31 @@ OUTSIDE_STATES_CODE = "PR"
 
 # Large tables and the key their rows are spread by when a scan is under-partitioned.
 SPREAD_KEYS = {"lineitem": "l_orderkey", "documents": "doc_id", "events": "event_id"}
+# Scans planning this many partitions or more are never spread. The added shuffle
+# is thus bounded by SPREAD_MAX_PARTITIONS x spark.sql.files.maxPartitionBytes.
+SPREAD_MAX_PARTITIONS = 64
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition a scan that arrives in fewer partitions than the session has cores.
+    """Hash-partition a scan that arrives in too few partitions to use the cores.
 
     A file written as one Parquet row group is read by one task however many
     cores there are, and every narrow step after the scan (joins against
     broadcast tables, cleaning, text work, partial aggregates) then runs on a
-    single core. A table of cluster size has many row groups and is left
-    untouched: the check is on the scan's planned partition count, so no
-    shuffle is added there. Hashing by a key is deterministic, so a retried
-    task after a lost executor reproduces the same partition.
+    single core. The check is metadata only (the scan's planned partition
+    count). It fires below min(cores, SPREAD_MAX_PARTITIONS), so only small
+    inputs are shuffled and a table of cluster size is read where it lies.
+    Hashing by a key is deterministic: a task retried after a lost executor
+    reproduces the same partition.
     """
     try:
         planned = df.rdd.getNumPartitions()
         cores = df.sparkSession.sparkContext.defaultParallelism
     except Exception:  # Spark Connect: no RDD view, keep the scan as is
         return df
-    if planned >= cores:
+    if planned >= min(cores, SPREAD_MAX_PARTITIONS):
         return df
-    return df.repartition(cores, key)
+    return df.repartition(min(cores, SPREAD_MAX_PARTITIONS), key)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -32,6 +32,11 @@ def test_clean_parquet_round_trip(spark, sf_small, tmp_path):
     files.write_clean(clean, path)
     years = sorted(d for d in os.listdir(path) if d.startswith("year="))
     assert years and all(any(m.startswith("month=") for m in os.listdir(os.path.join(path, y))) for y in years)
+    # the rebalance leaves one file per month here (no month exceeds the advisory partition size)
+    for y in years:
+        for m in os.listdir(os.path.join(path, y)):
+            parts = [f for f in os.listdir(os.path.join(path, y, m)) if f.endswith(".parquet")]
+            assert len(parts) == 1, (y, m, parts)
     back = files.read_clean(spark, path)
     assert back.columns == L.CLEAN_COLUMNS
     assert _rows(back) == _rows(clean.select(*L.CLEAN_COLUMNS))
