@@ -118,9 +118,9 @@ def py_round_text(x: Column | str) -> Column:
 def coerce_numeric(c: Column | str) -> Column:
     """Text to double; anything unparsable becomes NULL (pandas `to_numeric(errors="coerce")`).
 
-    Java's parser also accepts a trailing type letter ('1.5d', '2f') that pandas
-    rejects, so those forms are refused before the cast.
+    Java's parser also accepts a trailing type letter ('1.5d', '2f') and hex
+    floats ('0x1p3') that pandas rejects, so those forms are refused before the cast.
     """
     c = _col(c)
     s = c.cast("string")
-    return F.when(~s.rlike(r"[0-9.]\s*[dDfF]\s*$"), s.try_cast("double"))
+    return F.when(~s.rlike(r"[0-9.]\s*[dDfF]\s*$|[xX]"), s.try_cast("double"))

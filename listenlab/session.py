@@ -31,3 +31,30 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def cluster_settings(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Configuration for a cluster run over `input_bytes` of listen data.
+
+    - Scan splits of `partition_bytes / 2` give every core several tasks and
+      keep one task's input bounded.
+    - The initial shuffle width covers the largest possible shuffle (the
+      fact-table join of the derived view) at about `partition_bytes` per
+      partition. AQE coalesces the many smaller post-aggregation shuffles down
+      to the advisory size, splits skewed partitions of joins and rebalances,
+      and converts joins to broadcasts when a side turns out small.
+    - Pass the result to `SparkSession.builder.config(map=...)` together with a
+      shared `spark.checkpoint.dir`.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes // 2),
+    }

@@ -68,3 +68,13 @@ def test_streaming_ingest_exactly_once(spark, sf_small, tmp_path):
     q = start_clean_ingest(spark, src + "/*", sink, ckpt)
     q.awaitTermination(120)
     assert _rows(files.read_clean(spark, sink)) == _rows(L.clean_listens(events).select(*L.CLEAN_COLUMNS))
+
+
+def test_cluster_settings_scale_with_input():
+    from listenlab.session import cluster_settings
+
+    small = cluster_settings(10 << 30, 64)
+    big = cluster_settings(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 128
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"

@@ -166,10 +166,10 @@ def test_py_fixed_special(spark):
 
 
 def test_coerce_numeric(spark):
-    vals = ["1", " 12 ", "1e3", "-2.5", "n/a", "", "1.5d", "2f", "inf", "abc", None]
+    vals = ["1", " 12 ", "1e3", "-2.5", "n/a", "", "1.5d", "2f", "inf", "abc", None, "0x1p3", "+4"]
     df = spark.createDataFrame([(v,) for v in vals], "s string")
     got = [r[0] for r in df.select(coerce_numeric(F.col("s"))).collect()]
-    assert got == [1.0, 12.0, 1000.0, -2.5, None, None, None, None, float("inf"), None, None]
+    assert got == [1.0, 12.0, 1000.0, -2.5, None, None, None, None, float("inf"), None, None, None, 4.0]
 
 
 @pytest.mark.parametrize("digits", [0, 1, 2])
