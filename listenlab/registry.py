@@ -46,18 +46,18 @@ def _read_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_clean(spark, path)
 
 
-def _effective_subscription(spark: SparkSession, sf_dir: str) -> DataFrame:
-    eff = subscriptions.effective_subscription(listens(spark, sf_dir))
+def _effective_subscription(d: DataFrame) -> DataFrame:
+    eff = subscriptions.effective_subscription(d)
     return eff.select("userId", "sessionId", "itemInSession", "state", "raw_subscription", "subscription")
 
 
-def _kpi_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scaled = listens(spark, sf_dir).withColumn("duration", F.col("duration") * F.lit(KPI_DURATION_SCALE))
+def _kpi_cards(d: DataFrame) -> DataFrame:
+    scaled = d.withColumn("duration", F.col("duration") * F.lit(KPI_DURATION_SCALE))
     return kpis.kpi_cards(kpis.kpis(scaled))
 
 
-def _monthly_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = summaries.monthly_summary_prompt(monthly.monthly_listening_all(listens(spark, sf_dir)))
+def _monthly_stats(d: DataFrame) -> DataFrame:
+    s = summaries.monthly_summary_prompt(monthly.monthly_listening_all(d))
     # Month totals add up minute values, whose last bits depend on summation
     # order; six decimals keep the comparison independent of it.
     return s.select(
@@ -70,8 +70,8 @@ def _monthly_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _monthly_summary_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = summaries.monthly_summary_prompt(monthly.monthly_listening_all(listens(spark, sf_dir)))
+def _monthly_summary_prompt(d: DataFrame) -> DataFrame:
+    s = summaries.monthly_summary_prompt(monthly.monthly_listening_all(d))
     return s.select("location", "n_rows", "prompt")
 
 
@@ -109,49 +109,57 @@ def _on_listens(fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession,
     return run
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    # sources, sinks, cleaning
-    "read_listens": _read_listens,
-    "clean_listens": _clean_listens,
-    "read_clean": _read_clean,
-    "repair_text_compat": _repair("compat", (0, 2)),
-    "repair_text_strict": _repair("strict", (0, 1, 2)),
-    "capitalize_sentences": _capitalize,
-    "coerce_numeric": _coerce_numeric,
+# Operators over cleaned listens: each a function DataFrame -> DataFrame, so the
+# same key runs over listens derived from the driver tables (`QUERIES`) or over
+# a stored clean table (`bench.py`).
+LISTEN_OPERATORS: dict[str, Callable[[DataFrame], DataFrame]] = {
     # counts and top-k
-    "artist_state_listens": _on_listens(lambda d: counts.artist_state_listens(d, ARTIST)),
-    "artist_state_listens_all": _on_listens(counts.artist_state_listens_all),
-    "artists_over": _on_listens(lambda d: counts.artists_over(d, MIN_LISTENS)),
-    "top_n_by_listens": _on_listens(lambda d: counts.top_n_by_listens(counts.artist_state_listens_all(d), 5)),
-    "states_list": _on_listens(counts.states_list),
-    "top_artists": _on_listens(lambda d: counts.top_artists(d, NATIONWIDE)),
-    "top_artists_all": _on_listens(counts.top_artists_all),
-    "bottom_artists": _on_listens(counts.bottom_artists),
-    "top_songs_free": _on_listens(lambda d: counts.top_free_songs(d, NATIONWIDE)),
-    "top_songs_paid": _on_listens(lambda d: counts.top_paid_songs(d, STATE)),
-    "top_songs_all": _on_listens(counts.top_songs_all),
+    "artist_state_listens": lambda d: counts.artist_state_listens(d, ARTIST),
+    "artist_state_listens_all": counts.artist_state_listens_all,
+    "artists_over": lambda d: counts.artists_over(d, MIN_LISTENS),
+    "top_n_by_listens": lambda d: counts.top_n_by_listens(counts.artist_state_listens_all(d), 5),
+    "states_list": counts.states_list,
+    "top_artists": lambda d: counts.top_artists(d, NATIONWIDE),
+    "top_artists_all": counts.top_artists_all,
+    "bottom_artists": counts.bottom_artists,
+    "top_songs_free": lambda d: counts.top_free_songs(d, NATIONWIDE),
+    "top_songs_paid": lambda d: counts.top_paid_songs(d, STATE),
+    "top_songs_all": counts.top_songs_all,
     # headline figures and mix
-    "kpis": _on_listens(kpis.kpis),
+    "kpis": kpis.kpis,
     "kpi_cards": _kpi_cards,
-    "subscription_mix": _on_listens(lambda d: mix.subscription_mix(d, STATE)),
-    "subscription_mix_all": _on_listens(mix.subscription_mix_all),
+    "subscription_mix": lambda d: mix.subscription_mix(d, STATE),
+    "subscription_mix_all": mix.subscription_mix_all,
     # effective subscription and monthly listening
     "effective_subscription": _effective_subscription,
-    "monthly_listening": _on_listens(lambda d: monthly.monthly_listening(d, STATE)),
-    "monthly_listening_all": _on_listens(monthly.monthly_listening_all),
+    "monthly_listening": lambda d: monthly.monthly_listening(d, STATE),
+    "monthly_listening_all": monthly.monthly_listening_all,
     "monthly_stats": _monthly_stats,
     # state map
-    "state_map": _on_listens(lambda d: maps.state_map(d, ARTIST)),
-    "state_map_all": _on_listens(maps.state_map_all),
-    "map_stats": _on_listens(maps.map_stats_all),
+    "state_map": lambda d: maps.state_map(d, ARTIST),
+    "state_map_all": maps.state_map_all,
+    "map_stats": maps.map_stats_all,
     # summary text
     "monthly_summary_prompt": _monthly_summary_prompt,
-    "map_summary_prompt": _on_listens(
-        lambda d: summaries.map_summary_prompt(maps.map_stats_all(d), MAP_LABEL).select("artist", "label", "prompt")
+    "map_summary_prompt": lambda d: summaries.map_summary_prompt(maps.map_stats_all(d), MAP_LABEL).select(
+        "artist", "label", "prompt"
     ),
-    "bottom_artists_prompt": _on_listens(lambda d: summaries.bottom_artists_prompt(counts.bottom_artists(d))),
-    "qa_context": _on_listens(lambda d: summaries.qa_context(counts.artist_state_listens_all(d))),
-    "table_prompt": _on_listens(lambda d: summaries.table_prompt(monthly.monthly_listening_all(d))),
+    "bottom_artists_prompt": lambda d: summaries.bottom_artists_prompt(counts.bottom_artists(d)),
+    "qa_context": lambda d: summaries.qa_context(counts.artist_state_listens_all(d)),
+    "table_prompt": lambda d: summaries.table_prompt(monthly.monthly_listening_all(d)),
+}
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    # sources, sinks, cleaning
+    "read_listens": _read_listens,
+    "clean_listens": _clean_listens,
+    "read_clean": _read_clean,
+    "repair_text_compat": _repair("compat", (0, 2)),
+    "repair_text_strict": _repair("strict", (0, 1, 2)),
+    "capitalize_sentences": _capitalize,
+    "coerce_numeric": _coerce_numeric,
+    # everything computed from listens
+    **{k: _on_listens(fn) for k, fn in LISTEN_OPERATORS.items()},
 }
 
 FLAGSHIP = "monthly_listening_all"
