@@ -12,30 +12,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.schema import STATE_CODES, us_states_array
+from ..sources.schema import STATE_CODES, state_codes_sql, us_states_sql
+
+# The expressions below are SQL text: the 51-state constant and the lambdas
+# over it parse in one call each. `m` names the state -> listens map column.
+_IN_STATES = f"state IN ({state_codes_sql()})"
+_MAP_AGG = f"map_from_entries(collect_list(CASE WHEN {_IN_STATES} THEN struct(state, listens) END))"
+_GRID = (
+    f"transform({us_states_sql()}, s -> named_struct('position', s.position, 'NAME', s.NAME, "
+    "'state', s.state, 'listens', coalesce(try_element_at(m, s.state), CAST(0 AS BIGINT))))"
+)
+# One pass over the grid, bound once: total, and the max / min rows with ties
+# going to the earlier state in dimension order.
+_STATS = (
+    f"element_at(transform(array({_GRID}), g -> named_struct("
+    "'total', aggregate(g, CAST(0 AS BIGINT), (acc, x) -> acc + x.listens), "
+    "'top', array_max(transform(g, x -> named_struct('l', x.listens, 'p', -x.position, 's', x.state))), "
+    "'low', array_min(transform(g, x -> named_struct('l', x.listens, 'p', x.position, 's', x.state))))), 1)"
+)
 
 
 def _state_counts_map() -> Column:
     """Aggregate expression: map state -> listens over rows `(state, listens)` inside the 51 states."""
-    entry = F.when(F.col("state").isin(*STATE_CODES), F.struct("state", "listens"))
-    return F.map_from_entries(F.collect_list(entry))
-
-
-def _grid(m: Column) -> Column:
-    """Array of 51 structs `(position, NAME, state, listens)` read from a state -> listens map."""
-    return F.transform(
-        us_states_array(),
-        lambda s: F.struct(
-            s["position"].alias("position"),
-            s["NAME"].alias("NAME"),
-            s["state"].alias("state"),
-            F.coalesce(F.try_element_at(m, s["state"]), F.lit(0).cast("bigint")).alias("listens"),
-        ),
-    )
+    return F.expr(_MAP_AGG)
 
 
 def _explode_grid(per_artist: DataFrame, artist: Column) -> DataFrame:
-    return per_artist.select(artist.alias("artist"), F.inline(_grid(F.col("m")))).select(
+    return per_artist.select(artist.alias("artist"), F.inline(F.expr(_GRID))).select(
         "artist", "state", "listens", "NAME", "position"
     )
 
@@ -47,12 +50,14 @@ def state_map(df: DataFrame, artist: str) -> DataFrame:
     still gets 51 zero rows; the name comes from the parameter.
     """
     counts = (
-        df.where((F.col("artist") == F.lit(artist)) & F.col("state").isin(*STATE_CODES))
+        df.where((F.col("artist") == F.lit(artist)) & F.expr(_IN_STATES))
         .groupBy("state")
         .agg(F.count(F.lit(1)).alias("listens"))
     )
     per_artist = counts.agg(_state_counts_map().alias("m"))
-    return _explode_grid(per_artist, F.lit(artist)).orderBy("position")
+    # The global aggregate is a single partition, so sorting within it is a
+    # total order without a range-partitioning job.
+    return _explode_grid(per_artist, F.lit(artist)).sortWithinPartitions("position")
 
 
 def _per_artist_maps(df: DataFrame) -> DataFrame:
@@ -72,21 +77,22 @@ def state_map_all(df: DataFrame) -> DataFrame:
     return _explode_grid(_per_artist_maps(df), F.col("artist"))
 
 
-def _stats_from_map(m: Column) -> list[Column]:
-    g = _grid(m)
-    listens = F.transform(g, lambda x: x["listens"])
-    # Ties go to the earlier state in dimension order.
-    top = F.array_max(F.transform(g, lambda x: F.struct(x["listens"].alias("l"), (-x["position"]).alias("p"), x["state"].alias("s"))))
-    low = F.array_min(F.transform(g, lambda x: F.struct(x["listens"].alias("l"), x["position"].alias("p"), x["state"].alias("s"))))
-    total = F.aggregate(listens, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
-    return [
-        total.alias("total_listens"),
-        (total.cast("double") / F.lit(float(len(STATE_CODES)))).alias("avg_listens"),
-        top["s"].alias("top_state"),
-        top["l"].alias("top_listens"),
-        low["s"].alias("low_state"),
-        low["l"].alias("low_listens"),
-    ]
+def _with_stats(per_artist: DataFrame) -> DataFrame:
+    """Statistics of each row's map `m` (rows also carry `artist`, `nationwide_listens`).
+
+    The grid reduction is bound to one column first, so it runs once per row.
+    """
+    st = F.col("_st")
+    return per_artist.select("artist", "nationwide_listens", F.expr(_STATS).alias("_st")).select(
+        "artist",
+        "nationwide_listens",
+        st["total"].alias("total_listens"),
+        (st["total"].cast("double") / F.lit(float(len(STATE_CODES)))).alias("avg_listens"),
+        st["top"]["s"].alias("top_state"),
+        st["top"]["l"].alias("top_listens"),
+        st["low"]["s"].alias("low_state"),
+        st["low"]["l"].alias("low_listens"),
+    )
 
 
 def map_stats(df: DataFrame, artist: str) -> DataFrame:
@@ -100,7 +106,7 @@ def map_stats(df: DataFrame, artist: str) -> DataFrame:
         _state_counts_map().alias("m"),
         F.coalesce(F.sum("listens"), F.lit(0).cast("bigint")).alias("nationwide_listens"),
     )
-    return per_artist.select(F.lit(artist).alias("artist"), "nationwide_listens", *_stats_from_map(F.col("m")))
+    return _with_stats(per_artist.select(F.lit(artist).alias("artist"), "nationwide_listens", "m"))
 
 
 def map_stats_all(df: DataFrame) -> DataFrame:
@@ -109,4 +115,4 @@ def map_stats_all(df: DataFrame) -> DataFrame:
     `total_listens` sums the 51 states; `nationwide_listens` also counts listens
     with a NULL state or a code outside the 51.
     """
-    return _per_artist_maps(df).select("artist", "nationwide_listens", *_stats_from_map(F.col("m")))
+    return _with_stats(_per_artist_maps(df))
