@@ -22,7 +22,7 @@ from .operators.counts import (
 from .operators.kpis import kpi_cards, kpis
 from .operators.maps import map_stats, map_stats_all, state_map, state_map_all
 from .operators.mix import subscription_mix, subscription_mix_all
-from .operators.monthly import monthly_listening, monthly_listening_all
+from .operators.monthly import monthly_listening, monthly_listening_all, monthly_seconds, monthly_seconds_all
 from .operators.subscriptions import effective_subscription, paid_users
 from .operators.summaries import (
     bottom_artists_prompt,

@@ -27,28 +27,37 @@ def _effective_seconds(df: DataFrame) -> DataFrame:
     return flag_ever_paid(_seconds_per_user_month(df))
 
 
-def monthly_listening(df: DataFrame, location: str = NATIONWIDE) -> DataFrame:
-    """Minutes by `(year, month, month_name, effective subscription)` for one location,
-    ordered by year, month, subscription. `total_duration` is in minutes.
+def monthly_seconds(df: DataFrame, location: str = NATIONWIDE) -> DataFrame:
+    """Seconds by `(year, month, month_name, effective subscription)` for one location.
 
     The paid flag is computed over all locations before the location filter:
     the filter sits above the per-user window, which Catalyst does not push it
     through.
     """
     eff = at_location(_effective_seconds(df), location)
+    return eff.groupBy(*_MONTH_KEYS, "subscription").agg(F.sum("seconds").alias("seconds"))
+
+
+def monthly_seconds_all(df: DataFrame) -> DataFrame:
+    """`monthly_seconds` for Nationwide and every state in one job (`location` column)."""
+    per_state = _effective_seconds(df).groupBy("state", *_MONTH_KEYS, "subscription").agg(
+        F.sum("seconds").alias("seconds")
+    )
+    return rollup_locations(per_state, [*_MONTH_KEYS, "subscription"], ["seconds"])
+
+
+def monthly_listening(df: DataFrame, location: str = NATIONWIDE) -> DataFrame:
+    """Minutes by `(year, month, month_name, effective subscription)` for one location,
+    ordered by year, month, subscription. `total_duration` is in minutes."""
     return (
-        eff.groupBy(*_MONTH_KEYS, "subscription")
-        .agg((F.sum("seconds") / F.lit(60)).alias("total_duration"))
+        monthly_seconds(df, location)
+        .select(*_MONTH_KEYS, "subscription", (F.col("seconds") / F.lit(60)).alias("total_duration"))
         .orderBy("year", "month", "subscription")
     )
 
 
 def monthly_listening_all(df: DataFrame) -> DataFrame:
     """`monthly_listening` for Nationwide and every state in one job (`location` column)."""
-    per_state = _effective_seconds(df).groupBy("state", *_MONTH_KEYS, "subscription").agg(
-        F.sum("seconds").alias("seconds")
-    )
-    by_loc = rollup_locations(per_state, [*_MONTH_KEYS, "subscription"], ["seconds"])
-    return by_loc.select(
+    return monthly_seconds_all(df).select(
         "location", *_MONTH_KEYS, "subscription", (F.col("seconds") / F.lit(60)).alias("total_duration")
     )

@@ -97,44 +97,61 @@ def _group(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
 
 
 def monthly_stats(monthly: DataFrame) -> DataFrame:
-    """Statistics of a monthly table (`monthly_listening[_all]` output), per location.
+    """Statistics of a monthly table, per location (or one row when there is no `location`).
 
     Month totals merge years (grouped by month name only). Peak and lowest
-    month ties go to the alphabetically first month. Missing minutes count as 0
+    month ties go to the alphabetically first month. Missing values count as 0
     and a missing month name or subscription is left out of its grouping.
     With no `location` column the result is a single row, also for an empty
     input (`n_rows` = 0).
+
+    Input: `monthly_seconds[_all]` output (a `seconds` column) or
+    `monthly_listening[_all]` output (`total_duration` in minutes). With
+    seconds, every total is a sum of seconds divided by 60 once at the end:
+    exact for whole seconds and independent of summation order, so a total of
+    exactly x.5 minutes stays x.5. Summing minute values that were already
+    divided (the only choice for a minutes table) leaves the last bits to the
+    order in which rows arrive.
     """
     loc = ["location"] if "location" in monthly.columns else []
+    if "seconds" in monthly.columns:
+        amount, scale = F.coalesce(F.col("seconds").cast("double"), F.lit(0.0)), 60.0
+    else:
+        amount, scale = F.coalesce(_number(monthly, "total_duration"), F.lit(0.0)), 1.0
     # One exchange by location serves the three aggregates below (each groups
     # by location plus finer keys). A location holds at most months x
     # subscriptions rows, so Nationwide is no hotter than any state.
     src = monthly.repartition(*loc) if loc else monthly
-    rows = src.select(*loc, "month_name", "subscription",
-                      F.coalesce(_number(monthly, "total_duration"), F.lit(0.0)).alias("minutes"))
+    rows = src.select(*loc, "month_name", "subscription", amount.alias("amount"))
     by_sub = rows.groupBy(*loc, "month_name", "subscription").agg(
-        F.sum("minutes").alias("minutes"), F.count(F.lit(1)).alias("n")
+        F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("n")
     )
     by_month = by_sub.groupBy(*loc, "month_name").agg(
-        F.sum("minutes").alias("minutes"),
+        F.sum("amount").alias("amount"),
         F.sum("n").alias("n"),
         F.array_sort(
-            F.collect_list(F.when(F.col("subscription").isNotNull(), F.struct("subscription", "minutes")))
+            F.collect_list(
+                F.when(
+                    F.col("subscription").isNotNull(),
+                    F.struct("subscription", (F.col("amount") / F.lit(scale)).alias("minutes")),
+                )
+            )
         ).alias("breakdown"),
     )
     named = F.col("month_name").isNotNull()
-    peak_key = F.when(named, F.struct((-F.col("minutes")).alias("m"), F.col("month_name").alias("k")))
-    low_key = F.when(named, F.struct(F.col("minutes").alias("m"), F.col("month_name").alias("k")))
+    amount = F.col("amount")
+    peak_key = F.when(named, F.struct((-amount).alias("m"), F.col("month_name").alias("k")))
+    low_key = F.when(named, F.struct(amount.alias("m"), F.col("month_name").alias("k")))
     return _group(
         by_month,
         loc,
         F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("n_rows"),
-        F.coalesce(F.sum("minutes"), F.lit(0.0)).alias("total_minutes"),
-        F.avg(F.when(named, F.col("minutes"))).alias("avg_month_minutes"),
+        (F.coalesce(F.sum(amount), F.lit(0.0)) / F.lit(scale)).alias("total_minutes"),
+        (F.avg(F.when(named, amount)) / F.lit(scale)).alias("avg_month_minutes"),
         F.min_by("month_name", peak_key).alias("peak_month"),
-        F.max(F.when(named, F.col("minutes"))).alias("peak_minutes"),
+        (F.max(F.when(named, amount)) / F.lit(scale)).alias("peak_minutes"),
         F.min_by("month_name", low_key).alias("low_month"),
-        F.min(F.when(named, F.col("minutes"))).alias("low_minutes"),
+        (F.min(F.when(named, amount)) / F.lit(scale)).alias("low_minutes"),
         F.min_by("breakdown", peak_key).alias("peak_breakdown"),
     )
 

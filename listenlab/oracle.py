@@ -91,27 +91,35 @@ monthly AS (
   FROM eff GROUP BY ALL
 )"""
 
+# Totals in seconds (exact sums), divided by 60 once, as on the Spark side.
 MONTHLY_STATS = """
+mon_s AS (
+  SELECT state AS location, year, month, month_name, eff_subscription AS subscription, sum(duration) AS seconds
+  FROM eff WHERE state IS NOT NULL GROUP BY ALL
+  UNION ALL
+  SELECT 'Nationwide' AS location, year, month, month_name, eff_subscription AS subscription, sum(duration) AS seconds
+  FROM eff GROUP BY ALL
+),
 bs AS (
-  SELECT location, month_name, subscription, sum(coalesce(total_duration, 0)) AS minutes, count(*) AS n
-  FROM monthly GROUP BY ALL
+  SELECT location, month_name, subscription, sum(coalesce(seconds, 0)) AS amount, count(*) AS n
+  FROM mon_s GROUP BY ALL
 ),
 bm AS (
-  SELECT location, month_name, sum(minutes) AS minutes, sum(n) AS n,
-         string_agg(subscription || ': ' || format('{:.0f}', minutes), ', ' ORDER BY subscription)
+  SELECT location, month_name, sum(amount) AS amount, sum(n) AS n,
+         string_agg(subscription || ': ' || format('{:.0f}', amount / 60.0), ', ' ORDER BY subscription)
            FILTER (WHERE subscription IS NOT NULL) AS breakdown
   FROM bs GROUP BY ALL
 ),
 st AS (
   SELECT location,
          CAST(sum(n) AS BIGINT) AS n_rows,
-         sum(minutes) AS total_minutes,
-         avg(minutes) FILTER (WHERE month_name IS NOT NULL) AS avg_month_minutes,
-         arg_min(month_name, {'m': -minutes, 'k': month_name}) FILTER (WHERE month_name IS NOT NULL) AS peak_month,
-         max(minutes) FILTER (WHERE month_name IS NOT NULL) AS peak_minutes,
-         arg_min(month_name, {'m': minutes, 'k': month_name}) FILTER (WHERE month_name IS NOT NULL) AS low_month,
-         min(minutes) FILTER (WHERE month_name IS NOT NULL) AS low_minutes,
-         arg_min(breakdown, {'m': -minutes, 'k': month_name}) FILTER (WHERE month_name IS NOT NULL) AS peak_breakdown
+         sum(amount) / 60.0 AS total_minutes,
+         avg(amount) FILTER (WHERE month_name IS NOT NULL) / 60.0 AS avg_month_minutes,
+         arg_min(month_name, {'m': -amount, 'k': month_name}) FILTER (WHERE month_name IS NOT NULL) AS peak_month,
+         max(amount) FILTER (WHERE month_name IS NOT NULL) / 60.0 AS peak_minutes,
+         arg_min(month_name, {'m': amount, 'k': month_name}) FILTER (WHERE month_name IS NOT NULL) AS low_month,
+         min(amount) FILTER (WHERE month_name IS NOT NULL) / 60.0 AS low_minutes,
+         arg_min(breakdown, {'m': -amount, 'k': month_name}) FILTER (WHERE month_name IS NOT NULL) AS peak_breakdown
   FROM bm GROUP BY location
 )"""
 
@@ -162,7 +170,7 @@ def _monthly_prompt_sql() -> str:
         f"'In the peak month, listening breakdown is: ' || peak_breakdown || '.'"
     )
     return (
-        _with(LISTENS, EFFECTIVE, MONTHLY_ALL, MONTHLY_STATS)
+        _with(LISTENS, EFFECTIVE, MONTHLY_STATS)
         + f"SELECT location, n_rows, CASE WHEN n_rows = 0 THEN {_q(S.EMPTY_MONTHLY)} ELSE {text} END AS prompt FROM st"
     )
 
@@ -334,9 +342,9 @@ def oracle_sql() -> dict[str, str]:
             f"FROM eff WHERE state = {_q(STATE)} GROUP BY ALL"
         ),
         "monthly_listening_all": _with(LISTENS, EFFECTIVE, MONTHLY_ALL) + "SELECT * FROM monthly",
-        "monthly_stats": _with(LISTENS, EFFECTIVE, MONTHLY_ALL, MONTHLY_STATS) + (
-            "SELECT location, n_rows, round(total_minutes, 6) AS total_minutes, round(avg_month_minutes, 6) AS avg_month_minutes, "
-            "peak_month, round(peak_minutes, 6) AS peak_minutes, low_month, round(low_minutes, 6) AS low_minutes, peak_breakdown FROM st"
+        "monthly_stats": _with(LISTENS, EFFECTIVE, MONTHLY_STATS) + (
+            "SELECT location, n_rows, total_minutes, avg_month_minutes, "
+            "peak_month, peak_minutes, low_month, low_minutes, peak_breakdown FROM st"
         ),
         "state_map": _with(LISTENS, STATE_GRID.replace("WHERE artist IS NOT NULL", f"WHERE artist = {_q(ARTIST)}")) + (
             f"SELECT {_q(ARTIST)} AS artist, u.state, CAST(coalesce(ac.listens, 0) AS BIGINT) AS listens, u.NAME, "

@@ -57,21 +57,15 @@ def _kpi_cards(d: DataFrame) -> DataFrame:
 
 
 def _monthly_stats(d: DataFrame) -> DataFrame:
-    s = summaries.monthly_summary_prompt(monthly.monthly_listening_all(d))
-    # Month totals add up minute values, whose last bits depend on summation
-    # order; six decimals keep the comparison independent of it.
+    s = summaries.monthly_summary_prompt(monthly.monthly_seconds_all(d))
     return s.select(
-        "location", "n_rows",
-        F.round("total_minutes", 6).alias("total_minutes"),
-        F.round("avg_month_minutes", 6).alias("avg_month_minutes"),
-        "peak_month", F.round("peak_minutes", 6).alias("peak_minutes"),
-        "low_month", F.round("low_minutes", 6).alias("low_minutes"),
-        "peak_breakdown",
+        "location", "n_rows", "total_minutes", "avg_month_minutes",
+        "peak_month", "peak_minutes", "low_month", "low_minutes", "peak_breakdown",
     )
 
 
 def _monthly_summary_prompt(d: DataFrame) -> DataFrame:
-    s = summaries.monthly_summary_prompt(monthly.monthly_listening_all(d))
+    s = summaries.monthly_summary_prompt(monthly.monthly_seconds_all(d))
     return s.select("location", "n_rows", "prompt")
 
 

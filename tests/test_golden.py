@@ -178,3 +178,15 @@ def test_map_summary_prompt(clean):
         "summarize: Total listens Nationwide: 2.Total listens in CA: 2.Average listens in CA: 0."
         "Top state: CA with 1 listens.Lowest state: AL with 0 listens."
     )
+
+
+def test_monthly_stats_from_seconds_is_exact(spark):
+    # three years of 17,630 s in May: exactly 881.5 minutes, which must print as 882 (ties to even)
+    rows = [("X", y, 5, "May", "free", 17630.0) for y in (2001, 2002, 2003)]
+    rows += [("X", 2001, 6, "June", "free", 60.0)]
+    secs = spark.createDataFrame(rows, "location string, year int, month int, month_name string, subscription string, seconds double")
+    for parts in ("1", "3", "7"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        r = L.monthly_summary_prompt(secs).collect()[0]
+        assert r.peak_breakdown == "free: 882" and r.peak_minutes == 881.5 and r.total_minutes == 882.5
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
