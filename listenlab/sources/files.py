@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -80,8 +79,3 @@ def write_clean(clean: DataFrame, path: str) -> None:
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
     """Read cleaned listens written by `write_clean`, in the declared column order."""
     return spark.read.option("basePath", path).parquet(path).select(*CLEAN_COLUMNS)
-
-
-def local_path(path: str) -> str:
-    """Strip a file: scheme (for tests that inspect written files)."""
-    return path[len("file:"):] if path.startswith("file:") else os.path.abspath(path)

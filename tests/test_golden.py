@@ -190,3 +190,13 @@ def test_monthly_stats_from_seconds_is_exact(spark):
         r = L.monthly_summary_prompt(secs).collect()[0]
         assert r.peak_breakdown == "free: 882" and r.peak_minutes == 881.5 and r.total_minutes == 882.5
     spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_us_states_dimension(spark):
+    from listenlab.sources.schema import us_states_array
+
+    dim = [tuple(r) for r in L.us_states(spark).collect()]
+    assert len(dim) == 51 and len({c for _, _, c in dim}) == 51
+    assert dim[0] == (1, "Alabama", "AL") and dim[-1] == (51, "District of Columbia", "DC")
+    arr = spark.range(1).select(F.inline(us_states_array())).collect()
+    assert [tuple(r) for r in arr] == dim
