@@ -31,6 +31,12 @@ def test_no_python_evaluation(plans):
             assert marker not in p, (k, marker)
 
 
+def test_no_cross_or_nested_loop_joins(plans):
+    for k, p in plans.items():
+        for marker in ("CartesianProduct", "BroadcastNestedLoopJoin", "Cross"):
+            assert marker not in p, (k, marker)
+
+
 SINGLE_PASS = [
     "artist_state_listens", "artist_state_listens_all", "artists_over", "top_n_by_listens", "states_list",
     "top_artists", "top_artists_all", "bottom_artists", "top_songs_free", "top_songs_paid", "top_songs_all",
