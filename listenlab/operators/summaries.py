@@ -179,7 +179,8 @@ def monthly_summary_prompt(monthly: DataFrame) -> DataFrame:
 
 def table_prompt(monthly: DataFrame) -> DataFrame:
     """The monthly table as text (one `col=value` line per row, in year, month,
-    subscription order) wrapped in a request for a short summary; per location."""
+    subscription order, a NULL subscription first as in the monthly table's own
+    sort) wrapped in a request for a short summary; per location."""
     loc = ["location"] if "location" in monthly.columns else []
     if isinstance(monthly.schema["total_duration"].dataType, T.StringType):
         minutes_text = py_fixed(coerce_numeric(F.col("total_duration")), 2)
@@ -197,7 +198,7 @@ def table_prompt(monthly: DataFrame) -> DataFrame:
         *loc,
         F.struct(
             F.col("year").alias("y"), F.col("month").alias("m"),
-            F.col("subscription").isNull().alias("sn"), F.col("subscription").alias("s"),
+            F.col("subscription").isNotNull().alias("sn"), F.col("subscription").alias("s"),
             line.alias("line"),
         ).alias("r"),
     )

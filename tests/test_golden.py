@@ -200,3 +200,15 @@ def test_us_states_dimension(spark):
     assert dim[0] == (1, "Alabama", "AL") and dim[-1] == (51, "District of Columbia", "DC")
     arr = spark.range(1).select(F.inline(us_states_array())).collect()
     assert [tuple(r) for r in arr] == dim
+
+
+def test_table_prompt_line_order(spark):
+    rows = [(2024, 1, "January", "paid", 60.0), (2024, 1, "January", None, 30.0), (2023, 12, "December", "free", 1.5)]
+    m = spark.createDataFrame(rows, "year int, month int, month_name string, subscription string, total_duration double")
+    p = L.table_prompt(m).collect()[0].prompt
+    body = p.split("\n")[1:-1]
+    assert body == [
+        "year=2023, month=12, month_name=December, subscription=free, total_duration=1.50",
+        "year=2024, month=1, month_name=January, subscription=None, total_duration=30.00",
+        "year=2024, month=1, month_name=January, subscription=paid, total_duration=60.00",
+    ]
