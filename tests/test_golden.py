@@ -212,3 +212,14 @@ def test_table_prompt_line_order(spark):
         "year=2024, month=1, month_name=January, subscription=None, total_duration=30.00",
         "year=2024, month=1, month_name=January, subscription=paid, total_duration=60.00",
     ]
+
+
+def test_clean_compat_mode(spark, raw):
+    from listenlab.functions.text import mis_encode
+
+    garbled = raw.withColumn("artist", mis_encode(F.lit("Beyoncé"), 2)).withColumn("song", mis_encode(F.col("song"), 1))
+    strict = L.clean_listens(garbled).select("artist", "song").collect()
+    compat = L.clean_listens(garbled, mode="compat").select("artist", "song").collect()
+    assert {r.artist for r in strict} == {"Beyoncé"} and {r.artist for r in compat} == {"Beyoncé"}
+    # ASCII song titles are their own repair in both modes
+    assert [r.song for r in strict] == [r.song for r in compat] == [e[2] for e in EDGE]
