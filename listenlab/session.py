@@ -38,15 +38,18 @@ def cluster_settings(input_bytes: int, total_cores: int, partition_bytes: int =
 
     - Scan splits of `partition_bytes / 2` give every core several tasks and
       keep one task's input bounded.
-    - The initial shuffle width covers the largest possible shuffle (the
-      fact-table join of the derived view) at about `partition_bytes` per
-      partition. AQE coalesces the many smaller post-aggregation shuffles down
-      to the advisory size, splits skewed partitions of joins and rebalances,
-      and converts joins to broadcasts when a side turns out small.
+    - The initial shuffle width aims at about `partition_bytes` per partition
+      for an input-sized shuffle, clamped to 2-20 partitions per core. Every
+      map task writes one segment per partition and every reducer fetches one
+      block per map task, so a wider setting costs more than it saves. The
+      only input-sized shuffles are the derived view's joins; the operators
+      shuffle map-side partial aggregates. AQE coalesces small shuffles down to
+      the advisory size, splits skewed partitions of joins and rebalances, and
+      converts joins to broadcasts when a side turns out small.
     - Pass the result to `SparkSession.builder.config(map=...)` together with a
       shared `spark.checkpoint.dir`.
     """
-    shuffle = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    shuffle = min(max(2 * total_cores, -(-input_bytes // partition_bytes)), 20 * total_cores)
     return {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",

@@ -88,5 +88,7 @@ def test_cluster_settings_scale_with_input():
     small = cluster_settings(10 << 30, 64)
     big = cluster_settings(100 << 40, 8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 128
-    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert int(big["spark.sql.shuffle.partitions"]) == 20 * 8000  # clamped below 409,600
+    mid = cluster_settings(1 << 40, 8000)
+    assert int(mid["spark.sql.shuffle.partitions"]) == 16000  # 2 per core floor (1 TiB / 256 MiB = 4096)
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
