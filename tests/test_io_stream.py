@@ -92,3 +92,17 @@ def test_cluster_settings_scale_with_input():
     mid = cluster_settings(1 << 40, 8000)
     assert int(mid["spark.sql.shuffle.partitions"]) == 16000  # 2 per core floor (1 TiB / 256 MiB = 4096)
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_jobs_ingest_and_publish(spark, sf_small, tmp_path):
+    from listenlab import jobs
+
+    src, clean, out = (str(tmp_path / n) for n in ("json", "clean", "tables"))
+    files.write_listens(listen_events(spark, sf_small), src)
+    stored = jobs.ingest_json(spark, src, clean)
+    assert stored.count() == listen_events(spark, sf_small).count()
+    written = jobs.publish_dashboard_tables(spark, clean, out)
+    assert set(written) == set(jobs.DASHBOARD_TABLES)
+    top = spark.read.parquet(written["top_artists"])
+    assert _rows(top) == _rows(L.top_artists_all(L.clean_listens(listen_events(spark, sf_small))))
+    assert spark.read.parquet(written["state_map"]).count() % 51 == 0
