@@ -106,3 +106,10 @@ def test_jobs_ingest_and_publish(spark, sf_small, tmp_path):
     top = spark.read.parquet(written["top_artists"])
     assert _rows(top) == _rows(L.top_artists_all(L.clean_listens(listen_events(spark, sf_small))))
     assert spark.read.parquet(written["state_map"]).count() % 51 == 0
+
+
+def test_write_clean_without_rebalance(spark, sf_small, tmp_path):
+    clean = L.clean_listens(listen_events(spark, sf_small))
+    path = str(tmp_path / "clean_nr")
+    files.write_clean(clean, path, rebalance=False)
+    assert _rows(files.read_clean(spark, path)) == _rows(clean.select(*L.CLEAN_COLUMNS))
