@@ -119,8 +119,13 @@ def coerce_numeric(c: Column | str) -> Column:
     """Text to double; anything unparsable becomes NULL (pandas `to_numeric(errors="coerce")`).
 
     Java's parser also accepts a trailing type letter ('1.5d', '2f') and hex
-    floats ('0x1p3') that pandas rejects, so those forms are refused before the cast.
+    floats ('0x1p3') that pandas rejects, so those forms are refused before the
+    cast; and an overflowing literal ('1e999') parses to infinity there but is a
+    failure for pandas, so infinity counts only when the text spells it.
     """
     c = _col(c)
     s = c.cast("string")
-    return F.when(~s.rlike(r"[0-9.]\s*[dDfF]\s*$|[xX]"), s.try_cast("double"))
+    v = s.try_cast("double")
+    spelled_inf = s.rlike(r"(?i)^\s*[+-]?inf(inity)?\s*$")
+    overflow = ((v == float("inf")) | (v == float("-inf"))) & ~spelled_inf
+    return F.when(~s.rlike(r"[0-9.]\s*[dDfF]\s*$|[xX]") & ~overflow, v)

@@ -184,3 +184,24 @@ def test_py_text_sql_form_matches_python(spark, digits):
     assert not bad, bad[:5]
     sp = spark.createDataFrame([(None,), (float("nan"),), (float("inf"),), (float("-inf"),)], "x double")
     assert [r[0] for r in sp.select(py_text("x", digits)).collect()] == [None, "nan", "inf", "-inf"]
+
+
+def test_coerce_numeric_matches_pandas(spark):
+    import math
+
+    import pandas as pd
+
+    vals = ["1", " 12 ", "1e3", "-2.5", "n/a", "", "1.5d", "2f", "inf", "-inf", "Infinity", "-Infinity", "nan",
+            "NaN", "abc", None, "0x1p3", "+4", "1_000", "1,000", ".5", "5.", "1e", "e5", "1e+5", "1E-5", "  ",
+            "\t3\n", "0012", "-0", "+-1", "3.14abc", "INF", "inFinity", "NAN", "1.7976931348623157e309", "-1e999",
+            "4.9e-325", "0.1", "123456789012345678901234567890"]
+    expect = pd.to_numeric(pd.Series(vals, dtype=object), errors="coerce").tolist()
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, s string")
+    got = {r.i: r.v for r in df.select("i", coerce_numeric(F.col("s")).alias("v")).collect()}
+
+    def missing(x):
+        return x is None or (isinstance(x, float) and math.isnan(x))
+
+    for i, v in enumerate(vals):
+        e, g = expect[i], got[i]
+        assert missing(e) == missing(g) and (missing(e) or float(e) == float(g)), (v, e, g)
