@@ -111,8 +111,10 @@ def py_text(x: str, digits: int = 0) -> Column:
 
 
 def py_round_text(x: Column | str) -> Column:
-    """Text of Python's `round(x)` (ties to even) for a non-negative double."""
-    return py_text(x, 0) if isinstance(x, str) else py_fixed(x, 0)
+    """Text of Python's `str(round(x))`: ties to even, and an integer, so a
+    negative value that rounds to zero prints "0" (format(x, '.0f') gives "-0")."""
+    t = py_text(x, 0) if isinstance(x, str) else py_fixed(x, 0)
+    return F.when(t == "-0", F.lit("0")).otherwise(t)
 
 
 def coerce_numeric(c: Column | str) -> Column:

@@ -205,3 +205,14 @@ def test_coerce_numeric_matches_pandas(spark):
     for i, v in enumerate(vals):
         e, g = expect[i], got[i]
         assert missing(e) == missing(g) and (missing(e) or float(e) == float(g)), (v, e, g)
+
+
+def test_py_round_text_matches_python_round(spark):
+    from listenlab.functions.numbers import py_round_text
+
+    vals = [0.5, 1.5, 2.5, -0.4, -0.5, -1.5, -2.5, 1234.5, 0.49999999999999994, 7.0, -7.0] + _doubles(500, 3)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, x double")
+    for form in ("x", F.col("x")):
+        got = {r.i: r.t for r in df.select("i", py_round_text(form).alias("t")).collect()}
+        bad = [(v, got[i], str(round(v))) for i, v in enumerate(vals) if got[i] != str(round(v))]
+        assert not bad, bad[:5]
