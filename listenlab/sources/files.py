@@ -6,6 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .schema import CLEAN_COLUMNS, LISTEN_SCHEMA, RAW_COLUMNS
 
@@ -38,9 +40,38 @@ def new_output_path(spark: SparkSession, name: str) -> str:
     return f"{base}{sep}listenlab/{name}-{uuid.uuid4().hex}"
 
 
-def read_listens(spark: SparkSession, path: str) -> DataFrame:
-    """Read a directory of JSON-lines play events with the declared schema."""
-    return spark.read.schema(LISTEN_SCHEMA).json(path)
+def text_schema() -> T.StructType:
+    """The event schema with every non-text field read as text (see `typed_listens`)."""
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in LISTEN_SCHEMA.fields])
+
+
+def typed_listens(raw_text: DataFrame) -> DataFrame:
+    """Cast events read with `text_schema` to the declared types; unparsable values become NULL.
+
+    Event logs often quote numbers ("userId": "13") or leave them empty
+    ("userId": ""). Read straight into a long column, Spark's JSON parser turns
+    such a value into NULL and keeps the rest of the row, so every quoted user
+    id would be lost. Read as text, a quoted or bare number survives the cast
+    with the same value, and only text that is not a number becomes NULL.
+    """
+    return raw_text.select(
+        *[
+            F.col(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name).try_cast(f.dataType).alias(f.name)
+            for f in LISTEN_SCHEMA.fields
+        ]
+    )
+
+
+def read_listens(spark: SparkSession, path: str, exact_types: bool = False) -> DataFrame:
+    """Read a directory of JSON-lines play events into the declared schema.
+
+    Declared, so there is no inference pass. By default numeric fields are
+    read as text and cast (`typed_listens`), which keeps quoted numbers;
+    `exact_types=True` reads them as JSON numbers only.
+    """
+    if exact_types:
+        return spark.read.schema(LISTEN_SCHEMA).json(path)
+    return typed_listens(spark.read.schema(text_schema()).json(path))
 
 
 def write_listens(events: DataFrame, path: str) -> None:

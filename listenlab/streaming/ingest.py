@@ -14,7 +14,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.clean import clean_listens
-from ..sources.schema import CLEAN_COLUMNS, LISTEN_SCHEMA
+from ..sources.files import text_schema, typed_listens
+from ..sources.schema import CLEAN_COLUMNS
 
 
 def start_clean_ingest(
@@ -26,10 +27,10 @@ def start_clean_ingest(
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    reader = spark.readStream.schema(LISTEN_SCHEMA)
+    reader = spark.readStream.schema(text_schema())
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    clean = clean_listens(reader.json(source_dir), mode=mode).select(*CLEAN_COLUMNS)
+    clean = clean_listens(typed_listens(reader.json(source_dir)), mode=mode).select(*CLEAN_COLUMNS)
     writer = (
         clean.writeStream.format("parquet")
         .option("path", sink_dir)
