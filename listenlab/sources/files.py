@@ -54,12 +54,20 @@ def typed_listens(raw_text: DataFrame) -> DataFrame:
     id would be lost. Read as text, a quoted or bare number survives the cast
     with the same value, and only text that is not a number becomes NULL.
     """
-    return raw_text.select(
-        *[
-            F.col(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name).try_cast(f.dataType).alias(f.name)
-            for f in LISTEN_SCHEMA.fields
-        ]
-    )
+    return raw_text.select(*[_typed(f).alias(f.name) for f in LISTEN_SCHEMA.fields])
+
+
+def _typed(f: T.StructField):
+    c = F.col(f.name)
+    if isinstance(f.dataType, T.StringType):
+        return c
+    if isinstance(f.dataType, (T.LongType, T.IntegerType)):
+        # Integral fields also accept a whole number written with a fraction or
+        # exponent ("1.538173362E12"), which the integral cast alone rejects.
+        d = c.try_cast("double")
+        whole = F.when(d == F.floor(d), d.try_cast(f.dataType))
+        return F.coalesce(c.try_cast(f.dataType), whole)
+    return c.try_cast(f.dataType)
 
 
 def read_listens(spark: SparkSession, path: str, exact_types: bool = False) -> DataFrame:

@@ -121,11 +121,12 @@ def test_read_listens_keeps_quoted_numbers(spark, tmp_path):
     (path / "a.json").write_text(
         '{"userId": 12, "duration": 60.5, "ts": 1704067200000, "level": "paid"}\n'
         '{"userId": "13", "duration": "30", "ts": "1704067200001", "level": "free"}\n'
-        '{"userId": "", "duration": "n/a", "ts": 1704067200002, "level": "free"}\n'
+        '{"userId": "", "duration": "n/a", "ts": 1704067200002, "level": "free", "registration": 1.538173362E12}\n'
     )
     df = files.read_listens(spark, str(path))
     assert df.schema == L.LISTEN_SCHEMA
     got = sorted((r.ts, r.userId, r.duration) for r in df.collect())
     assert got == [(1704067200000, 12, 60.5), (1704067200001, 13, 30.0), (1704067200002, None, None)]
+    assert sorted(r.registration for r in df.collect() if r.registration is not None) == [1538173362000]
     exact = files.read_listens(spark, str(path), exact_types=True).collect()
     assert sum(r.userId is None for r in exact) == 2  # the JSON-number reader loses the quoted "13" too
