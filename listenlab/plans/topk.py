@@ -26,6 +26,8 @@ def top_k(
     `row_number() <= k` lets Spark insert a partial WindowGroupLimit before the
     shuffle: every map task forwards at most k rows per group, so even a group
     holding most of the data (the "Nationwide" location) ships k rows per task.
+    Without a partition key Spark plans a TakeOrderedAndProject instead: a
+    top-k per task, merged once.
     """
     w = Window.partitionBy(*partition_by).orderBy(*order) if partition_by else Window.orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
