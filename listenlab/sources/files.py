@@ -15,8 +15,8 @@ from .schema import CLEAN_COLUMNS, LISTEN_SCHEMA, RAW_COLUMNS
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in `spark.checkpoint.dir`.
 
-    Only when the session has none (a local test session) is a local folder
-    created and registered as the checkpoint directory.
+    Only a local-mode session without one (a test) gets a local folder,
+    registered as the checkpoint directory; on a cluster the setting is required.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
@@ -25,6 +25,10 @@ def shared_dir(spark: SparkSession) -> str:
         except Exception:  # Spark Connect has no SparkContext
             d = None
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            # A machine-local folder is invisible to executors on other hosts.
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="listenlab-ckpt-")
         try:
             spark.sparkContext.setCheckpointDir(d)

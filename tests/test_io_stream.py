@@ -133,3 +133,21 @@ def test_read_listens_keeps_quoted_numbers(spark, tmp_path):
     assert sorted(r.registration for r in df.collect() if r.registration is not None) == [1538173362000]
     exact = files.read_listens(spark, str(path), exact_types=True).collect()
     assert sum(r.userId is None for r in exact) == 2  # the JSON-number reader loses the quoted "13" too
+
+
+def test_shared_dir_refuses_local_folder_on_a_cluster():
+    import pytest as _pytest
+
+    class _Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "yarn"}.get(key, default)
+
+    class _Session:
+        conf = _Conf()
+
+        @property
+        def sparkContext(self):
+            raise RuntimeError("no context")
+
+    with _pytest.raises(ValueError, match="shared by the cluster"):
+        files.shared_dir(_Session())
