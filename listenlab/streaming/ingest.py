@@ -1,11 +1,13 @@
 """Clean play events as they land, into the same Parquet layout `write_clean` uses.
 
 The dashboard's input is a folder of JSON event files that keeps growing. A
-file-source stream with the declared schema runs `clean_listens` on each new
-batch of files and appends to Parquet partitioned by `year, month`; the
-checkpoint records which files are done, so a restarted or failed query
-resumes without reprocessing or losing files. `availableNow` processes what is
-there and stops (a scheduled job); omit it for an always-on query.
+file-source stream reads each new batch of files like `read_listens` does
+(numeric fields as text, cast to the declared types), runs `clean_listens`
+and appends to Parquet partitioned by `year, month`. The checkpoint records
+which files are done, so a restarted or failed query resumes without
+reprocessing or losing files; on a cluster it must live on shared storage,
+like `spark.checkpoint.dir`. `availableNow` processes what is there and stops
+(a scheduled job); omit it for an always-on query.
 """
 
 from __future__ import annotations
