@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, sharding, url_rules
+import public_tokenizers
+
+from . import bpe, line_dedup, mixing, sharding, simhash, url_rules
 from .common import table
 
 RULES = [
@@ -18,6 +20,13 @@ RULES = [
     ("block", "net", "/fr/"),
 ]
 
+#: The vocabulary's place on every machine, and the pattern that cuts texts.
+RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -44,11 +53,17 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), RANKS, PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
     "op2_line_dedup": op2_line_dedup,
     "op3_url_filter": op3_url_filter,
     "op4_mixing": op4_mixing,
     "op5_sharding": op5_sharding,
+    "op6_bpe": op6_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {}
