@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, line_dedup, mixing, sharding, simhash, url_rules
+from . import bpe, line_dedup, mixing, sharding, simhash, toxicity, url_rules
 from .common import table
 
 RULES = [
@@ -57,6 +57,12 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = toxicity.learn_and_score(docs, table(spark, sf_dir, "labels"))
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_line_dedup": op2_line_dedup,
@@ -64,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op5_sharding": op5_sharding,
     "op6_bpe": op6_bpe,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
