@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, line_dedup, mixing, sharding, simhash, toxicity, url_rules
+from . import ann, bpe, exact_topk, line_dedup, mixing, sharding, simhash, token_counts, toxicity, url_rules
 from .common import table
 
 RULES = [
@@ -57,6 +57,19 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("text")
+    return token_counts.suffix_sums(token_counts.length_histogram(docs, RANKS, PATTERN))
+
+
+def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = toxicity.learn_and_score(docs, table(spark, sf_dir, "labels"))
@@ -70,6 +83,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op5_sharding": op5_sharding,
     "op6_bpe": op6_bpe,
+    "op7_token_counts": op7_token_counts,
+    "op8_exact_topk": op8_exact_topk,
+    "op9_ann": op9_ann,
     "op10_toxicity": op10_toxicity,
 }
 
