@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ship, stash
+from .common import hash_sample, ship, stash
 from .vectors import best, matrix, merge_best, usable
 
 K = 20
@@ -148,7 +148,7 @@ def build(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding"
     """Fit the tree on a bounded sample and index every usable row; None without any."""
     ship(vectors.sparkSession)
     rows = stash(usable(vectors, id_col, vec_col, nonzero=True), "ann-vectors")
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_ROWS).toPandas()["vec"]
+    sample = hash_sample(rows, FIT_ROWS, "vec_id").toPandas()["vec"]
     if not len(sample):
         return None
     d = int(sample.map(len).mode()[0])
@@ -169,7 +169,7 @@ def build(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding"
 
 def leaves_to_visit(index: Index, is_query: Column, k: int = K, target: float = TARGET_RECALL) -> int:
     """How many leaves hold `target` of the true neighbours, for a sample of the queries against all rows."""
-    sample = index.rows.filter(is_query).orderBy(F.xxhash64("vec_id", F.lit(7)), "vec_id").limit(CALIBRATION_QUERIES).toPandas()
+    sample = hash_sample(index.rows.filter(is_query), CALIBRATION_QUERIES, "vec_id", seed=1).toPandas()
     if not len(sample):
         return 1
     queries, query_ids = np.array(sample["vec"].tolist()), sample["vec_id"].to_numpy()

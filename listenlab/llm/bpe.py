@@ -265,17 +265,17 @@ def _replaced(docs: DataFrame, new: list[T.StructField]) -> tuple[DataFrame, T.S
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
-    """`docs` with token_ids (array of long) and n_tokens."""
+    """`docs` with token_ids (array of int) and n_tokens."""
     ship(docs.sparkSession)
-    src, out = _replaced(docs, [T.StructField("token_ids", T.ArrayType(T.LongType(), False)), T.StructField("n_tokens", T.LongType())])
+    src, out = _replaced(docs, [T.StructField("token_ids", T.ArrayType(T.IntegerType(), False)), T.StructField("n_tokens", T.LongType())])
     at = src.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(path, pattern)
         for b in batches:
-            ids = [np.frombuffer(t.encode(x.as_py()), IDS).astype(np.int64) for x in b.column(at)]
+            ids = [np.frombuffer(t.encode(x.as_py()), IDS).astype(np.int32) for x in b.column(at)]
             sizes = [len(x) for x in ids]
-            flat = np.concatenate(ids) if ids else np.array([], np.int64)
+            flat = np.concatenate(ids) if ids else np.array([], np.int32)
             lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), flat)
             yield pa.RecordBatch.from_arrays([*b.columns, lists, pa.array(sizes, pa.int64())], names=out.names)
 

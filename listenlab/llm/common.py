@@ -62,3 +62,14 @@ def ship(spark: SparkSession) -> None:
     shutil.copytree(package, copy, ignore=shutil.ignore_patterns("__pycache__"))
     sc.addPyFile(shutil.make_archive(os.path.join(own, "listenlab-package"), "zip", os.path.join(own, "src")))
     sc._listenlab_shipped = True
+
+
+def hash_sample(df: DataFrame, rows: int, *key: str, seed: int = 0) -> DataFrame:
+    """The `rows` rows of `df` with the smallest hashes of `key` (all, if fewer), alike at every run.
+
+    Rows that cannot be among them go first, by a bound on the hash, so that no task sends more than its share.
+    """
+    n, unit = df.count(), 1 << 30
+    chance = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(unit))
+    near = df.filter(chance < unit * 2 * rows // n) if n > 2 * rows else df
+    return near.orderBy(chance, *key).limit(rows)

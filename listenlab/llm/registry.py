@@ -76,6 +76,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_line_dedup": op2_line_dedup,
@@ -87,6 +93,58 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_topk": op8_exact_topk,
     "op9_ann": op9_ann,
     "op10_toxicity": op10_toxicity,
+    "pipeline": pipeline,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: DuckDB statements. The other operators hash with XXH64, train a model, or need the tokenizer; tests hold them against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op2_line_dedup": """
+        WITH lines AS (
+            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                   unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS at
+            FROM documents
+        ), keyed AS (
+            SELECT *, translate(trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '),
+                                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM lines
+        ), repeated AS (
+            SELECT key, max(doc_id) AS holder FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+        ), judged AS (
+            SELECT k.*, r.key IS NOT NULL AND k.doc_id <> r.holder AS dropped FROM keyed k LEFT JOIN repeated r ON k.key = r.key
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+        FROM judged GROUP BY doc_id
+    """,
+    "op3_url_filter": """
+        WITH parts AS (
+            SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+        ), split AS (
+            SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM parts
+        ), rules(verdict, h, p) AS (
+            VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+                   ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+        ), fits AS (
+            SELECT s.*, r.h || r.p AS rule, r.verdict
+            FROM split s LEFT JOIN rules r ON (s.host = r.h OR ends_with(s.host, '.' || r.h)) AND starts_with(s.path, r.p)
+        )
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+        FROM fits QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC NULLS LAST) = 1
+    """,
+    "op8_exact_topk": """
+        WITH whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+        ), scored AS (
+            SELECT q.vec_id AS query_id, v.vec_id AS vec_id, CAST(list_dot_product(q.e, v.e) AS BIGINT) AS score
+            FROM whole q JOIN whole v ON q.vec_id % 20 = 0 AND v.vec_id <> q.vec_id
+        ), ranked AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
+}

@@ -70,17 +70,20 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(set_in * 2 > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp) of every row; fp is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """`docs` with fp, the fingerprint as a signed long, for the text."""
     ship(docs.sparkSession)
-    src = docs.select(id_col, text_col)
+    src = docs.drop("fp")
+    at = src.columns.index(text_col)
+    kept = [i for i in range(len(src.columns)) if i != at]
+    out = T.StructType([*(src.schema[i] for i in kept), T.StructField("fp", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], names=[id_col, "fp"])
+            fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column(at)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in kept), pa.array(fps)], names=out.names)
 
-    return src.mapInArrow(run, T.StructType([src.schema[0], T.StructField("fp", T.LongType())]))
+    return src.mapInArrow(run, out)
 
 
 def fingerprint_text(fp: Column) -> Column:
@@ -192,25 +195,40 @@ def _links_of(rows: np.ndarray, change: np.ndarray, max_bits: int) -> pa.RecordB
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS
-) -> DataFrame:
-    """A row per row of `docs`: the id, fingerprint (16 hex digits) and component_id, the smallest id reachable."""
-    fps = stash(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    points = stash(fps.groupBy("fp").agg(F.min(id_col).alias("first")), "fingerprint-points")
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int) -> DataFrame:
+    """(id, row, fp, group, component_id) of every row: row is a hash of id and text, group a fingerprint of its group."""
+    src = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
+    fps = stash(fingerprints(src, "text", shingle), "fingerprints")
+    points = stash(fps.groupBy("fp").agg(F.min("id").alias("first")), "fingerprint-points")
     found = components(stash(linked(points.select("fp"), max_bits), "fingerprint-links"))
     # A fingerprint without links is its own group.
     named = points.join(found, points["fp"] == found["node"], "left").withColumn("group", F.coalesce("component", "fp"))
     firsts = named.groupBy("group").agg(F.min("first").alias("component_id"))
-    named = named.select(F.col("fp").alias("point"), "group").join(firsts, "group").select("point", "component_id")
-    out = fps.join(named, F.col("fp") == F.col("point"))
-    return out.select(id_col, fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
+    named = named.select(F.col("fp").alias("point"), "group").join(firsts, "group")
+    return fps.join(named, F.col("fp") == F.col("point")).drop("point")
+
+
+def row_key(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.col(id_col), F.col(text_col))
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS
+) -> DataFrame:
+    """A row per row of `docs`: the id, fingerprint (16 hex digits) and component_id, the smallest id reachable."""
+    rows = _grouped(docs, id_col, text_col, shingle, max_bits)
+    return rows.select(F.col("id").alias(id_col), fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """`docs` with one row of each group: that of the smallest id, and of rows of that id the first in order of text."""
-    groups = near_duplicates(docs, id_col, text_col, shingle, max_bits)
-    firsts = groups.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__first_id")).distinct()
-    kept = docs.join(firsts, F.col(id_col).eqNullSafe(F.col("__first_id")), "left_semi")
-    first = W.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first(), F.xxhash64(*docs.columns))
-    return kept.withColumn("__first_row", F.row_number().over(first)).filter(F.col("__first_row") == 1).drop("__first_row")
+    """`docs` with one row of each group: of the smallest id (a null id is the largest), by a hash of the text if rows share that id.
+
+    Rows are picked by narrow columns; texts are exchanged once, by the picked rows' hash.
+    """
+    rows = _grouped(docs, id_col, text_col, shingle, max_bits)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))
+    picked = rows.groupBy("group").agg(first.alias("first")).select(F.col("first.row").alias("__first")).distinct()
+    kept = docs.withColumn("__row", row_key(id_col, text_col))
+    kept = kept.join(picked, kept["__row"] == picked["__first"], "left_semi")
+    order = W.partitionBy("__row").orderBy(*(F.xxhash64(c) for c in docs.columns))
+    return kept.withColumn("__nth", F.row_number().over(order)).filter(F.col("__nth") == 1).drop("__row", "__nth")

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ship, stash
+from .common import hash_sample, ship, stash
 
 THRESHOLD = 0.7
 FIT_ROWS = 20_000
@@ -273,7 +273,7 @@ def fit(
     spark = docs.sparkSession
     ship(spark)
     known = labels.select(F.col(id_col).alias("l_id"), F.col(label_col).alias("y"))
-    known = known.filter(F.col("y").isin(0, 1) & ~held_out(F.col("l_id"))).orderBy(F.xxhash64("l_id"), "l_id", "y").limit(FIT_ROWS)
+    known = hash_sample(known.filter(F.col("y").isin(0, 1) & ~held_out(F.col("l_id"))), FIT_ROWS, "l_id", "y")
     rows = docs.select(id_col, text_col).join(known, F.col(id_col) == F.col("l_id")).select("y", text_col)
     shared = spark.sparkContext.broadcast(model.tobytes())
 

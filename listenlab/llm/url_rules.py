@@ -35,9 +35,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ship
+from .common import hash_sample, ship
 
-SPLITTER_SAMPLE = 20_000
+SPLITTER_SAMPLE = 16_384
 MAX_RANGES = 4096
 ROWS_PER_RANGE = 50_000
 
@@ -106,8 +106,8 @@ def apply_rules(pages: DataFrame, rules: DataFrame, url_col: str = "url", keep:
     ship(spark)
     src = pages.select(*keep, F.col(url_col).alias("__url"), F.xxhash64(url_col, *keep).alias("__salt"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = max(1, min(MAX_RANGES, max(4 * parts, src.count() // ROWS_PER_RANGE)))
-    sample = src.select("__url", "__salt").orderBy("__salt", "__url").limit(SPLITTER_SAMPLE).collect()
+    n = max(1, min(MAX_RANGES, max(4 * parts, pages.count() // ROWS_PER_RANGE)))
+    sample = hash_sample(src.select("__url", "__salt"), SPLITTER_SAMPLE, "__salt", "__url").collect()
     spread = [(host_key(split_url(u)[0]), xxhash.xxh64_intdigest(str(s)) >> 1) for u, s in sample]
     spread.sort()
     splitters = sorted({spread[i * len(spread) // n] for i in range(1, n)}) if spread else []
