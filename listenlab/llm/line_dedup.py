@@ -102,14 +102,15 @@ class SortedRuns:
         self.made = 0
 
     def _write(self, rows: DataFrame) -> str:
+        """`rows`: partitioned into the runs' buckets."""
         name = f"{self.name}_{self.made}"
         self.made += 1
-        (
-            rows.repartition(self.buckets, *HASH)
-            .write.bucketBy(self.buckets, *HASH).sortBy(*HASH).format("parquet").saveAsTable(name)
-        )
+        rows.write.bucketBy(self.buckets, *HASH).sortBy(*HASH).format("parquet").saveAsTable(name)
         return name
 
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        return rows.repartition(self.buckets, *HASH)
+
     def _runs(self) -> list[str]:
         return [r for level in self.levels for r in level]
 
@@ -121,6 +122,7 @@ class SortedRuns:
 
     def add(self, batch: DataFrame) -> None:
         """`batch`: one row per hash with n_docs and holder; its documents are in no earlier batch."""
+        batch = self._dealt(batch)
         for i, r in enumerate(self._runs()):
             seen = self.spark.table(r).select(*HASH, F.lit(True).alias(f"seen_{i}"))
             batch = batch.join(seen, list(HASH), "left")
@@ -130,10 +132,14 @@ class SortedRuns:
         self._compact()
 
     def _merged(self, names: list[str]) -> DataFrame:
+        """Merge joins of bucketed runs: no exchange. (A union of bucketed scans is planned as if it kept their buckets, but may be read without them.)"""
         rows = self.spark.table(names[0])
         for n in names[1:]:
-            rows = rows.unionByName(self.spark.table(n))
-        return rows.groupBy(*HASH).agg(F.sum("n_docs").alias("n_docs"), F.max("holder").alias("holder"))
+            more = self.spark.table(n).select(*HASH, F.col("n_docs").alias("more_docs"), F.col("holder").alias("more_holder"))
+            n_docs = F.coalesce("n_docs", F.lit(0)) + F.coalesce("more_docs", F.lit(0))
+            holder = F.coalesce("holder", "more_holder")  # only the first batch of a hash has its holder
+            rows = rows.join(more, list(HASH), "full").select(*HASH, n_docs.alias("n_docs"), holder.alias("holder"))
+        return rows
 
     def _compact(self) -> None:
         for k, level in enumerate(self.levels):

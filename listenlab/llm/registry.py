@@ -101,7 +101,7 @@ ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": """
         WITH lines AS (
             SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-                   unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS at
+                   unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
             FROM documents
         ), keyed AS (
             SELECT *, translate(trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '),
@@ -113,7 +113,7 @@ ORACLE_SQL: dict[str, str] = {
             SELECT k.*, r.key IS NOT NULL AND k.doc_id <> r.holder AS dropped FROM keyed k LEFT JOIN repeated r ON k.key = r.key
         )
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
-               sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
         FROM judged GROUP BY doc_id
     """,
     "op3_url_filter": """
