@@ -15,7 +15,7 @@ neighbours, points of even sum only into their own. Whoever meets in a cell is c
 distance of the whole point first and by the exact fingerprints then.
 
 How it runs: equal fingerprints are one point (a group of exact copies is summed before the shuffle). A point looks into
-about 26 cells. Cells with a single visitor go in the JVM. Cells with over `HOT_CELL` visitors are cut again: of four 16-bit
+about 26 cells. Cells with a single visitor, or that are no visitor's own, go in the JVM. Cells with over `HOT_CELL` visitors are cut again: of four 16-bit
 blocks, two fingerprints within 3 bits agree in one, so their visitors meet by block value, and no link is lost. In a cell, a search that takes linked
 points out of the candidates writes a spanning forest, not all pairs. Groups are then found by `graph.components`.
 
@@ -103,7 +103,7 @@ def _thermometers(x: np.ndarray) -> np.ndarray:
 
 
 def cells(points: DataFrame) -> DataFrame:
-    """(half, cell, fp) for every cell that a point looks into; `points` has fp, each once."""
+    """(half, nth, cell, fp) for every cell that a point looks into, its own with nth 0; `points` has fp, each once."""
     code = thermometer(F.col("fp"))
     halves = F.array(
         F.struct(F.lit(1).alias("half"), F.shiftrightunsigned(code, 32).alias("own")),
@@ -114,7 +114,7 @@ def cells(points: DataFrame) -> DataFrame:
     flips = F.array(*(F.lit(1 << i) for i in range(32)))
     steps = F.filter(F.transform(flips, lambda f: F.col("own").bitwiseXOR(f)), _is_code)
     seen = F.when(F.bit_count("own") % 2 == 1, F.concat(F.array("own"), steps)).otherwise(F.array("own"))
-    return rows.select("half", F.explode(seen).alias("cell"), "fp")
+    return rows.select("half", F.posexplode(seen).alias("nth", "cell"), "fp")
 
 
 def _is_code(c: Column) -> Column:
@@ -150,8 +150,10 @@ def linked(points: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     if not 0 <= max_bits <= 3:
         raise ValueError("max_bits: two halves with radius 1 cover 3 bits")
     ship(points.sparkSession)
-    own = W.partitionBy("half", "cell")
-    met = cells(points).withColumn("n", F.count(F.lit(1)).over(own)).filter(F.col("n") > 1)
+    here = W.partitionBy("half", "cell")
+    met = cells(points).withColumn("n", F.count(F.lit(1)).over(here)).withColumn("home", F.min("nth").over(here) == 0)
+    # Points within distance 1 meet in the own cell of one of them.
+    met = met.filter((F.col("n") > 1) & F.col("home"))
     blocks = F.array(
         *(F.struct(F.lit(i).alias("block"), F.shiftrightunsigned("fp", 16 * i).bitwiseAND(F.lit(0xFFFF)).alias("value")) for i in range(4))
     )
