@@ -153,12 +153,13 @@ def linked(points: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     here = W.partitionBy("half", "cell")
     met = cells(points).withColumn("n", F.count(F.lit(1)).over(here)).withColumn("home", F.min("nth").over(here) == 0)
     # Points within distance 1 meet in the own cell of one of them.
-    met = met.filter((F.col("n") > 1) & F.col("home"))
+    met = stash(met.filter((F.col("n") > 1) & F.col("home")).select("half", "cell", "fp", "n"), "fingerprint-cells")
     blocks = F.array(
         *(F.struct(F.lit(i).alias("block"), F.shiftrightunsigned("fp", 16 * i).bitwiseAND(F.lit(0xFFFF)).alias("value")) for i in range(4))
     )
-    whole = F.array(F.struct(F.lit(-1).alias("block"), F.lit(0).cast("long").alias("value")))
-    met = met.select("half", "cell", "fp", F.inline(F.when(F.col("n") > HOT_CELL, blocks).otherwise(whole)))
+    whole = met.filter(F.col("n") <= HOT_CELL).select("half", "cell", F.lit(-1).alias("block"), F.lit(0).cast("long").alias("value"), "fp")
+    hot = met.filter(F.col("n") > HOT_CELL).select("half", "cell", F.inline(blocks), "fp")
+    met = whole.unionByName(hot)
     key = ["half", "cell", "block", "value"]
     met = met.select(*key, "fp").repartition(*key).sortWithinPartitions(*key, "fp")
 
