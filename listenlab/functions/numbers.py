@@ -13,58 +13,19 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def py_fixed(x: Column | str, digits: int = 0) -> Column:
-    """Text of a double as Python's `format(x, '.<digits>f')`.
-
-    Python rounds the exact binary value, ties to even; Spark's `bround` and
-    `format_string` round the shortest decimal form half-up or half-even, which
-    differs for values such as 0.35. Here x * 10**digits is formed exactly as
-    p + e (Dekker's product with a Veltkamp split) and rounded to an integer n:
-    below 2**52, p's fraction decides and e only breaks an exact half; from
-    2**52 on, p is an integer and e (then up to one ulp of p) is rounded on
-    its own. Exact while x * 10**digits < 2**63.
-    """
-    x = _col(x).cast("double")
-    m = float(10**digits)
-    a = F.abs(x)
-    c = a * F.lit(_SPLIT)
-    hi = c - (c - a)
-    lo = a - hi
-    p = a * F.lit(m)
-    e = (hi * F.lit(m) - p) + lo * F.lit(m)
-    fl = F.floor(p)
-    d = p - fl
-    up = (d > 0.5) | ((d == 0.5) & ((e > 0) | ((e == 0) & (F.pmod(fl, F.lit(2)) == 1))))
-    ef = F.floor(e)
-    er = e - ef
-    base = fl + ef
-    up_large = (er > 0.5) | ((er == 0.5) & (F.pmod(base, F.lit(2)) == 1))
-    n = F.when(p < F.lit(2.0**52), fl + up.cast("bigint")).otherwise(base + up_large.cast("bigint"))
-    if digits == 0:
-        body = n.cast("string")
-    else:
-        scale = 10**digits
-        body = F.concat(
-            F.floor(n / F.lit(scale)).cast("string"),
-            F.lit("."),
-            F.lpad(F.pmod(n, F.lit(scale)).cast("string"), digits, "0"),
-        )
-    return (
-        F.when(x.isNull(), F.lit(None).cast("string"))
-        .when(F.isnan(x), F.lit("nan"))
-        .when(x == float("inf"), F.lit("inf"))
-        .when(x == float("-inf"), F.lit("-inf"))
-        .when(x < 0, F.concat(F.lit("-"), body))
-        .otherwise(body)
-    )
-
-
 _TWO_52 = "4503599627370496D"
 _LONG_SAFE = "9.0E18D"
 
 
 def py_fixed_sql(x: str, digits: int = 0) -> str:
-    """SQL text of `py_fixed` for the SQL expression `x` (same rounding, same text).
+    """SQL text that writes the SQL expression `x` as Python's `format(x, '.<digits>f')`.
+
+    Python rounds the exact binary value, ties to even; Spark's `bround` and
+    `format_string` round the shortest decimal form, which differs for values
+    such as 0.35. Here x * 10**digits is formed exactly as p + e (Dekker's
+    product with a Veltkamp split) and rounded to an integer: below 2**52, p's
+    fraction decides and e only breaks an exact half; from 2**52 on, p is an
+    integer and e is rounded on its own.
 
     Each intermediate is bound once through a lambda, so the expression stays
     small however often a value is reused; it parses in one call instead of
@@ -106,14 +67,14 @@ def py_fixed_sql(x: str, digits: int = 0) -> str:
 
 
 def py_text(x: str, digits: int = 0) -> Column:
-    """`py_fixed` of a SQL expression (e.g. a column name), built from SQL text."""
+    """The column of `py_fixed_sql` for a SQL expression (e.g. a column name)."""
     return F.expr(py_fixed_sql(x, digits))
 
 
-def py_round_text(x: Column | str) -> Column:
-    """Text of Python's `str(round(x))`: ties to even, and an integer, so a
+def py_round_text(x: str) -> Column:
+    """Text of Python's `str(round(x))` for a SQL expression: ties to even, and an integer, so a
     negative value that rounds to zero prints "0" (format(x, '.0f') gives "-0")."""
-    t = py_text(x, 0) if isinstance(x, str) else py_fixed(x, 0)
+    t = py_text(x, 0)
     return F.when(t == "-0", F.lit("0")).otherwise(t)
 
 

@@ -1,12 +1,15 @@
 """Text expressions: encoding repair and word capitalisation.
 
-Everything here returns a `Column` built from Spark's own functions, so it
-runs inside whole-stage codegen on the executors; there is no Python UDF.
+Everything here is built from Spark's own functions; there is no Python UDF.
+`repair_columns` runs inside whole-stage codegen; expressions with lambdas
+(`capitalize_sentences`) run outside it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A string is Latin-1 encodable when every code point is at most U+00FF.
@@ -55,15 +58,6 @@ def _decode_or_null(b: Column) -> Column:
     return F.try_validate_utf8(b.cast("string"))
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate `value` once and pass it to `body` (a one-element `transform`).
-
-    Generated code may recompute a sub-expression in every branch that uses
-    it; on long texts each reuse is another regex scan and codec pass.
-    """
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def repair_text(c: Column | str, mode: str = "strict") -> Column:
     """Undo text that was UTF-8 encoded and then read as Latin-1, once or twice.
 
@@ -82,30 +76,55 @@ def repair_text(c: Column | str, mode: str = "strict") -> Column:
     """
     c = _col(c)
     if mode == "strict":
-        repaired = _let(
-            F.coalesce(_decode_or_null(latin1_bytes(c)), c),
-            lambda once: F.coalesce(_decode_or_null(latin1_bytes(once)), once),
-        )
+        once = F.coalesce(_decode_or_null(latin1_bytes(c)), c)
+        repaired = F.coalesce(_decode_or_null(latin1_bytes(once)), once)
     elif mode == "compat":
-
-        def decide(d1: Column, d2: Column) -> Column:
-            return (
-                F.when(c.isNull(), F.lit(None).cast("string"))
-                .when(d1.isNull() | (d1 == c) | d1.contains("?"), c)
-                .when(d2.isNull(), c)
-                .when((d2 != d1) & ~d2.contains("?"), d2)
-                .otherwise(d1)
-            )
-
-        repaired = _let(
-            _decode_replacing(latin1_bytes(c)),
-            lambda d1: _let(_decode_replacing(latin1_bytes(d1)), lambda d2: decide(d1, d2)),
-        )
+        d1 = _decode_replacing(latin1_bytes(c))
+        repaired = _compat_choice(c, d1, _decode_replacing(latin1_bytes(d1)))
     else:
         raise ValueError(f"unknown repair mode: {mode!r}")
-    # Pure ASCII (as many bytes as characters) is its own repair in both modes;
-    # skipping the regex and codec work for it keeps the common case cheap.
-    return F.when(F.octet_length(c) == F.length(c), c).otherwise(repaired)
+    return F.when(_is_ascii(c), c).otherwise(repaired)
+
+
+def _is_ascii(c: Column) -> Column:
+    # As many bytes as characters. ASCII text is its own repair in both modes, without regex and codec work.
+    return F.octet_length(c) == F.length(c)
+
+
+def _compat_choice(c: Column, d1: Column, d2: Column) -> Column:
+    return (
+        F.when(c.isNull() | d1.isNull() | (d1 == c) | d1.contains("?") | d2.isNull(), c)
+        .when((d2 != d1) & ~d2.contains("?"), d2)
+        .otherwise(d1)
+    )
+
+
+def repair_columns(df: DataFrame, names: Sequence[str], mode: str = "strict") -> DataFrame:
+    """`df` with `repair_text` applied to some of its columns, one projection per decoding step.
+
+    Each step is a column of its own, so it runs once per row and inside
+    whole-stage codegen, which `repair_text` as one expression cannot give:
+    its first step would be computed again in every branch that uses it.
+    """
+    if mode not in ("strict", "compat"):
+        raise ValueError(f"unknown repair mode: {mode!r}")
+    step = _decode_or_null if mode == "strict" else _decode_replacing
+    one, two = ({n: f"_repair_{n}_{k}" for n in names} for k in (1, 2))
+
+    def decoded(c: Column) -> Column:
+        return step(latin1_bytes(F.when(~_is_ascii(c), c)))
+
+    df = df.withColumns({one[n]: decoded(F.col(n)) for n in names})
+    if mode == "strict":
+        df = df.withColumns({one[n]: F.coalesce(one[n], n) for n in names})
+    df = df.withColumns({two[n]: decoded(F.col(one[n])) for n in names})
+    if mode == "strict":
+        fixed = {n: F.coalesce(two[n], one[n]) for n in names}
+    else:
+        # An ASCII second text is its own next step.
+        second = {n: F.when(_is_ascii(F.col(one[n])), F.col(one[n])).otherwise(F.col(two[n])) for n in names}
+        fixed = {n: _compat_choice(F.col(n), F.col(one[n]), second[n]) for n in names}
+    return df.withColumns(fixed).drop(*one.values(), *two.values())
 
 
 def is_lower(w: Column) -> Column:

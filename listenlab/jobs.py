@@ -11,10 +11,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .operators import counts, kpis, maps, mix, monthly, summaries
 from .operators.clean import clean_listens
-from .sources.files import read_clean, read_listens, write_clean
+from .sources.files import accepted, read_clean, read_raw_listens, rejected, write_clean
 
 # Table name -> operator over cleaned listens. Each covers every location or artist.
 DASHBOARD_TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -35,23 +36,33 @@ DASHBOARD_TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
 
 
 def ingest_json(
-    spark: SparkSession, json_dir: str, clean_dir: str, mode: str = "strict", time_ordered: bool = False
-) -> DataFrame:
-    """Read raw JSON events, clean them, store them (`write_clean`); return the stored table.
+    spark: SparkSession,
+    json_dir: str,
+    clean_dir: str,
+    rejects_dir: str,
+    mode: str = "strict",
+    time_ordered: bool = False,
+) -> tuple[DataFrame, int]:
+    """Read raw JSON events, clean them, store them (`write_clean`); return the stored table and the number of rejects.
+
+    Malformed lines go to `rejects_dir` as text, with their file, instead of
+    counting as listens without user, artist or time.
 
     `time_ordered=True` skips the rebalance shuffle for event logs written in
     arrival order (each input split then spans one or two months).
     """
-    write_clean(clean_listens(read_listens(spark, json_dir), mode=mode), clean_dir, rebalance=not time_ordered)
-    return read_clean(spark, clean_dir)
+    raw = read_raw_listens(spark, json_dir)
+    rejected(raw.withColumn("file", F.col("_metadata.file_path"))).write.mode("overwrite").parquet(rejects_dir)
+    write_clean(clean_listens(accepted(raw), mode=mode), clean_dir, rebalance=not time_ordered)
+    return read_clean(spark, clean_dir), spark.read.parquet(rejects_dir).count()
 
 
 def publish_dashboard_tables(spark: SparkSession, clean_dir: str, out_dir: str) -> dict[str, str]:
     """Write every dashboard table as Parquet under `out_dir`; return name -> path.
 
     Each table is its own job over the stored clean data. Scans read only the
-    columns that table needs, and each result is small (bounded by locations,
-    artists, months and k), so it is written as is.
+    columns that table needs. Most results are bounded by locations, months and
+    k; the state maps and question contexts grow with the number of artists.
     """
     listens = read_clean(spark, clean_dir)
     sep = "" if out_dir.endswith("/") else "/"

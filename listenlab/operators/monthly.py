@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..plans.locations import at_location, rollup_locations
 from ..sources.schema import NATIONWIDE
-from .subscriptions import flag_ever_paid
+from .subscriptions import with_paid_flag
 
 _MONTH_KEYS = ["year", "month", "month_name"]
 
@@ -23,18 +23,19 @@ def _seconds_per_user_month(df: DataFrame) -> DataFrame:
     )
 
 
-def _effective_seconds(df: DataFrame) -> DataFrame:
-    return flag_ever_paid(_seconds_per_user_month(df))
+def _effective_seconds(df: DataFrame, location: str = NATIONWIDE) -> DataFrame:
+    """The location's rows only, aggregated before they meet the paid users of all locations."""
+    per_user = _seconds_per_user_month(at_location(df, location))
+    return with_paid_flag(per_user, df, *_MONTH_KEYS, "state", "subscription")
 
 
 def monthly_seconds(df: DataFrame, location: str = NATIONWIDE) -> DataFrame:
     """Seconds by `(year, month, month_name, effective subscription)` for one location.
 
-    The paid flag is computed over all locations before the location filter:
-    the filter sits above the per-user window, which Catalyst does not push it
-    through.
+    The location filter is on the listens and reaches the scan; the paid users
+    are those of all locations.
     """
-    eff = at_location(_effective_seconds(df), location)
+    eff = _effective_seconds(df, location)
     return eff.groupBy(*_MONTH_KEYS, "subscription").agg(F.sum("seconds").alias("seconds"))
 
 
@@ -43,7 +44,7 @@ def monthly_seconds_all(df: DataFrame) -> DataFrame:
     per_state = _effective_seconds(df).groupBy("state", *_MONTH_KEYS, "subscription").agg(
         F.sum("seconds").alias("seconds")
     )
-    return rollup_locations(per_state, [*_MONTH_KEYS, "subscription"], ["seconds"])
+    return rollup_locations(per_state, [*_MONTH_KEYS, "subscription"], ["seconds"], by_location=True)
 
 
 def monthly_listening(df: DataFrame, location: str = NATIONWIDE) -> DataFrame:

@@ -21,77 +21,28 @@ def paid_users(df: DataFrame) -> DataFrame:
     )
 
 
-# Estimated bytes per paid user in a broadcast hash relation (a long key plus overhead).
-_BYTES_PER_USER = 16
+#: Rows without a user match no paid user; for the join they are dealt over so many keys.
+NULL_USER_PARTS = 997
 
 
-def _broadcast_limit(spark) -> int:
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        return int(raw)
-    except ValueError:  # "10MB" style
-        units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-        raw = raw.strip().lower().rstrip("b") or "0"
-        return int(float(raw[:-1]) * units[raw[-1]]) if raw[-1] in units else int(raw)
+def with_paid_flag(rows: DataFrame, listens: DataFrame, *spread_by: str) -> DataFrame:
+    """`rows` (with `userId`, `subscription`) with `subscription` "paid" for users who are paid anywhere in `listens`.
 
-
-def checked_paid_users(df: DataFrame) -> DataFrame:
-    """The paid-user set, materialised in the shared folder, broadcast only when it fits.
-
-    The set is a column-pruned, map-side-aggregated pass over the listens,
-    written once (which also cuts its lineage). Its row count comes from the
-    Parquet footers; when rows x 16 bytes is within the session's
-    `spark.sql.autoBroadcastJoinThreshold` the side is broadcast, so the fact
-    table is joined where it lies. Otherwise it is returned as is and the join
-    stays a sort-merge join, with AQE splitting skewed user partitions.
+    One lazy left join to the distinct paid users; Spark picks broadcast or
+    sort-merge by their size. Rows are the preserved side, whose skewed
+    partitions AQE can split, and rows without a user, which may be many, are
+    dealt by `spread_by` instead of meeting in one partition.
     """
-    from ..sources.files import new_output_path
-
-    spark = df.sparkSession
-    path = new_output_path(spark, "paid-users")
-    paid_users(df).write.mode("overwrite").parquet(path)
-    stored = spark.read.parquet(path)
-    limit = _broadcast_limit(spark)
-    if limit >= 0 and stored.count() * _BYTES_PER_USER <= limit:
-        return F.broadcast(stored)
-    return stored
+    paid = paid_users(listens).select(F.col("userId").alias("_paid_user"), F.lit(0).alias("_paid_part"))
+    part = F.when(F.col("userId").isNull(), F.pmod(F.xxhash64(*spread_by), F.lit(NULL_USER_PARTS))).otherwise(F.lit(0))
+    rows = rows.withColumn("_part", part.cast("int"))
+    joined = rows.join(paid, (F.col("userId") == F.col("_paid_user")) & (F.col("_part") == F.col("_paid_part")), "left")
+    effective = F.when(F.col("_paid_user").isNotNull(), F.lit("paid")).otherwise(F.col("subscription"))
+    return joined.withColumn("subscription", effective).drop("_part", "_paid_user", "_paid_part")
 
 
-def effective_subscription(df: DataFrame, checked_broadcast: bool = True) -> DataFrame:
+def effective_subscription(df: DataFrame) -> DataFrame:
     """Every listen with `subscription` replaced by the effective subscription
-    and the logged value kept as `raw_subscription`.
-
-    A left equi-join to the paid-user set, not a literal IN list collected on
-    the driver. With `checked_broadcast` the set is materialised first and
-    broadcast only behind a size check (`checked_paid_users`), so a small set
-    never costs a shuffle of the fact table. Without it the join is planned
-    lazily and AQE decides at runtime. That still broadcasts a small set, but
-    only after the fact side's shuffle has been written. The fact table is the
-    preserved side, which AQE's skew-join splitting supports.
-    """
-    paid = checked_paid_users(df) if checked_broadcast else paid_users(df)
-    flags = paid.withColumn("_ever_paid", F.lit(True))
-    joined = df.join(flags, "userId", "left")
-    cols = [c for c in df.columns if c != "subscription"]
-    return joined.select(
-        *[F.col(c) for c in cols],
-        F.col("subscription").alias("raw_subscription"),
-        F.when(F.col("_ever_paid"), F.lit("paid")).otherwise(F.col("subscription")).alias("subscription"),
-    ).select(*df.columns, "raw_subscription")
-
-
-def flag_ever_paid(per_user: DataFrame) -> DataFrame:
-    """Override `subscription` on rows already aggregated per user.
-
-    `per_user` has a few rows per user (one per month, state and raw
-    subscription), so partitioning it by `userId` is cheap even for a user who
-    produced a large share of all listens: that user's rows were collapsed by
-    the map-side aggregate before this shuffle.
-    """
-    w = Window.partitionBy("userId")
-    ever_paid = F.max(F.col("subscription") == F.lit("paid")).over(w)
-    return per_user.withColumn(
-        "subscription",
-        F.when(F.col("userId").isNotNull() & F.coalesce(ever_paid, F.lit(False)), F.lit("paid"))
-        .otherwise(F.col("subscription")),
-    )
+    and the logged value kept as `raw_subscription`."""
+    rows = df.withColumn("raw_subscription", F.col("subscription"))
+    return with_paid_flag(rows, df, *df.columns).select(*df.columns, "raw_subscription")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.numbers import coerce_numeric, py_fixed, py_fixed_sql, py_text
+from ..functions.numbers import coerce_numeric, py_fixed_sql, py_text
 
 # --- fixed values -----------------------------------------------------------
 EMPTY_MONTHLY = "No listening data is available for the selected filters."
@@ -118,11 +118,9 @@ def monthly_stats(monthly: DataFrame) -> DataFrame:
         amount, scale = F.coalesce(F.col("seconds").cast("double"), F.lit(0.0)), 60.0
     else:
         amount, scale = F.coalesce(_number(monthly, "total_duration"), F.lit(0.0)), 1.0
-    # One exchange by location serves the three aggregates below (each groups
-    # by location plus finer keys). A location holds at most months x
-    # subscriptions rows, so Nationwide is no hotter than any state.
-    src = monthly.repartition(*loc) if loc else monthly
-    rows = src.select(*loc, "month_name", "subscription", amount.alias("amount"))
+    # `monthly_seconds_all` arrives partitioned by location, which serves the
+    # three aggregates below (each groups by location plus finer keys).
+    rows = monthly.select(*loc, "month_name", "subscription", amount.alias("amount"))
     by_sub = rows.groupBy(*loc, "month_name", "subscription").agg(
         F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("n")
     )
@@ -183,13 +181,12 @@ def table_prompt(monthly: DataFrame) -> DataFrame:
     sort) wrapped in a request for a short summary; per location."""
     loc = ["location"] if "location" in monthly.columns else []
     if isinstance(monthly.schema["total_duration"].dataType, T.StringType):
-        minutes_text = py_fixed(coerce_numeric(F.col("total_duration")), 2)
-    else:
-        minutes_text = py_text("total_duration", 2)
+        monthly = monthly.withColumn("total_duration", coerce_numeric(F.col("total_duration")))
+    minutes_text = py_text("total_duration", 2)
     line = F.concat_ws(
         ", ",
-        F.concat(F.lit("year="), F.col("year").cast("string")),
-        F.concat(F.lit("month="), F.col("month").cast("string")),
+        F.concat(F.lit("year="), F.coalesce(F.col("year").cast("string"), F.lit("None"))),
+        F.concat(F.lit("month="), F.coalesce(F.col("month").cast("string"), F.lit("None"))),
         F.concat(F.lit("month_name="), F.coalesce(F.col("month_name"), F.lit("None"))),
         F.concat(F.lit("subscription="), F.coalesce(F.col("subscription"), F.lit("None"))),
         F.concat(F.lit("total_duration="), F.coalesce(minutes_text, F.lit("nan"))),
@@ -220,7 +217,8 @@ def map_summary_prompt(stats: DataFrame, label: str | Column) -> DataFrame:
     """Text from `map_stats[_all]`: five sentences about an artist's 51-state map.
 
     As in the dashboard, the "Nationwide" and "in <label>" totals both sum the
-    51 states; `nationwide_listens` keeps the full count as a column.
+    51 states; `nationwide_listens` keeps the full count as a column. An artist
+    without any listen gets the fixed sentence for empty data.
     """
     lab = F.lit(label) if isinstance(label, str) else label
     total = _f0("total_listens")
@@ -232,7 +230,8 @@ def map_summary_prompt(stats: DataFrame, label: str | Column) -> DataFrame:
         _fmt(MAP_TOP, F.col("top_state"), _f0("top_listens")),
         _fmt(MAP_LOW, F.col("low_state"), _f0("low_listens")),
     )
-    return stats.withColumn("label", lab).withColumn("prompt", text)
+    empty = F.coalesce(F.col("nationwide_listens"), F.lit(0)) == 0
+    return stats.withColumn("label", lab).withColumn("prompt", F.when(empty, F.lit(EMPTY_MONTHLY)).otherwise(text))
 
 
 # ----------------------------------------------------------------------------- bottom artists
@@ -260,9 +259,13 @@ def bottom_artists_prompt(bottom: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------------------- question contexts
 
 
-def qa_context(counts: DataFrame, questions: Sequence[str] = DEFAULT_QUESTIONS) -> DataFrame:
+def qa_context(counts: DataFrame, questions: DataFrame | Sequence[str] = DEFAULT_QUESTIONS) -> DataFrame:
     """Question contexts over per-state counts (`artist, state, listens`), per artist.
 
+    `questions` is a table (`artist, question`), joined to the artists' rows, or
+    a list that is asked of every artist. Questions about an artist without
+    listens get the fixed sentence as their context.
+
     For each artist and question the context sentence is chosen by the first
     keyword found in the lower-cased question; without one, every row becomes a
     sentence, in listens-descending order. Max/min ties go to the state first in
@@ -295,11 +298,13 @@ def qa_context(counts: DataFrame, questions: Sequence[str] = DEFAULT_QUESTIONS)
         .when(lq.contains(QA_TOTAL), _fmt(QA_TOTAL_SENTENCE, F.col("total").cast("string")))
         .otherwise(F.array_join(F.transform(F.col("rows"), lambda r: r["s"]), " "))
     )
-    return (
-        per_artist.select("artist", "mx", "mn", "total", "rows",
-                          F.explode(F.array(*[F.lit(x) for x in questions])).alias("question"))
-        .select("artist", "question", context.alias("context"))
-        .withColumn("prompt", qa_prompt(F.col("context"), F.col("question")))
+    if isinstance(questions, DataFrame):
+        asked = questions.select("artist", "question").join(per_artist, "artist", "left")
+    else:
+        asked = per_artist.withColumn("question", F.explode(F.array(*map(F.lit, questions))))
+    context = F.when(F.col("total").isNull(), F.lit(EMPTY_TABLE)).otherwise(context)
+    return asked.select("artist", "question", context.alias("context")).withColumn(
+        "prompt", qa_prompt(F.col("context"), F.col("question"))
     )
 
 

@@ -8,7 +8,7 @@ counts, DOUBLE for measures.
 
 from __future__ import annotations
 
-from .registry import ARTIST, KPI_DURATION_SCALE, MAP_LABEL, MIN_LISTENS, STATE
+from .registry import ARTIST, BRANDS, MAP_LABEL, STATE
 from .functions.text import PY_WHITESPACE
 from .operators import summaries as S
 from .sources.schema import US_STATES
@@ -18,6 +18,7 @@ from .sources.tables import (
     NULL_USER_CUSTKEY,
     OUTSIDE_STATES_CODE,
     OUTSIDE_STATES_NATION,
+    UNDATED_ORDERS,
 )
 
 
@@ -35,7 +36,8 @@ listens AS (
     c.c_name AS lastName,
     c.c_mktsegment AS firstName,
     CASE WHEN o.o_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
-    p.p_name AS song,
+    p.p_name || ' ü' AS song,
+    p.p_name || CASE o.o_orderkey % 3 WHEN 0 THEN ' ü' WHEN 1 THEN ' Ã¼' ELSE ' Ã' || chr(131) || 'Â¼' END AS raw_song,
     nullif(p.p_brand, {_q(NULL_ARTIST_BRAND)}) AS artist,
     l.l_quantity AS duration,
     o.o_orderkey AS sessionId,
@@ -49,13 +51,13 @@ listens AS (
     CAST(-c.c_nationkey AS DOUBLE) AS lon,
     o.o_custkey AS registration,
     'fixture' AS userAgent,
-    epoch_ms(o.o_orderdate) AS ts_ms,
-    o.o_orderdate AS ts,
-    CAST(year(o.o_orderdate) AS INTEGER) AS year,
-    CAST(month(o.o_orderdate) AS INTEGER) AS month,
-    strftime(o.o_orderdate, '%B') AS month_name
+    epoch_ms(o.at) AS ts_ms,
+    o.at AS ts,
+    CAST(year(o.at) AS INTEGER) AS year,
+    CAST(month(o.at) AS INTEGER) AS month,
+    strftime(o.at, '%B') AS month_name
   FROM lineitem l
-  JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN (SELECT *, CASE WHEN o_orderkey % {UNDATED_ORDERS} <> 0 THEN o_orderdate END AS at FROM orders) o ON l.l_orderkey = o.o_orderkey
   JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey
   JOIN part p ON l.l_partkey = p.p_partkey
@@ -67,7 +69,7 @@ CLEAN_COLS = (
     "subscription, city, state, zip, lat, lon, registration, userAgent, ts, year, month, month_name"
 )
 RAW_COLS = (
-    "userId, lastName, firstName, gender, song, artist, duration, sessionId, itemInSession, auth, "
+    "userId, lastName, firstName, gender, raw_song AS song, artist, duration, sessionId, itemInSession, auth, "
     "subscription AS level, city, state, zip, lat, lon, registration, userAgent, ts_ms AS ts"
 )
 
@@ -160,14 +162,21 @@ def _f0(x: str) -> str:
     return f"format('{{:.0f}}', CAST({x} AS DOUBLE))"
 
 
+def _filled(template: str, *parts: str) -> str:
+    """A fixed sentence with SQL expressions in its `{}` slots."""
+    texts = template.split("{}")
+    pieces = [_q(texts[0])]
+    for part, text in zip(parts, texts[1:], strict=True):
+        pieces += [part, _q(text)]
+    return " || ".join(pieces)
+
+
 def _monthly_prompt_sql() -> str:
     text = (
         f"{_q(S.SUMMARIZE)} || "
-        f"{_q(S.TOTAL_TIME.split('{}')[0])} || {_f0('total_minutes')} || {_q(S.TOTAL_TIME.split('{}')[1])} || "
-        f"{_q(S.AVERAGE_MONTH.split('{}')[0])} || {_f0('avg_month_minutes')} || {_q(S.AVERAGE_MONTH.split('{}')[1])} || "
-        f"'The peak month is ' || peak_month || ' with ' || {_f0('peak_minutes')} || ' minutes. ' || "
-        f"'The lowest month is ' || low_month || ' with ' || {_f0('low_minutes')} || ' minutes. ' || "
-        f"'In the peak month, listening breakdown is: ' || peak_breakdown || '.'"
+        f"{_filled(S.TOTAL_TIME, _f0('total_minutes'))} || {_filled(S.AVERAGE_MONTH, _f0('avg_month_minutes'))} || "
+        f"{_filled(S.PEAK_MONTH, 'peak_month', _f0('peak_minutes'))} || "
+        f"{_filled(S.LOW_MONTH, 'low_month', _f0('low_minutes'))} || {_filled(S.PEAK_BREAKDOWN, 'peak_breakdown')}"
     )
     return (
         _with(LISTENS, EFFECTIVE, MONTHLY_STATS)
@@ -178,11 +187,9 @@ def _monthly_prompt_sql() -> str:
 def _map_prompt_sql() -> str:
     lab = _q(MAP_LABEL)
     text = (
-        f"{_q(S.SUMMARIZE)} || 'Total listens Nationwide: ' || {_f0('total_listens')} || '.' || "
-        f"'Total listens in ' || {lab} || ': ' || {_f0('total_listens')} || '.' || "
-        f"'Average listens in ' || {lab} || ': ' || {_f0('avg_listens')} || '.' || "
-        f"'Top state: ' || top_state || ' with ' || {_f0('top_listens')} || ' listens.' || "
-        f"'Lowest state: ' || low_state || ' with ' || {_f0('low_listens')} || ' listens.'"
+        f"{_q(S.SUMMARIZE)} || {_filled(S.MAP_TOTAL_NATION, _f0('total_listens'))} || "
+        f"{_filled(S.MAP_TOTAL_IN, lab, _f0('total_listens'))} || {_filled(S.MAP_AVERAGE_IN, lab, _f0('avg_listens'))} || "
+        f"{_filled(S.MAP_TOP, 'top_state', _f0('top_listens'))} || {_filled(S.MAP_LOW, 'low_state', _f0('low_listens'))}"
     )
     return _with(LISTENS, STATE_GRID) + f"SELECT artist, {lab} AS label, {text} AS prompt FROM mstats"
 
@@ -198,7 +205,7 @@ per AS (
          arg_min(coalesce(state, 'None'), {{'a': listens, 'b': state IS NULL, 'c': state}}) AS mn_state,
          arg_min(listens, {{'a': listens, 'b': state IS NULL, 'c': state}}) AS mn_listens,
          sum(listens) AS total,
-         string_agg('In ' || coalesce(state, 'None') || ', ' || artist || ' had ' || CAST(listens AS VARCHAR) || ' listens.', ' '
+         string_agg({_filled(S.QA_STATE_SENTENCE, "coalesce(state, 'None')", 'artist', 'CAST(listens AS VARCHAR)')}, ' '
                     ORDER BY listens DESC, state ASC NULLS LAST) AS all_rows
   FROM ac GROUP BY artist
 ),
@@ -206,11 +213,11 @@ q AS (SELECT * FROM (VALUES {questions}) AS t(question)),
 ctx AS (
   SELECT artist, question,
     CASE
-      WHEN contains(lower(question), 'most listens') THEN 'In ' || mx_state || ', ' || artist || ' had ' || CAST(mx_listens AS VARCHAR) || ' listens.'
-      WHEN contains(lower(question), 'least listens') THEN 'In ' || mn_state || ', ' || artist || ' had ' || CAST(mn_listens AS VARCHAR) || ' listens.'
-      WHEN contains(lower(question), 'top artist') THEN 'The top artist in ' || mx_state || ' is ' || artist || ' with ' || CAST(mx_listens AS VARCHAR) || ' listens.'
-      WHEN contains(lower(question), 'bottom artist') THEN 'The bottom artist in ' || mn_state || ' is ' || artist || ' with ' || CAST(mn_listens AS VARCHAR) || ' listens.'
-      WHEN contains(lower(question), 'total listens') THEN 'The total listens across all states is ' || CAST(total AS VARCHAR) || '.'
+      WHEN contains(lower(question), {_q(S.QA_MOST)}) THEN {_filled(S.QA_STATE_SENTENCE, 'mx_state', 'artist', 'CAST(mx_listens AS VARCHAR)')}
+      WHEN contains(lower(question), {_q(S.QA_LEAST)}) THEN {_filled(S.QA_STATE_SENTENCE, 'mn_state', 'artist', 'CAST(mn_listens AS VARCHAR)')}
+      WHEN contains(lower(question), {_q(S.QA_TOP)}) THEN {_filled(S.QA_TOP_SENTENCE, 'mx_state', 'artist', 'CAST(mx_listens AS VARCHAR)')}
+      WHEN contains(lower(question), {_q(S.QA_BOTTOM)}) THEN {_filled(S.QA_BOTTOM_SENTENCE, 'mn_state', 'artist', 'CAST(mn_listens AS VARCHAR)')}
+      WHEN contains(lower(question), {_q(S.QA_TOTAL)}) THEN {_filled(S.QA_TOTAL_SENTENCE, 'CAST(total AS VARCHAR)')}
       ELSE all_rows
     END AS context
   FROM per CROSS JOIN q
@@ -220,13 +227,13 @@ SELECT artist, question, context, 'Table: ' || context || chr(10) || 'Question:
 
 def _table_prompt_sql() -> str:
     line = (
-        "'year=' || CAST(year AS VARCHAR) || ', month=' || CAST(month AS VARCHAR) || "
+        "'year=' || coalesce(CAST(year AS VARCHAR), 'None') || ', month=' || coalesce(CAST(month AS VARCHAR), 'None') || "
         "', month_name=' || coalesce(month_name, 'None') || ', subscription=' || coalesce(subscription, 'None') || "
         "', total_duration=' || coalesce(format('{:.2f}', total_duration), 'nan')"
     )
     return _with(LISTENS, EFFECTIVE, MONTHLY_ALL) + f"""
 SELECT location, CAST(count(*) AS INTEGER) AS n_rows,
-       {_q(S.TABLE_PROMPT_HEAD)} || string_agg({line}, chr(10) ORDER BY year, month, subscription NULLS FIRST) || {_q(S.TABLE_PROMPT_TAIL)} AS prompt
+       {_q(S.TABLE_PROMPT_HEAD)} || string_agg({line}, chr(10) ORDER BY year NULLS FIRST, month NULLS FIRST, subscription NULLS FIRST) || {_q(S.TABLE_PROMPT_TAIL)} AS prompt
 FROM monthly GROUP BY location"""
 
 
@@ -295,24 +302,32 @@ def oracle_sql() -> dict[str, str]:
             "SELECT event_id, raw, TRY_CAST(raw AS DOUBLE) AS value FROM ("
             "SELECT event_id, CASE WHEN event_type = 'error' THEN 'n/a' ELSE CAST(event_id AS VARCHAR) END AS raw FROM events)"
         ),
-        "artist_state_listens": L + f"SELECT artist, state, count(*) AS listens FROM listens WHERE artist = {_q(ARTIST)} GROUP BY ALL",
+        "artist_state_listens": L + (
+            f"SELECT artist, state, count(*) AS listens, {_rank('count(*) DESC, state ASC NULLS LAST')} AS rank "
+            f"FROM listens WHERE artist = {_q(ARTIST)} GROUP BY artist, state"
+        ),
         "artist_state_listens_all": L + "SELECT artist, state, count(*) AS listens FROM listens GROUP BY ALL",
-        "artists_over": L + f"SELECT artist, count(*) AS listens FROM listens GROUP BY artist HAVING count(*) >= {MIN_LISTENS}",
+        "artists_over": L + (
+            f"SELECT artist, count(*) AS listens, {_rank('count(*) DESC, artist ASC NULLS LAST')} AS rank "
+            f"FROM listens GROUP BY artist HAVING count(*) >= (SELECT count(*) // {BRANDS} FROM lineitem)"
+        ),
         "top_n_by_listens": _with(LISTENS, counts_as) + (
             "SELECT artist, state, listens, rnk AS rank FROM (SELECT *, "
             + _rank("listens DESC, artist ASC NULLS LAST, state ASC NULLS LAST")
             + " AS rnk FROM ac) WHERE rnk <= 5"
         ),
-        "states_list": L + "SELECT DISTINCT state FROM listens",
+        "states_list": L + (
+            f"SELECT state, {_rank('state ASC NULLS LAST')} AS rank FROM (SELECT DISTINCT state FROM listens)"
+        ),
         "top_artists": L + top_art("", "", "SELECT artist, count(*) AS cnt FROM listens GROUP BY artist"),
         "top_artists_all": L + top_art("location, ", "location", loc_counts("artist")),
         "bottom_artists": L + bottom,
         "top_songs_free": L + songs(
-            keys="song", part="", src="SELECT song, count(*) AS cnt FROM listens WHERE subscription = 'free' GROUP BY song"
+            keys="state, song", part="",
+            src=f"SELECT state, song, count(*) AS cnt FROM listens WHERE subscription = 'free' AND state = {_q(STATE)} GROUP BY ALL",
         ),
         "top_songs_paid": L + songs(
-            keys="state, song", part="",
-            src=f"SELECT state, song, count(*) AS cnt FROM listens WHERE subscription = 'paid' AND state = {_q(STATE)} GROUP BY ALL",
+            keys="song", part="", src="SELECT song, count(*) AS cnt FROM listens WHERE subscription = 'paid' GROUP BY song"
         ),
         "top_songs_all": L + songs(
             keys="location, subscription, song", part="location, subscription",
@@ -324,11 +339,11 @@ def oracle_sql() -> dict[str, str]:
             "format('{:.0f}', CAST(total_users AS DOUBLE) / 1000.0) || 'k+' AS users_card, "
             "format('{:.0f}', avg_duration / 60.0) || ' MIN' AS listening_card, "
             "format('{:.0f}', paid_duration / 3600000.0) || 'k+ H' AS paid_card FROM ("
-            + kpi.format(src=f"(SELECT userId, subscription, duration * {KPI_DURATION_SCALE} AS duration FROM listens)")
+            + kpi.format(src="listens")
             + ")"
         ),
         "subscription_mix": L + (
-            f"SELECT {mix_sel.format(p='')} FROM (SELECT subscription, count(*) AS cnt FROM listens "
+            f"SELECT {mix_sel.format(p='')}, {_rank('cnt DESC, subscription ASC NULLS LAST')} AS rank FROM (SELECT subscription, count(*) AS cnt FROM listens "
             f"WHERE state = {_q(STATE)} GROUP BY subscription)"
         ),
         "subscription_mix_all": L + (
@@ -338,8 +353,9 @@ def oracle_sql() -> dict[str, str]:
             "SELECT userId, sessionId, itemInSession, state, raw_subscription, eff_subscription AS subscription FROM eff"
         ),
         "monthly_listening": _with(LISTENS, EFFECTIVE) + (
-            "SELECT year, month, month_name, eff_subscription AS subscription, sum(duration) / 60 AS total_duration "
-            f"FROM eff WHERE state = {_q(STATE)} GROUP BY ALL"
+            "SELECT year, month, month_name, eff_subscription AS subscription, sum(duration) / 60 AS total_duration, "
+            f"{_rank('year NULLS FIRST, month NULLS FIRST, eff_subscription NULLS FIRST')} AS rank "
+            f"FROM eff WHERE state = {_q(STATE)} GROUP BY year, month, month_name, eff_subscription"
         ),
         "monthly_listening_all": _with(LISTENS, EFFECTIVE, MONTHLY_ALL) + "SELECT * FROM monthly",
         "monthly_stats": _with(LISTENS, EFFECTIVE, MONTHLY_STATS) + (
@@ -358,9 +374,13 @@ def oracle_sql() -> dict[str, str]:
             "SELECT CAST(count(*) AS INTEGER) AS n_artists, "
             f"string_agg(coalesce(Artist, {_q(S.UNKNOWN_ARTIST)}), ', ' ORDER BY rank) AS artists, "
             "string_agg(CAST(\"Total Streams\" AS VARCHAR), ', ' ORDER BY rank) AS listens, "
-            f"CASE WHEN count(*) = 0 THEN {_q(S.EMPTY_BOTTOM)} ELSE {_q(S.SUMMARIZE_CONCISELY)} || 'The lowest 3 artists are: ' || "
-            f"string_agg(coalesce(Artist, {_q(S.UNKNOWN_ARTIST)}), ', ' ORDER BY rank) || ' with listens: ' || "
-            "string_agg(CAST(\"Total Streams\" AS VARCHAR), ', ' ORDER BY rank) || '. ' END AS prompt "
+            f"CASE WHEN count(*) = 0 THEN {_q(S.EMPTY_BOTTOM)} ELSE {_q(S.SUMMARIZE_CONCISELY)} || "
+            + _filled(
+                S.BOTTOM_ARTISTS,
+                f"string_agg(coalesce(Artist, {_q(S.UNKNOWN_ARTIST)}), ', ' ORDER BY rank)",
+                "string_agg(CAST(\"Total Streams\" AS VARCHAR), ', ' ORDER BY rank)",
+            )
+            + " END AS prompt "
             f"FROM ({bottom})"
         ),
         "qa_context": _qa_sql(),

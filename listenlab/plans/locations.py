@@ -21,7 +21,9 @@ def at_location(df: DataFrame, location: str) -> DataFrame:
     return df.where(F.col("state") == F.lit(location))
 
 
-def rollup_locations(per_state: DataFrame, keys: Sequence[str], additive: Sequence[str]) -> DataFrame:
+def rollup_locations(
+    per_state: DataFrame, keys: Sequence[str], additive: Sequence[str], by_location: bool = False
+) -> DataFrame:
     """Turn an aggregate keyed by `("state", *keys)` into one keyed by `("location", *keys)`.
 
     Each non-NULL state becomes its own location; "Nationwide" is re-aggregated
@@ -35,9 +37,15 @@ def rollup_locations(per_state: DataFrame, keys: Sequence[str], additive: Sequen
     per-state result. A union of a filtered and a re-aggregated branch would
     scan the fact table twice: Catalyst pushes the `state IS NOT NULL` filter
     into one branch, so the two branches no longer share their exchange.
+
+    `by_location` exchanges by location alone, so that later aggregations per
+    location need no exchange; only for keys of which a location holds few,
+    such as the months of the calendar.
     """
     keys = list(keys)
     additive = list(additive)
     location = F.explode(F.array(F.col("state"), F.lit(NATIONWIDE))).alias("location")
     both = per_state.select(location, *keys, *additive).where(F.col("location").isNotNull())
+    if by_location:
+        both = both.repartition("location")
     return both.groupBy("location", *keys).agg(*[F.sum(c).alias(c) for c in additive])

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Parts of a group that are ranked on their own first.
+SALTS = 32
+
 
 def by_count(count_col: str, keys: Sequence[str], ascending: bool = False) -> list[Column]:
     """Order by a count (descending unless `ascending`), ties by the keys ascending, NULLs last."""
@@ -23,11 +26,17 @@ def top_k(
 ) -> DataFrame:
     """Keep the first `k` rows of each group under a total order, numbered 1..k.
 
-    `row_number() <= k` lets Spark insert a partial WindowGroupLimit before the
-    shuffle: every map task forwards at most k rows per group, so even a group
-    holding most of the data (the "Nationwide" location) ships k rows per task.
-    Without a partition key Spark plans a TakeOrderedAndProject instead: a
-    top-k per task, merged once.
+    Without groups: a sort with a limit, which Spark runs as a top-k per task
+    merged once, and then the numbers of those k rows. With groups: first the
+    k rows of each of `SALTS` parts of a group, then of the group, so that a
+    group holding most of the data (the "Nationwide" location) is never one
+    task's, for any k.
     """
-    w = Window.partitionBy(*partition_by).orderBy(*order) if partition_by else Window.orderBy(*order)
-    return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
+    if not partition_by:
+        first = df.orderBy(*order).limit(k)
+        return first.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)))
+    part = Window.partitionBy(*partition_by, "_topk_part").orderBy(*order)
+    parts = df.withColumn("_topk_part", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+    parts = parts.withColumn(rank_col, F.row_number().over(part)).where(F.col(rank_col) <= k).drop("_topk_part")
+    whole = Window.partitionBy(*partition_by).orderBy(*order)
+    return parts.withColumn(rank_col, F.row_number().over(whole)).where(F.col(rank_col) <= k)

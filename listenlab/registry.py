@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions.numbers import coerce_numeric
 from .functions.text import capitalize_sentences, mis_encode, repair_text
 from .operators import counts, kpis, maps, mix, monthly, subscriptions, summaries
 from .operators.clean import clean_listens
+from .plans.topk import by_count
 from .sources import files
 from .sources.schema import CLEAN_COLUMNS, NATIONWIDE
 from .sources.tables import listen_events, listens, table
@@ -24,8 +25,8 @@ from .sources.tables import listen_events, listens, table
 ARTIST = "Brand#13"
 STATE = "CA"
 MIN_LISTENS = 1000
-KPI_DURATION_SCALE = 1000.0  # fixture durations are 1..50; scale them so the cards are not all 0
-MAP_LABEL = NATIONWIDE
+BRANDS = 25  # artists of the fixture; a threshold of the mean listens per artist keeps some and cuts some
+MAP_LABEL = STATE
 
 
 def _clean_listens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,9 +52,14 @@ def _effective_subscription(d: DataFrame) -> DataFrame:
     return eff.select("userId", "sessionId", "itemInSession", "state", "raw_subscription", "subscription")
 
 
-def _kpi_cards(d: DataFrame) -> DataFrame:
-    scaled = d.withColumn("duration", F.col("duration") * F.lit(KPI_DURATION_SCALE))
-    return kpis.kpi_cards(kpis.kpis(scaled))
+def _ranked(df: DataFrame, *order: Column) -> DataFrame:
+    """The operator's order as a column, since a comparison of rows doesn't see it; for small results."""
+    return df.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+
+
+def _artists_over_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mean = table(spark, sf_dir, "lineitem").count() // BRANDS  # from the file footers
+    return _ranked(counts.artists_over(listens(spark, sf_dir), mean), *by_count("listens", ["artist"]))
 
 
 def _monthly_stats(d: DataFrame) -> DataFrame:
@@ -108,25 +114,27 @@ def _on_listens(fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession,
 # a stored clean table (`bench.py`).
 LISTEN_OPERATORS: dict[str, Callable[[DataFrame], DataFrame]] = {
     # counts and top-k
-    "artist_state_listens": lambda d: counts.artist_state_listens(d, ARTIST),
+    "artist_state_listens": lambda d: _ranked(counts.artist_state_listens(d, ARTIST), *by_count("listens", ["state"])),
     "artist_state_listens_all": counts.artist_state_listens_all,
     "artists_over": lambda d: counts.artists_over(d, MIN_LISTENS),
     "top_n_by_listens": lambda d: counts.top_n_by_listens(counts.artist_state_listens_all(d), 5),
-    "states_list": counts.states_list,
+    "states_list": lambda d: _ranked(counts.states_list(d), F.asc_nulls_last("state")),
     "top_artists": lambda d: counts.top_artists(d, NATIONWIDE),
     "top_artists_all": counts.top_artists_all,
     "bottom_artists": counts.bottom_artists,
-    "top_songs_free": lambda d: counts.top_free_songs(d, NATIONWIDE),
-    "top_songs_paid": lambda d: counts.top_paid_songs(d, STATE),
+    "top_songs_free": lambda d: counts.top_free_songs(d, STATE),
+    "top_songs_paid": lambda d: counts.top_paid_songs(d, NATIONWIDE),
     "top_songs_all": counts.top_songs_all,
     # headline figures and mix
     "kpis": kpis.kpis,
-    "kpi_cards": _kpi_cards,
-    "subscription_mix": lambda d: mix.subscription_mix(d, STATE),
+    "kpi_cards": lambda d: kpis.kpi_cards(kpis.kpis(d)),
+    "subscription_mix": lambda d: _ranked(mix.subscription_mix(d, STATE), *by_count("count", ["subscription"])),
     "subscription_mix_all": mix.subscription_mix_all,
     # effective subscription and monthly listening
     "effective_subscription": _effective_subscription,
-    "monthly_listening": lambda d: monthly.monthly_listening(d, STATE),
+    "monthly_listening": lambda d: _ranked(
+        monthly.monthly_listening(d, STATE), F.col("year"), F.col("month"), F.col("subscription")
+    ),
     "monthly_listening_all": monthly.monthly_listening_all,
     "monthly_stats": _monthly_stats,
     # state map
@@ -154,6 +162,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "coerce_numeric": _coerce_numeric,
     # everything computed from listens
     **{k: _on_listens(fn) for k, fn in LISTEN_OPERATORS.items()},
+    "artists_over": _artists_over_mean,
 }
 
 FLAGSHIP = "monthly_listening_all"

@@ -57,6 +57,9 @@ def typed_listens(raw_text: DataFrame) -> DataFrame:
     such a value into NULL and keeps the rest of the row, so every quoted user
     id would be lost. Read as text, a quoted or bare number survives the cast
     with the same value, and only text that is not a number becomes NULL.
+
+    `ts` may carry a fraction of a millisecond, which is cut off. Ids and
+    counts must be whole (`13.0` is, `13.5` becomes NULL).
     """
     return raw_text.select(*[_typed(f).alias(f.name) for f in LISTEN_SCHEMA.fields])
 
@@ -66,20 +69,42 @@ def _typed(f: T.StructField):
     if isinstance(f.dataType, T.StringType):
         return c
     if isinstance(f.dataType, (T.LongType, T.IntegerType)):
-        # Integral fields also accept a whole number written with a fraction or
+        # Integral fields also accept a number written with a fraction or
         # exponent ("1.538173362E12"), which the integral cast alone rejects.
         d = c.try_cast("double")
-        whole = F.when(d == F.floor(d), d.try_cast(f.dataType))
-        return F.coalesce(c.try_cast(f.dataType), whole)
+        usable = F.lit(True) if f.name == "ts" else d == F.floor(d)
+        return F.coalesce(c.try_cast(f.dataType), F.when(usable, d.try_cast(f.dataType)))
     return c.try_cast(f.dataType)
 
 
+#: Where the reader keeps the text of a line that is no JSON object of events.
+CORRUPT = "_corrupt_record"
+
+
+def read_raw_listens(spark: SparkSession, path: str) -> DataFrame:
+    """JSON lines with every field as text, and a malformed line's text in `_corrupt_record`."""
+    schema = T.StructType([*text_schema().fields, T.StructField(CORRUPT, T.StringType())])
+    return spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+
+
+def accepted(raw: DataFrame) -> DataFrame:
+    """The events among raw lines, typed."""
+    return typed_listens(raw.where(F.col(CORRUPT).isNull()))
+
+
+def rejected(raw: DataFrame) -> DataFrame:
+    """The malformed lines, with the fields that could still be read."""
+    return raw.where(F.col(CORRUPT).isNotNull())
+
+
 def read_listens(spark: SparkSession, path: str, exact_types: bool = False) -> DataFrame:
     """Read a directory of JSON-lines play events into the declared schema.
 
     Declared, so there is no inference pass. By default numeric fields are
     read as text and cast (`typed_listens`), which keeps quoted numbers;
-    `exact_types=True` reads them as JSON numbers only.
+    `exact_types=True` reads them as JSON numbers only. A malformed line is a
+    row of NULLs here, as it is with an inferred schema; `read_raw_listens`
+    tells such lines apart.
     """
     if exact_types:
         return spark.read.schema(LISTEN_SCHEMA).json(path)
@@ -91,6 +116,13 @@ def write_listens(events: DataFrame, path: str) -> None:
     events.select(*RAW_COLUMNS).write.mode("overwrite").json(path)
 
 
+def _refuse_stream_folder(spark: SparkSession, path: str) -> None:
+    """A stream's sink lists its files in a log; files written beside it would never be read."""
+    log = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_spark_metadata")
+    if log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log):
+        raise ValueError(f"{path} belongs to a streaming ingest; write batches to a folder of their own")
+
+
 def write_clean(clean: DataFrame, path: str, rebalance: bool = True) -> None:
     """Store cleaned listens as Parquet partitioned by `year, month`.
 
@@ -113,6 +145,7 @@ def write_clean(clean: DataFrame, path: str, rebalance: bool = True) -> None:
     cluster each file so that row-group statistics let a `state = ...` or
     `artist = ...` filter skip most of a month's row groups.
     """
+    _refuse_stream_folder(clean.sparkSession, path)
     rows = clean.select(*CLEAN_COLUMNS)
     if rebalance:
         rows = rows.hint("rebalance", "year", "month")

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import mis_encode
 from .schema import RAW_COLUMNS
 
 # --- fixed values -----------------------------------------------------------
@@ -25,42 +26,15 @@ NULL_USER_CUSTKEY = 7
 NULL_ARTIST_BRAND = "Brand#25"
 OUTSIDE_STATES_NATION = 24
 OUTSIDE_STATES_CODE = "PR"
+# Orders whose key is a multiple of it have no date here.
+UNDATED_ORDERS = 97
+# Added to every song, so that cleaning has text to repair.
+SONG_SUFFIX = " ü"
 # ---------------------------------------------------------------------------
 
 
-# Large tables and the key their rows are spread by when a scan is under-partitioned.
-SPREAD_KEYS = {"lineitem": "l_orderkey", "documents": "doc_id", "events": "event_id"}
-# Scans planning this many partitions or more are never spread. The added shuffle
-# is thus bounded by SPREAD_MAX_PARTITIONS x spark.sql.files.maxPartitionBytes.
-SPREAD_MAX_PARTITIONS = 64
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition a scan that arrives in too few partitions to use the cores.
-
-    A file written as one Parquet row group is read by one task however many
-    cores there are, and every narrow step after the scan (joins against
-    broadcast tables, cleaning, text work, partial aggregates) then runs on a
-    single core. The check is metadata only (the scan's planned partition
-    count). It fires below min(cores, SPREAD_MAX_PARTITIONS), so only small
-    inputs are shuffled and a table of cluster size is read where it lies.
-    Hashing by a key is deterministic: a task retried after a lost executor
-    reproduces the same partition.
-    """
-    try:
-        planned = df.rdd.getNumPartitions()
-        cores = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # Spark Connect: no RDD view, keep the scan as is
-        return df
-    if planned >= min(cores, SPREAD_MAX_PARTITIONS):
-        return df
-    return df.repartition(min(cores, SPREAD_MAX_PARTITIONS), key)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    key = SPREAD_KEYS.get(name)
-    return spread(df, key) if key else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _epoch_millis_utc(ntz):
@@ -92,13 +66,13 @@ def listens_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(p, l.l_partkey == p.p_partkey)
         .join(F.broadcast(codes), codes.idx == c.c_nationkey, "left")
     )
-    orderdate = F.col("o_orderdate")
+    orderdate = F.when(F.col("o_orderkey") % UNDATED_ORDERS != 0, F.col("o_orderdate"))
     return j.select(
         F.nullif(F.col("o_custkey"), F.lit(NULL_USER_CUSTKEY)).alias("userId"),
         F.col("c_name").alias("lastName"),
         F.col("c_mktsegment").alias("firstName"),
         F.when(F.col("o_custkey") % 2 == 0, "F").otherwise("M").alias("gender"),
-        F.col("p_name").alias("song"),
+        F.concat("p_name", F.lit(SONG_SUFFIX)).alias("song"),
         F.nullif(F.col("p_brand"), F.lit(NULL_ARTIST_BRAND)).alias("artist"),
         F.col("l_quantity").alias("duration"),
         F.col("o_orderkey").alias("sessionId"),
@@ -124,31 +98,11 @@ def listens_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Plan handles of derived frames, per session and folder. Building the joined,
-# cleaned frame costs a few hundred milliseconds of analysis on the driver; the
-# dashboard keeps its cleaned frame for the same reason. Only the logical plan
-# is kept: every query still reads and joins the tables when it runs.
-_HANDLES: dict[tuple, tuple[SparkSession, DataFrame]] = {}
-
-
-def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
-    hit = _HANDLES.get(key)
-    if hit is not None and hit[0] is spark:
-        return hit[1]
-    df = build()
-    if len(_HANDLES) > 64:
-        _HANDLES.clear()
-    _HANDLES[key] = (spark, df)
-    return df
-
-
 def listen_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw play events (the JSON shape): `level` for subscription, `ts` in epoch ms."""
-    return _memo(spark, ("events", id(spark), sf_dir), lambda: _listen_events(spark, sf_dir))
-
-
-def _listen_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw play events (the JSON shape): `level` for subscription, `ts` in epoch ms, `song` mis-encoded 0, 1 or 2 times."""
     v = listens_view(spark, sf_dir)
+    song, layers = F.col("song"), F.col("sessionId") % 3
+    v = v.withColumn("song", F.when(layers == 0, song).when(layers == 1, mis_encode(song)).otherwise(mis_encode(song, 2)))
     return v.select(
         *[
             F.col("subscription").alias("level") if name == "level"
@@ -163,6 +117,4 @@ def listens(spark: SparkSession, sf_dir: str, mode: str = "strict") -> DataFrame
     """Raw events from the driver tables, passed through `clean_listens`."""
     from ..operators.clean import clean_listens
 
-    return _memo(
-        spark, ("listens", id(spark), sf_dir, mode), lambda: clean_listens(listen_events(spark, sf_dir), mode=mode)
-    )
+    return clean_listens(listen_events(spark, sf_dir), mode=mode)

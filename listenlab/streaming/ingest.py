@@ -1,4 +1,8 @@
-"""Clean play events as they land, into the same Parquet layout `write_clean` uses.
+"""Clean play events as they land, into Parquet partitioned like `write_clean`'s.
+
+The sink folder is the stream's own: its log lists the files to read, so a
+batch must not write there (`write_clean` refuses). Read both folders and
+union them where batch and stream go together.
 
 The dashboard's input is a folder of JSON event files that keeps growing. A
 file-source stream reads each new batch of files like `read_listens` does

@@ -47,7 +47,7 @@ def test_clean_parquet_round_trip(spark, sf_small, tmp_path):
         for m in os.listdir(os.path.join(path, y)):
             for f in os.listdir(os.path.join(path, y, m)):
                 if f.endswith(".parquet"):
-                    t = pq.read_table(os.path.join(path, y, m, f), columns=["state", "artist"]).to_pylist()
+                    t = pq.ParquetFile(os.path.join(path, y, m, f)).read(columns=["state", "artist"]).to_pylist()
                     assert [key(r) for r in t] == sorted(key(r) for r in t)
     back = files.read_clean(spark, path)
     assert back.columns == L.CLEAN_COLUMNS
@@ -99,11 +99,14 @@ def test_jobs_ingest_and_publish(spark, sf_small, tmp_path):
 
     src, clean, out = (str(tmp_path / n) for n in ("json", "clean", "tables"))
     files.write_listens(listen_events(spark, sf_small), src)
-    stored = jobs.ingest_json(spark, src, clean)
+    stored, n_rejects = jobs.ingest_json(spark, src, clean, clean + "_rejects")
+    assert n_rejects == 0
     # JSON written from the fixture, read, cleaned and stored equals the cleaned fixture rows, in both modes
     expect = _rows(L.clean_listens(listen_events(spark, sf_small)).select(*L.CLEAN_COLUMNS))
     assert _rows(stored) == expect
-    assert _rows(jobs.ingest_json(spark, src, clean + "_compat", mode="compat", time_ordered=True)) == expect
+    assert _rows(jobs.ingest_json(spark, src, clean + "_compat", clean + "_rejects", mode="compat", time_ordered=True)[0]) == _rows(
+        L.clean_listens(listen_events(spark, sf_small), mode="compat").select(*L.CLEAN_COLUMNS)
+    )
     written = jobs.publish_dashboard_tables(spark, clean, out)
     assert set(written) == set(jobs.DASHBOARD_TABLES)
     top = spark.read.parquet(written["top_artists"])
@@ -151,3 +154,40 @@ def test_shared_dir_refuses_local_folder_on_a_cluster():
 
     with _pytest.raises(ValueError, match="shared by the cluster"):
         files.shared_dir(_Session())
+
+
+LINES = """{"userId": "13", "artist": "A", "song": "s", "level": "free", "duration": 60, "ts": 1538173362000}
+{"userId": 13.0, "artist": "A", "song": "s", "level": "free", "duration": "60.5", "ts": 1538173362000.5}
+{"userId": 13.5, "artist": "A", "song": "s", "level": "free", "duration": 60, "ts": 1.538173362E12}
+{"userId": "", "artist": "A", "song": "s", "level": "free", "duration": 60, "ts": 9000000000000000000}
+{"userId": 14, "artist": "A", "song": "s", "level": "paid", "duration": 60, "ts": 10000000000000000}
+{"userId": 15, "artist": "A", "ts": 15381733
+not json
+"""
+
+
+def test_ingest_of_bad_lines(spark, tmp_path):
+    from listenlab import jobs
+
+    src = tmp_path / "json"
+    src.mkdir()
+    (src / "events.json").write_text(LINES)
+    stored, n_rejects = jobs.ingest_json(spark, str(src), str(tmp_path / "clean"), str(tmp_path / "rejects"))
+    assert n_rejects == 2
+    rejects = spark.read.parquet(str(tmp_path / "rejects"))
+    assert {r[files.CORRUPT] for r in rejects.collect()} == set(LINES.splitlines()[5:7])
+    assert all(r.file.endswith("events.json") for r in rejects.collect())
+    got = Counter((r.userId, r.duration, str(r.ts), r.month_name) for r in stored.collect())
+    at = "2018-09-28 22:22:42"
+    assert got == Counter(
+        [(13, 60.0, at, "September"), (13, 60.5, at, "September"), (None, 60.0, at, "September"), (None, 60.0, "None", None), (14, 60.0, "None", None)]
+    )
+    assert L.kpis(stored).first().total_users == 3
+
+
+def test_batch_does_not_write_into_a_stream_folder(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "sink" / "_spark_metadata").mkdir(parents=True)
+    with pytest.raises(ValueError, match="streaming ingest"):
+        files.write_clean(L.clean_listens(spark.createDataFrame([], L.LISTEN_SCHEMA)), str(tmp_path / "sink"))

@@ -40,9 +40,13 @@ def test_no_cross_or_nested_loop_joins(plans):
 SINGLE_PASS = [
     "artist_state_listens", "artist_state_listens_all", "artists_over", "top_n_by_listens", "states_list",
     "top_artists", "top_artists_all", "bottom_artists", "top_songs_free", "top_songs_paid", "top_songs_all",
-    "kpis", "kpi_cards", "subscription_mix", "subscription_mix_all", "monthly_listening", "monthly_listening_all",
-    "monthly_stats", "state_map", "state_map_all", "map_stats", "monthly_summary_prompt", "map_summary_prompt",
-    "bottom_artists_prompt", "qa_context", "table_prompt", "clean_listens",
+    "kpis", "kpi_cards", "subscription_mix", "subscription_mix_all", "state_map", "state_map_all", "map_stats",
+    "map_summary_prompt", "bottom_artists_prompt", "qa_context", "clean_listens",
+]
+# The set of paid users is a second, narrow pass.
+TWO_PASSES = [
+    "effective_subscription", "monthly_listening", "monthly_listening_all", "monthly_stats",
+    "monthly_summary_prompt", "table_prompt",
 ]
 
 
@@ -53,26 +57,51 @@ def test_fact_table_read_once(plans, key):
     assert scans(plans[key], "lineitem") == 1, key
 
 
-def test_effective_subscription_is_a_join_not_a_literal_list(plans):
-    p = plans["effective_subscription"]
-    assert "Join" in p and "LeftOuter" in p
-    assert "InSet" not in p
-    # small paid set: broadcast after the size check, the fact side is not shuffled by user
-    assert "BroadcastHashJoin [userId" in p
-    assert "Exchange hashpartitioning(userId" not in p
+@pytest.mark.parametrize("key", TWO_PASSES)
+def test_paid_users_are_a_narrow_second_pass(plans, key):
+    assert scans(plans[key], "lineitem") <= 2, key
+
 
+def test_effective_subscription_is_lazy(spark, sf_small):
+    d = listens(spark, sf_small)
+    spark.sparkContext.setJobGroup("lazy", "plan only")
+    L.effective_subscription(d)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")) == []
+    spark.sparkContext.setJobGroup("other", "")
 
-def test_effective_subscription_falls_back_to_shuffle_join(spark, sf_small):
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_effective_subscription_in_both_join_forms(spark, sf_small, threshold):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
         df = L.effective_subscription(listens(spark, sf_small))
-        p = df._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin [userId" in p
+        rows = df.collect()
+        p = df._jdf.queryExecution().executedPlan().toString()  # final, once it ran
+        p = p[: p.index("Initial Plan")]
+        assert ("SortMergeJoin [userId" if threshold == "-1" else "BroadcastHashJoin [userId") in p
+        assert "InSet" not in p
+        users = {r.userId for r in df.where("raw_subscription = 'paid'").select("userId").collect()} - {None}
+        for r in rows:
+            assert r.subscription == ("paid" if r.userId in users else r.raw_subscription)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_top_k_plans_hold_for_any_n(spark, sf_small):
+    d = listens(spark, sf_small)
+    assert "TakeOrderedAndProject" in plan(L.top_artists(d, n=5000))
+    rows = spark.range(30_000).selectExpr("id % 3 as g", "id", "id % 1000 as n")
+    from listenlab.plans.topk import top_k
+
+    big = top_k(rows, 2000, [F.desc("n"), F.asc("id")], ["g"])
+    got = {(r.g, r["rank"]): (r.n, r.id) for r in big.collect()}
+    for g in range(3):
+        order = sorted(((-(i % 1000), i) for i in range(g, 30_000, 3)))[:2000]
+        assert [got[g, k + 1] for k in range(2000)] == [(-n, i) for n, i in order]
+    assert "_topk_part" not in str(big.columns)
+
+
 @pytest.mark.parametrize("key", ["top_artists_all", "top_songs_all"])
 def test_topk_per_group_limits_before_shuffle(plans, key):
     assert "WindowGroupLimit" in plans[key] and "Partial" in plans[key], key
@@ -93,12 +122,21 @@ def test_state_map_without_join(spark):
         assert "Join" not in p and "CartesianProduct" not in p
 
 
-def test_monthly_flag_window_runs_on_aggregated_rows(plans):
-    p = plans["monthly_listening_all"]
-    window = p.index("Window [max(")
-    # below the window: a complete aggregate per user-month (its partial step runs map-side)
-    below = p[window:]
-    assert "HashAggregate(keys=[userId" in below
+def test_monthly_listening_filters_at_the_scan(spark, sf_small, tmp_path):
+    path = str(tmp_path / "clean")
+    files.write_clean(listens(spark, sf_small), path)
+    stored = files.read_clean(spark, path)
+    p = plan(L.monthly_listening(stored, "CA"))
+    assert "PushedFilters: [IsNotNull(state), EqualTo(state,CA)]" in p
+    assert "EqualTo(subscription,paid)" in p
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(L.monthly_listening_all(stored))
+        # the user-month rows for their sum, then once by user; and the ids of paid users. Listens are never exchanged.
+        assert p.count("Exchange hashpartitioning(userId") == 3 and "Window" not in p
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_stored_clean_pushdown(spark, sf_small, tmp_path):

@@ -54,8 +54,7 @@ def main() -> None:
     cols = list(rows[0][1])
     print(f"Final adaptive plans at `{sf_dir}` (local[8], Spark {spark.version}), from `tools/plan_report.py`.")
     print("Broadcast joins at this size become sort-merge joins at cluster scale, where Spark's size check")
-    print("declines the broadcast. The fixture view accounts for 5 broadcast joins and 1 hash exchange")
-    print("(the spread of the single-row-group `lineitem` file) in every listens query.\n")
+    print("declines the broadcast. The fixture view accounts for 5 broadcast joins in every listens query.\n")
     print("| key | " + " | ".join(cols) + " |")
     print("| --- | " + " | ".join("---" for _ in cols) + " |")
     for k, s in rows:
