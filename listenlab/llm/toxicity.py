@@ -274,6 +274,7 @@ def fit(
     ship(spark)
     known = labels.select(F.col(id_col).alias("l_id"), F.col(label_col).alias("y"))
     known = hash_sample(known.filter(F.col("y").isin(0, 1) & ~held_out(F.col("l_id"))), FIT_ROWS, "l_id", "y")
+    known = F.broadcast(known)  # an id and a label for at most FIT_ROWS rows
     rows = docs.select(id_col, text_col).join(known, F.col(id_col) == F.col("l_id")).select("y", text_col)
     shared = spark.sparkContext.broadcast(model.tobytes())
 
