@@ -95,9 +95,11 @@ def source_cuts(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: fl
     cuts = placed.filter((F.col("begin") <= F.col("left")) & (F.col("left") < F.col("end"))).select(
         "source", F.col("key").alias("cut"), F.expr("(`left` - begin) div copies").alias("cut_words")
     )
-    return budget.join(cuts, same(budget, cuts), "left").select(
+    cuts = budget.join(cuts, same(budget, cuts), "left").select(
         budget["source"], "source_size", "target", "epochs", "cut", "cut_words"
     )
+    # Written, so that its size is known when the rows are joined to it: small tables then go to the rows.
+    return stash(cuts.coalesce(1), "mix-cuts")
 
 
 def mix(
