@@ -15,24 +15,28 @@ from pyspark.sql import functions as F
 
 from .operators import counts, kpis, maps, mix, monthly, summaries
 from .operators.clean import clean_listens
-from .sources.files import accepted, read_clean, read_raw_listens, rejected, write_clean
+from .plans.pre_aggregated import plays, usage
+from .sources.files import accepted, new_output_path, read_clean, read_raw_listens, rejected, remove, write_clean
 
-# Table name -> operator over cleaned listens. Each covers every location or artist.
-DASHBOARD_TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
+# Table name -> operator over one of the two pre-aggregated tables. Each covers every location or artist.
+FROM_PLAYS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "top_artists": counts.top_artists_all,
     "bottom_artists": counts.bottom_artists,
     "bottom_artists_prompt": lambda d: summaries.bottom_artists_prompt(counts.bottom_artists(d)),
     "top_songs": counts.top_songs_all,
+    "state_map": maps.state_map_all,
+    "map_summary": lambda d: summaries.map_summary_prompt(maps.map_stats_all(d), "Nationwide"),
+    "qa_context": lambda d: summaries.qa_context(counts.artist_state_listens_all(d)),
+}
+FROM_USAGE: dict[str, Callable[[DataFrame], DataFrame]] = {
     "subscription_mix": mix.subscription_mix_all,
     "kpis": lambda d: kpis.kpi_cards(kpis.kpis(d)),
     "monthly_listening": monthly.monthly_listening_all,
     "monthly_summary": lambda d: summaries.monthly_summary_prompt(monthly.monthly_seconds_all(d)),
     "monthly_table_prompt": lambda d: summaries.table_prompt(monthly.monthly_listening_all(d)),
-    "state_map": maps.state_map_all,
-    "map_summary": lambda d: summaries.map_summary_prompt(maps.map_stats_all(d), "Nationwide"),
-    "qa_context": lambda d: summaries.qa_context(counts.artist_state_listens_all(d)),
     "states": counts.states_list,
 }
+DASHBOARD_TABLES = {**FROM_PLAYS, **FROM_USAGE}
 
 
 def ingest_json(
@@ -60,15 +64,20 @@ def ingest_json(
 def publish_dashboard_tables(spark: SparkSession, clean_dir: str, out_dir: str) -> dict[str, str]:
     """Write every dashboard table as Parquet under `out_dir`; return name -> path.
 
-    Each table is its own job over the stored clean data. Scans read only the
-    columns that table needs. Most results are bounded by locations, months and
-    k; the state maps and question contexts grow with the number of artists.
+    The listens are read twice, for `plays` and `usage`; both sums are written
+    to the shared folder, and every table is a job over one of them. Most
+    results are bounded by locations, months and k; the state maps and question
+    contexts grow with the number of artists.
     """
     listens = read_clean(spark, clean_dir)
     sep = "" if out_dir.endswith("/") else "/"
     written = {}
-    for name, build in DASHBOARD_TABLES.items():
-        path = f"{out_dir}{sep}{name}"
-        build(listens).write.mode("overwrite").parquet(path)
-        written[name] = path
+    for base, tables in ((plays, FROM_PLAYS), (usage, FROM_USAGE)):
+        folder = new_output_path(spark, base.__name__)
+        base(listens).write.parquet(folder)
+        rows = spark.read.parquet(folder)
+        for name, build in tables.items():
+            written[name] = f"{out_dir}{sep}{name}"
+            build(rows).write.mode("overwrite").parquet(written[name])
+        remove(spark, folder)
     return written

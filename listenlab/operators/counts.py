@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.locations import at_location, rollup_locations
+from ..plans.pre_aggregated import listens_of
 from ..plans.topk import by_count, top_k
 from ..sources.schema import NATIONWIDE
 
@@ -25,21 +26,21 @@ def artist_state_listens(df: DataFrame, artist: str) -> DataFrame:
     return (
         df.where(F.col("artist") == F.lit(artist))
         .groupBy("artist", "state")
-        .agg(F.count(F.lit(1)).alias("listens"))
+        .agg(listens_of(df).alias("listens"))
         .orderBy(*by_count("listens", ["state"]))
     )
 
 
 def artist_state_listens_all(df: DataFrame) -> DataFrame:
     """Listens by `(artist, state)` for every artist."""
-    return df.groupBy("artist", "state").agg(F.count(F.lit(1)).alias("listens"))
+    return df.groupBy("artist", "state").agg(listens_of(df).alias("listens"))
 
 
 def artists_over(df: DataFrame, min_listens: int = 1000) -> DataFrame:
     """Artists with at least `min_listens` listens, most first (`artist, listens`)."""
     return (
         df.groupBy("artist")
-        .agg(F.count(F.lit(1)).alias("listens"))
+        .agg(listens_of(df).alias("listens"))
         .where(F.col("listens") >= F.lit(min_listens))
         .orderBy(*by_count("listens", ["artist"]))
     )
@@ -62,13 +63,13 @@ def _artist_output(df: DataFrame, *lead: str) -> DataFrame:
 
 def top_artists(df: DataFrame, location: str = NATIONWIDE, n: int = 10) -> DataFrame:
     """The `n` most-listened artists of one location (`Artist, Total Streams, rank`)."""
-    counts = at_location(df, location).groupBy("artist").agg(F.count(F.lit(1)).alias("Total Streams"))
+    counts = at_location(df, location).groupBy("artist").agg(listens_of(df).alias("Total Streams"))
     return _artist_output(top_k(counts, n, by_count("Total Streams", ["artist"]))).orderBy("rank")
 
 
 def top_artists_all(df: DataFrame, n: int = 10) -> DataFrame:
     """`top_artists` for Nationwide and every state in one job (`location` column added)."""
-    per_state = df.groupBy("state", "artist").agg(F.count(F.lit(1)).alias("Total Streams"))
+    per_state = df.groupBy("state", "artist").agg(listens_of(df).alias("Total Streams"))
     by_loc = rollup_locations(per_state, ["artist"], ["Total Streams"])
     ranked = top_k(by_loc, n, by_count("Total Streams", ["artist"]), partition_by=["location"])
     return _artist_output(ranked, "location")
@@ -76,7 +77,7 @@ def top_artists_all(df: DataFrame, n: int = 10) -> DataFrame:
 
 def bottom_artists(df: DataFrame, n: int = 3) -> DataFrame:
     """The `n` least-listened artists nationwide (`Artist, Total Streams, rank`)."""
-    counts = df.groupBy("artist").agg(F.count(F.lit(1)).alias("Total Streams"))
+    counts = df.groupBy("artist").agg(listens_of(df).alias("Total Streams"))
     return _artist_output(top_k(counts, n, by_count("Total Streams", ["artist"], ascending=True))).orderBy("rank")
 
 
@@ -91,7 +92,7 @@ def top_songs(df: DataFrame, subscription: str, location: str = NATIONWIDE, n: i
     else:
         rows = at_location(rows, location)
         keys = ["state", "song"]
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("listens"))
+    counts = rows.groupBy(*keys).agg(listens_of(df).alias("listens"))
     return top_k(counts, n, by_count("listens", ["song"])).select(*keys, "listens", "rank").orderBy(F.desc("rank"))
 
 
@@ -108,7 +109,7 @@ def top_songs_all(df: DataFrame, n: int = 5, subscriptions: tuple[str, ...] = ("
     per_state = (
         df.where(F.col("subscription").isin(*subscriptions))
         .groupBy("state", "subscription", "song")
-        .agg(F.count(F.lit(1)).alias("listens"))
+        .agg(listens_of(df).alias("listens"))
     )
     by_loc = rollup_locations(per_state, ["subscription", "song"], ["listens"])
     ranked = top_k(by_loc, n, by_count("listens", ["song"]), partition_by=["location", "subscription"])

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import py_round_text
+from ..plans.pre_aggregated import mean_duration
 
 
 def kpis(df: DataFrame) -> DataFrame:
@@ -20,7 +21,7 @@ def kpis(df: DataFrame) -> DataFrame:
             F.count_distinct("userId")
             + F.coalesce(F.max(F.col("userId").isNull().cast("int")), F.lit(0))
         ).alias("total_users"),
-        F.avg("duration").alias("avg_duration"),
+        mean_duration(df).alias("avg_duration"),
         F.sum(F.when(F.col("subscription") == "paid", F.col("duration"))).alias("paid_duration"),
     )
 

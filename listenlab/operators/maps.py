@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.pre_aggregated import listens_of
 from ..sources.schema import STATE_CODES, state_codes_sql, us_states_sql
 
 # The expressions below are SQL text: the 51-state constant and the lambdas
@@ -52,7 +53,7 @@ def state_map(df: DataFrame, artist: str) -> DataFrame:
     counts = (
         df.where((F.col("artist") == F.lit(artist)) & F.expr(_IN_STATES))
         .groupBy("state")
-        .agg(F.count(F.lit(1)).alias("listens"))
+        .agg(listens_of(df).alias("listens"))
     )
     per_artist = counts.agg(_state_counts_map().alias("m"))
     # The global aggregate is a single partition, so sorting within it is a
@@ -65,7 +66,7 @@ def _per_artist_maps(df: DataFrame) -> DataFrame:
     counts = (
         df.where(F.col("artist").isNotNull())
         .groupBy("artist", "state")
-        .agg(F.count(F.lit(1)).alias("listens"))
+        .agg(listens_of(df).alias("listens"))
     )
     return counts.groupBy("artist").agg(
         _state_counts_map().alias("m"), F.sum("listens").alias("nationwide_listens")
@@ -100,7 +101,7 @@ def map_stats(df: DataFrame, artist: str) -> DataFrame:
     counts = (
         df.where(F.col("artist") == F.lit(artist))
         .groupBy("state")
-        .agg(F.count(F.lit(1)).alias("listens"))
+        .agg(listens_of(df).alias("listens"))
     )
     per_artist = counts.agg(
         _state_counts_map().alias("m"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import py_text
 from ..plans.locations import at_location, rollup_locations
+from ..plans.pre_aggregated import listens_of
 from ..sources.schema import NATIONWIDE
 
 
@@ -25,12 +26,12 @@ def subscription_mix(df: DataFrame, location: str = NATIONWIDE) -> DataFrame:
     `percentage` is count / total * 100 as a double; `percentage_text` is its
     one-decimal display form, rounded like Python (ties to even on the binary value).
     """
-    counts = at_location(df, location).groupBy("subscription").agg(F.count(F.lit(1)).alias("count"))
+    counts = at_location(df, location).groupBy("subscription").agg(listens_of(df).alias("count"))
     return _with_percentage(counts, []).orderBy(F.desc("count"), F.asc_nulls_last("subscription"))
 
 
 def subscription_mix_all(df: DataFrame) -> DataFrame:
     """`subscription_mix` for Nationwide and every state in one job."""
-    per_state = df.groupBy("state", "subscription").agg(F.count(F.lit(1)).alias("count"))
+    per_state = df.groupBy("state", "subscription").agg(listens_of(df).alias("count"))
     by_loc = rollup_locations(per_state, ["subscription"], ["count"])
     return _with_percentage(by_loc, ["location"])

@@ -38,10 +38,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_output_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared directory."""
+    """A fresh, unique folder under the shared directory. It goes when the driver's JVM exits."""
     base = shared_dir(spark)
     sep = "" if base.endswith("/") else "/"
-    return f"{base}{sep}listenlab/{name}-{uuid.uuid4().hex}"
+    path = f"{base}{sep}listenlab/{name}-{uuid.uuid4().hex}"
+    fs, at = _file_system(spark, path)
+    fs.deleteOnExit(at)
+    return path
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that no DataFrame reads any more."""
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
 
 
 def text_schema() -> T.StructType:
@@ -118,8 +132,8 @@ def write_listens(events: DataFrame, path: str) -> None:
 
 def _refuse_stream_folder(spark: SparkSession, path: str) -> None:
     """A stream's sink lists its files in a log; files written beside it would never be read."""
-    log = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_spark_metadata")
-    if log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log):
+    fs, log = _file_system(spark, f"{path.rstrip('/')}/_spark_metadata")
+    if fs.exists(log):
         raise ValueError(f"{path} belongs to a streaming ingest; write batches to a folder of their own")
 
 
