@@ -175,20 +175,25 @@ def leaves_to_visit(index: Index, is_query: Column, k: int = K, target: float =
     queries, query_ids = np.array(sample["vec"].tolist()), sample["vec_id"].to_numpy()
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A task keeps the best of all its batches, and sends those.
+        scores, found = np.full((len(queries), k), -np.inf), np.full((len(queries), k), NO_ID, np.int64)
+        leaves = np.zeros((len(queries), k), np.int32)
         for b in batches:
             if not b.num_rows:
                 continue
             ids, leaf = b.column(0).to_numpy(), b.column(2).to_numpy()
-            scores, found = _best_of(queries, query_ids, matrix(b.column(1)), ids, k)
+            s, f = _best_of(queries, query_ids, matrix(b.column(1)), ids, k)
             order = np.argsort(ids, kind="stable")
-            q, at = np.nonzero(found != NO_ID)
-            got = found[q, at]
-            cols = [query_ids[q], got, scores[q, at], leaf[order[np.searchsorted(ids[order], got)]]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["query_id", "vec_id", "score", "leaf"])
+            at = order[np.searchsorted(ids[order], np.where(f == NO_ID, ids[order[0]], f))]
+            s, f, x = (np.concatenate(pair, axis=1) for pair in ((scores, s), (found, f), (leaves, leaf[at])))
+            first = np.lexsort((f, -s), axis=1)[:, :k]
+            scores, found, leaves = (np.take_along_axis(y, first, axis=1) for y in (s, f, x))
+        q, at = np.nonzero(found != NO_ID)
+        cols = [query_ids[q], found[q, at], scores[q, at], leaves[q, at]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["query_id", "vec_id", "score", "leaf"])
 
     found = index.rows.mapInArrow(near, "query_id long, vec_id long, score double, leaf int")
-    true = best(found, k, F.col("score")).join(found.select("query_id", "vec_id", "leaf"), ["query_id", "vec_id"])
-    true = true.select("query_id", "leaf").toPandas()  # at most k rows for each of the sample
+    true = best(found, k, F.col("score"), "leaf").select("query_id", "leaf").toPandas()  # at most k rows for each of the sample
     place = {q: {leaf: i for i, leaf in enumerate(index.tree.best_bins(v))} for q, v in zip(query_ids, queries, strict=True)}
     needed = np.sort([place[q][leaf] + 1 for q, leaf in zip(true["query_id"], true["leaf"], strict=True)])
     return int(needed[min(len(needed) - 1, int(np.ceil(target * len(needed))) - 1)]) if len(needed) else 1

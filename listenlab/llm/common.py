@@ -26,16 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as Parquet under the shared folder and read it back: cuts the lineage durably.
 
-    The folder is the one the cluster names in `spark.checkpoint.dir`. It goes
-    when the driver's JVM exits; results still being read are never removed.
+    The folder is in the one that the cluster names in `spark.checkpoint.dir`. It
+    goes when the driver's JVM exits; results still being read are never removed.
     """
-    spark = df.sparkSession
-    path = new_output_path(spark, f"llm-{name}")
+    path = new_output_path(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def word_count(text: Column) -> Column:

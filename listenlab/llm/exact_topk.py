@@ -151,8 +151,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
     queries = dealt.filter(is_query).withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int"))
     queries = queries.select("block", "vec_id", "vec")
-    pairs = spark.range(shards).crossJoin(spark.range(blocks).withColumnRenamed("id", "b"))  # numbers only
-    pairs = pairs.select(F.col("id").cast("int").alias("shard"), F.col("b").cast("int").alias("block"))
+    each = spark.range(shards * blocks)
+    pairs = each.select(F.expr(f"int(id div {blocks})").alias("shard"), F.expr(f"int(id % {blocks})").alias("block"))
     home = F.col("block") % shards == F.col("shard")
     first = queries.withColumn("kth", F.lit(float("-inf")))
     first = stash(_searched(_groups(dealt, first, pairs.filter(home)), k), "topk-first")

@@ -33,10 +33,10 @@ def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def best(found: DataFrame, k: int, score: Column) -> DataFrame:
-    """Of (query_id, vec_id, score) the k best of each query with their rank; equal scores go to the smaller vec_id."""
+def best(found: DataFrame, k: int, score: Column, *more: str) -> DataFrame:
+    """Of (query_id, vec_id, score, more) the k best of each query with their rank; equal scores go to the smaller vec_id."""
     order = W.partitionBy("query_id").orderBy(score.desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", *more)
 
 
 def merge_best(scores: np.ndarray, ids: np.ndarray, more: np.ndarray, more_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -1,4 +1,4 @@
-"""URL rules, mixing, sharding and the vector searches against brute force, and the pipeline."""
+"""URL rules, mixing, sharding and the vector searches against brute force."""
 
 from __future__ import annotations
 
@@ -10,8 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-from listenlab.llm import ann, bpe, exact_topk, mixing, registry, sharding, url_rules
+from listenlab.llm import ann, exact_topk, mixing, registry, sharding, url_rules
 from listenlab.llm.common import table
 from oracle_compare import compare, duck
 
@@ -223,29 +222,3 @@ def test_ann_recall_on_the_table(spark, sf_mid):
         order = [i for i in np.lexsort((ids, -(x @ x[q]))) if i != q][:20]
         true |= {(int(ids[q]), int(ids[i])) for i in order}
     assert len(got) == len(true) and len(got & true) >= 0.9 * len(true)
-
-
-# --- pipeline ---
-
-
-def test_pipeline_stages(spark, sf_small):
-    docs = table(spark, sf_small, "documents")
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        out = stage(spark, docs, sf_small).cache()
-        assert out.schema.names == docs.columns, name
-        if name != "line dedup":
-            assert out.count() > 0
-        else:
-            assert out.count() == docs.count()
-        docs = out
-    last = corpus_pipeline.STAGES[-1][1](spark, docs, sf_small).collect()
-    assert len(last) == docs.count() and all(r.n_tokens == len(r.token_ids) for r in last)
-    t = bpe.tokenizer(registry.RANKS, registry.PATTERN)
-    texts = Counter((r.doc_id, (r.text or "").encode()) for r in docs.collect())
-    assert Counter((r.doc_id, t.decode(np.array(r.token_ids, "<u4").tobytes())) for r in last) == texts
-
-
-def test_pipeline_runs_whole(spark, sf_small):
-    got = registry.QUERIES["pipeline"](spark, sf_small)
-    assert got.columns == ["doc_id", "lang", "source", "n_tokens", "token_ids"]
-    assert got.count() > 0
