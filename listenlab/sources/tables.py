@@ -8,6 +8,8 @@ that the same rows can be produced by an independent SQL engine.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,6 +100,9 @@ def listens_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# A handle of a derived frame is its logical plan, whose joins and columns take a few hundred milliseconds to analyse.
+# Every query still reads and joins the tables when it runs.
+@lru_cache(maxsize=8)
 def listen_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw play events (the JSON shape): `level` for subscription, `ts` in epoch ms, `song` mis-encoded 0, 1 or 2 times."""
     v = listens_view(spark, sf_dir)
@@ -113,6 +118,7 @@ def listen_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=8)
 def listens(spark: SparkSession, sf_dir: str, mode: str = "strict") -> DataFrame:
     """Raw events from the driver tables, passed through `clean_listens`."""
     from ..operators.clean import clean_listens
