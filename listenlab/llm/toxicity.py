@@ -287,9 +287,9 @@ def fit(
     rows = stash(rows.mapInArrow(restore, "y int, words string"), "toxicity-rows")
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for part in (b.slice(i, 500) for b in batches for i in range(0, b.num_rows, 500)):  # bounds the set of pairs
             found = set()
-            for words in b.column(1).to_pylist():
+            for words in part.column(1).to_pylist():
                 before, first = "", {}
                 for w in words.split():
                     for f in features(w):
