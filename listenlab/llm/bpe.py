@@ -13,8 +13,8 @@ that end at a byte come from an Aho-Corasick automaton over the vocabulary, so t
 the bytes, also for one match of a million letters.
 
 How it runs: `encode` is one `mapInArrow` over the documents, without a shuffle. Each Python
-worker loads the vocabulary from its path once and keeps a bounded cache of encoded chunks
-(`CACHE_CHUNKS`); clearing it only costs time.
+worker loads the vocabulary from its path once and keeps bounded caches of encoded chunks and matches
+(`CACHE_CHUNKS`); forgetting only costs time.
 
 Defined results: a null text encodes as an empty one, to no ids. Special tokens are not recognised.
 Rows stand for themselves; ids and nulls in other columns pass through. An empty table gives an empty result.
@@ -27,7 +27,6 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -36,12 +35,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import ship
+from .common import BoundedCache, held, ship
 
-CACHE_CHUNKS = 200_000
-KNOWN_PAIRS = 1_000_000
-#: Longer chunks are encoded anew each time, so the cache stays small in bytes too.
-CACHE_CHARS = 64
+CACHE_CHUNKS = 100_000
+KNOWN_PAIRS = 400_000
 IDS = np.dtype("<u4")
 #: What stands before the first token, shifted as the tokens in a prefix table are.
 START = 1 << 62
@@ -175,28 +172,6 @@ class PrefixEncoder:
         return out[::-1]
 
 
-class _Cache(dict):
-    """A bounded cache of encoded strings: `make` builds what it doesn't hold.
-
-    Entries live in two generations. When the young one is full it becomes the old one, whose entries come back as
-    they are asked for, so frequent strings stay.
-    """
-
-    def __init__(self, make, most: int):
-        self.make, self.most, self.old = make, most, {}
-
-    def __missing__(self, text: str) -> bytes:
-        ids = self.old.get(text)
-        if ids is None:
-            ids = self.make(text)
-        if len(text) <= CACHE_CHARS:
-            if len(self) >= self.most:
-                self.old = dict(self)
-                self.clear()
-            self[text] = ids
-        return ids
-
-
 class Tokenizer:
     """Encodes and decodes texts by a rank file and the pattern that cuts texts."""
 
@@ -211,8 +186,8 @@ class Tokenizer:
         self.packed = [t.to_bytes(IDS.itemsize, "little") for t in range(top)]
         self.bytes_of = [v.bytes_of.get(t, b"") for t in range(top)]
         self.sizes = [len(x) for x in self.bytes_of]
-        self.encoded = _Cache(self._encode_chunk, CACHE_CHUNKS)
-        self.encoded_matches = _Cache(self.encode_match, CACHE_CHUNKS)
+        self.encoded = BoundedCache(self._encode_chunk, CACHE_CHUNKS)
+        self.encoded_matches = BoundedCache(self.encode_match, CACHE_CHUNKS)
 
     def _encode_chunk(self, chunk: str) -> bytes:
         # str.isalpha() means \p{L}+, which is one match with the space before it.
@@ -251,10 +226,9 @@ class Tokenizer:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, IDS).tolist()))
 
 
-@lru_cache(maxsize=2)
 def tokenizer(path: str, pattern: str) -> Tokenizer:
-    """One tokenizer a Python worker and vocabulary."""
-    return Tokenizer(path, pattern)
+    """The tokenizer that this process keeps."""
+    return held((path, pattern), lambda: Tokenizer(path, pattern))
 
 
 def _replaced(docs: DataFrame, new: list[T.StructField]) -> tuple[DataFrame, T.StructType]:

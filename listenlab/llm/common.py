@@ -6,6 +6,8 @@ import os
 import shutil
 import tempfile
 
+from collections.abc import Callable, Hashable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,3 +71,36 @@ def hash_sample(df: DataFrame, rows: int, *key: str, seed: int = 0) -> DataFrame
     chance = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(unit))
     near = df.filter(chance < unit * 2 * rows // n) if n > 2 * rows else df
     return near.orderBy(chance, *key).limit(rows)
+
+
+class BoundedCache(dict):
+    """What `make` gives for a text, for at most 2 * `most` texts of up to `longest` characters.
+
+    Entries live in two generations. When the young one is full it becomes the old one, whose entries come back as
+    they are asked for, so frequent texts stay. Forgetting only costs time.
+    """
+
+    def __init__(self, make: Callable[[str], object], most: int, longest: int = 64):
+        self.make, self.most, self.longest, self.old = make, most, longest, {}
+
+    def __missing__(self, text: str):
+        value = self.old.get(text)
+        if value is None:
+            value = self.make(text)
+        if len(text) <= self.longest:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[text] = value
+        return value
+
+
+_held: dict[Hashable, object] = {}
+
+
+def held(key: Hashable, build: Callable[[], object]):
+    """One object that a Python worker keeps between tasks, until another is asked for: workers outlive operators."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = build()
+    return _held[key]

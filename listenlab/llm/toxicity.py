@@ -27,10 +27,10 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 from math import exp, log
 
 import numpy as np
@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hash_sample, ship, stash
+from .common import BoundedCache, hash_sample, held, ship, stash
 
 THRESHOLD = 0.7
 FIT_ROWS = 20_000
@@ -61,7 +61,7 @@ LEET = {
 }
 #: Channel costs in nats.
 LEET_COST, REPEAT_COST, GAP_COST, BREAK_COST = 0.7, 2.0, 0.3, 3.0
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 #: Longer stretches are cut into pieces of so many characters for the lattice; no word is that long.
 LATTICE_CHARS = 400
 
@@ -70,7 +70,8 @@ _LETTER = r"[^\W\d_]"
 #: A chunk worth a lattice: a letter with a leet character inside or in front, or a repeated letter, or a separator between letters.
 _SUSPICIOUS = re.compile(rf"{_LETTER}[{_LEET_CLASS}]+{_LETTER}|^\W*[{_LEET_CLASS}]+{_LETTER}|{_LETTER}[{_LEET_CLASS}]+$|({_LETTER})\1|{_LETTER}[.\-_*~]+{_LETTER}")
 #: Single characters set apart by the same kind of gap.
-_APART = re.compile(rf"(?<![^\s.\-_*])(?:[a-z{_LEET_CLASS}](?:\s|[.\-_*]+)){{2,}}[a-z{_LEET_CLASS}](?![^\s.,;:!?\-_*])")
+_APART = re.compile(rf"(?<![^\s.\-_*])(?:[a-z{_LEET_CLASS}](?:\s{{1,3}}|[.\-_*]+)){{2,}}[a-z{_LEET_CLASS}](?![^\s.,;:!?\-_*])")
+_GAP = re.compile(r"\s")
 _WORDS = re.compile(rf"{_LETTER}+")
 
 
@@ -139,8 +140,8 @@ class Restorer:
     """Reads obfuscated stretches by Viterbi's algorithm."""
 
     def __init__(self, model: np.ndarray):
-        self.cost = model.tolist()
-        self.words: dict[str, list[str]] = {}
+        self.cost = array("d", model)
+        self.read_chunks = BoundedCache(self._read_chunk, CACHE_WORDS)
 
     @staticmethod
     def lattice(stretch: str) -> list[list[tuple[str, float]]]:
@@ -194,30 +195,14 @@ class Restorer:
     def restore(self, text: str | None) -> list[str]:
         """The words of a text, lower-cased and restored, in order."""
         text = (text or "").lower()
-        out: list[str] = []
-        at = 0
-        for m in _APART.finditer(text):
-            out += self._chunks(text[at : m.start()])
-            out += self._read_words(re.sub(r"\s", ".", m.group()))
-            at = m.end()
-        return out + self._chunks(text[at:])
-
-    def _read_words(self, stretch: str) -> list[str]:
-        return [w for i in range(0, len(stretch), LATTICE_CHARS) for w in self.read(stretch[i : i + LATTICE_CHARS]).split()]
-
-    def _chunks(self, text: str) -> list[str]:
-        out: list[str] = []
-        known = self.words
-        for chunk in text.split():
-            words = known.get(chunk)
-            if words is None:
-                words = self._read_words(chunk) if _SUSPICIOUS.search(chunk) else _WORDS.findall(chunk)
-                if len(chunk) <= 64:
-                    if len(known) >= CACHE_WORDS:
-                        known.clear()
-                    known[chunk] = words
-            out += words
-        return out
+        # Letters set apart by white space are one chunk: their gaps become dots.
+        text = _APART.sub(lambda m: _GAP.sub(".", m.group()), text)
+        return " ".join(map(self.read_chunks.__getitem__, text.split())).split()
+
+    def _read_chunk(self, chunk: str) -> str:
+        if not _SUSPICIOUS.search(chunk):
+            return " ".join(_WORDS.findall(chunk))
+        return " ".join(self.read(chunk[i : i + LATTICE_CHARS]) for i in range(0, len(chunk), LATTICE_CHARS))
 
 
 def features(word: str) -> list[str]:
@@ -225,9 +210,9 @@ def features(word: str) -> list[str]:
     return [f"{word}$", *(word[:k] for k in (4, 5, 6) if len(word) > k)]
 
 
-@lru_cache(maxsize=2)
 def _restorer(model: bytes) -> Restorer:
-    return Restorer(np.frombuffer(model))
+    """The restorer that this process keeps."""
+    return held(("restorer", zlib.crc32(model)), lambda: Restorer(np.frombuffer(model)))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -242,23 +227,25 @@ class Classifier:
     evidence: dict[str, tuple[int, int]]
     weights: tuple[float, float, float]
 
-    def weigh(self, words: list[str], own: int | None = None) -> float:
-        """The log odds of the different words that tell. `own`: the label of a text learnt from, which is left out of the counts."""
-        total = 0.0
-        for w in sorted(set(words)):
-            # A word and its stems are one piece of evidence.
-            best = 0.0
-            for f in features(w):
-                if f in self.evidence:
-                    toxic, clean = self.evidence[f]
-                    best = max(best, chance(toxic - (own == 1), clean - (own == 0)))
-            if best >= TELLING:
-                total += log(best / (1 - best))
-        return total
-
-    def score(self, words: list[str]) -> float:
+    def tells(self, word: str, own: int | None = None) -> float:
+        """The log odds of a word, by itself or the best of its stems; 0.0 if they don't tell.
+
+        `own`: the label of a text learnt from, which is left out of the counts.
+        """
+        best = 0.0
+        for f in features(word):
+            if f in self.evidence:
+                toxic, clean = self.evidence[f]
+                best = max(best, chance(toxic - (own == 1), clean - (own == 0)))
+        return log(best / (1 - best)) if best >= TELLING else 0.0
+
+    def weigh(self, words: list[str], tells: Callable[[str], float]) -> float:
+        """The evidence of the different words of a text, summed in order of size, so that it is alike in every run."""
+        return sum(sorted(map(tells, set(words))))
+
+    def score(self, words: list[str], tells: Callable[[str], float]) -> float:
         a, b, c = self.weights
-        z = a + b * self.weigh(words) + c * log(1 + len(words))
+        z = a + b * self.weigh(words, tells) + c * log(1 + len(words))
         return 1 / (1 + exp(-min(max(z, -500.0), 500.0)))
 
 
@@ -320,7 +307,8 @@ def fit(
         for b in batches:
             y = b.column(0).to_pylist()
             words = [w.split() for w in b.column(1).to_pylist()]
-            x = [telling.value.weigh(w, own) for w, own in zip(words, y, strict=True)]
+            t = telling.value
+            x = [t.weigh(w, lambda word, own=own: t.tells(word, own)) for w, own in zip(words, y, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.float64()), pa.array(map(len, words), pa.int64())], names=["y", "x", "n"])
 
     got = rows.mapInArrow(weigh, "y int, x double, n long").toPandas()  # at most FIT_ROWS rows, but for repeated ids
@@ -355,9 +343,10 @@ def score(docs: DataFrame, model: np.ndarray, classifier: Classifier, text_col:
     out = T.StructType([*src.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r, judge = _restorer(shared.value), told.value.score
+        r, judge = _restorer(shared.value), told.value
+        tells = BoundedCache(judge.tells, CACHE_WORDS).__getitem__
         for b in batches:
-            scores = [judge(r.restore(t.as_py())) for t in b.column(at)]
+            scores = [judge.score(r.restore(t.as_py()), tells) for t in b.column(at)]
             predicted = [int(s >= threshold) for s in scores]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64()), pa.array(predicted, pa.int32())], names=out.names)
 
