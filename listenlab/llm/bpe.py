@@ -35,7 +35,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import BoundedCache, held, ship
+from .common import BoundedCache, held, ship, small
 
 CACHE_CHUNKS = 100_000
 KNOWN_PAIRS = 400_000
@@ -246,7 +246,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(path, pattern)
-        for b in batches:
+        for b in small(batches):
             ids = [np.frombuffer(t.encode(x.as_py()), IDS).astype(np.int32) for x in b.column(at)]
             sizes = [len(x) for x in ids]
             flat = np.concatenate(ids) if ids else np.array([], np.int32)
@@ -264,7 +264,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "token_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(path, pattern)
-        for b in batches:
+        for b in small(batches):
             rows = [None if x.as_py() is None else t.decode(np.array(x.as_py(), IDS).tobytes()) for x in b.column(at)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, pa.binary())], names=out.names)
 
@@ -283,7 +283,7 @@ def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(path, pattern)
-        for b in batches:
+        for b in small(batches):
             n, ids_hex, decoded_hex = [], [], []
             for x in b.column(1):
                 ids = t.encode(x.as_py())
@@ -304,7 +304,7 @@ def token_lengths(docs: DataFrame, path: str, pattern: str, text_col: str = "tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(path, pattern)
-        for b in batches:
+        for b in small(batches):
             n = [len(t.encode(x.as_py())) // IDS.itemsize for x in b.column(len(group_cols))]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(n, pa.int64())], names=out.names)
 

@@ -6,8 +6,9 @@ import os
 import shutil
 import tempfile
 
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Hashable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,6 +74,13 @@ def hash_sample(df: DataFrame, rows: int, *key: str, seed: int = 0) -> DataFrame
     return near.orderBy(chance, *key).limit(rows)
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most `rows`, so that what a task builds for a batch of texts stays small."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 class BoundedCache(dict):
     """What `make` gives for a text, for at most 2 * `most` texts of up to `longest` characters.
 

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACE_BYTES, ship, stash
+from .common import SPACE_BYTES, ship, small, stash
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -73,7 +73,7 @@ def line_hashes(docs: DataFrame, id_col: str, text_col: str, min_chars: int) ->
     """The distinct long keys of each row: (doc_id, h1, h2)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             counts, found = [], []
             for text in b.column(1):
                 own = {h for h in _keyed_lines(text.as_py(), min_chars)[1] if h}
@@ -207,7 +207,7 @@ def dedup_lines(
     at = kept.index(text_col)
 
     def strip(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in rows:
+        for b in small(rows):
             texts, n_lines, n_dropped = [], [], []
             for text, drop in zip(b.column(at), b.column(len(kept)), strict=True):
                 text = text.as_py()

@@ -36,7 +36,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ship, stash
+from .common import ship, small, stash
 from .graph import components
 
 SHINGLE = 3
@@ -79,7 +79,7 @@ def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE
     out = T.StructType([*(src.schema[i] for i in kept), T.StructField("fp", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column(at)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in kept), pa.array(fps)], names=out.names)
 

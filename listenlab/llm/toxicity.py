@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BoundedCache, hash_sample, held, ship, stash
+from .common import BoundedCache, hash_sample, held, ship, small, stash
 
 THRESHOLD = 0.7
 FIT_ROWS = 20_000
@@ -111,9 +111,8 @@ def language_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SYMBOLS**ORDER, np.int64)
-        for b in batches:
-            for i in range(0, b.num_rows, 256):
-                total += ngram_counts(b.column(0).slice(i, 256).to_pylist())
+        for b in small(batches, 256):
+            total += ngram_counts(b.column(0).to_pylist())
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["gram", "n"])
 
@@ -267,16 +266,16 @@ def fit(
 
     def restore(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r = _restorer(shared.value)
-        for b in batches:
+        for b in small(batches):
             words = [" ".join(r.restore(t.as_py())) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words, pa.string())], names=["y", "words"])
 
     rows = stash(rows.mapInArrow(restore, "y int, words string"), "toxicity-rows")
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in (b.slice(i, 500) for b in batches for i in range(0, b.num_rows, 500)):  # bounds the set of pairs
+        for b in small(batches):
             found = set()
-            for words in part.column(1).to_pylist():
+            for words in b.column(1).to_pylist():
                 before, first = "", {}
                 for w in words.split():
                     for f in features(w):
@@ -293,7 +292,7 @@ def fit(
 
     def clean_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = Counter()
-        for b in batches:
+        for b in small(batches):
             for words in b.column(1).to_pylist():
                 total.update({f for w in set(words.split()) for f in features(w)} & wanted.value)
         yield pa.RecordBatch.from_arrays([pa.array([*total], pa.string()), pa.array([*total.values()], pa.int64())], names=["feature", "n"])
@@ -304,7 +303,7 @@ def fit(
     telling = spark.sparkContext.broadcast(Classifier(evidence, (0.0, 0.0, 0.0)))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             y = b.column(0).to_pylist()
             words = [w.split() for w in b.column(1).to_pylist()]
             t = telling.value
@@ -345,7 +344,7 @@ def score(docs: DataFrame, model: np.ndarray, classifier: Classifier, text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r, judge = _restorer(shared.value), told.value
         tells = BoundedCache(judge.tells, CACHE_WORDS).__getitem__
-        for b in batches:
+        for b in small(batches):
             scores = [judge.score(r.restore(t.as_py()), tells) for t in b.column(at)]
             predicted = [int(s >= threshold) for s in scores]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64()), pa.array(predicted, pa.int32())], names=out.names)
