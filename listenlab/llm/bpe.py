@@ -44,7 +44,7 @@ IDS = np.dtype("<u4")
 START = 1 << 62
 
 # The characters that Unicode calls white space, as the pattern's \s means them.
-SPACES = "\t-\r \x85\xa0  -     　"
+SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 class Vocabulary:
