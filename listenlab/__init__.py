@@ -1,7 +1,7 @@
 """listenlab: Spark-native analytics for music-listening events.
 
 Every operation is a function from DataFrame to DataFrame written with Spark's
-built-in expressions: no Python UDF, no action inside the library.
+built-in expressions: no Python UDF. Operators are lazy; only functions that write run jobs.
 """
 
 from .operators.clean import clean_listens
