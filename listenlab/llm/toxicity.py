@@ -31,6 +31,7 @@ from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from math import exp, log
 
 import numpy as np
@@ -72,6 +73,7 @@ _SUSPICIOUS = re.compile(rf"{_LETTER}[{_LEET_CLASS}]+{_LETTER}|^\W*[{_LEET_CLASS
 #: Single characters set apart by the same kind of gap.
 _APART = re.compile(rf"(?<![^\s.\-_*])(?:[a-z{_LEET_CLASS}](?:\s{{1,3}}|[.\-_*]+)){{2,}}[a-z{_LEET_CLASS}](?![^\s.,;:!?\-_*])")
 _GAP = re.compile(r"\s")
+_RUN = re.compile(r"(.)\1*", re.DOTALL)
 _WORDS = re.compile(rf"{_LETTER}+")
 
 
@@ -135,6 +137,31 @@ def costs(counts: np.ndarray) -> np.ndarray:
     return -np.log(chance).ravel()
 
 
+def _symbol(x: str) -> int:
+    return ord(x) - 96 if "a" <= x <= "z" else EDGE if x == " " else OTHER
+
+
+@lru_cache(maxsize=4096)
+def _options(c: str, n: int, inside: bool) -> list[tuple[str, float, tuple[int, ...]]]:
+    """What a run of n (3: or more) times c may stand for: the letters, their channel cost and their symbols."""
+    if c.isalpha():
+        out = [[(c, 0.0)], [(c + c, 0.0), (c, REPEAT_COST)], [(c, REPEAT_COST), (c + c, REPEAT_COST)]][n - 1]
+    elif c in LEET:
+        out = [(x * k, LEET_COST) for k in range(1, min(n, 2) + 1) for x in LEET[c]]
+        out.append((" ", BREAK_COST if inside else 0.0))
+    else:
+        out = [("", GAP_COST), (" ", 0.0)]
+    return [(letters, channel, tuple(map(_symbol, letters))) for letters, channel in out]
+
+
+def _slots(stretch: str) -> list[list[tuple[str, float, tuple[int, ...]]]]:
+    runs = [m.span() for m in _RUN.finditer(stretch)]
+    return [_options(stretch[i], min(j - i, 3), 0 < i and j < len(stretch)) for i, j in runs]
+
+
+_END = [(" ", 0.0, (EDGE,))]
+
+
 class Restorer:
     """Reads obfuscated stretches by Viterbi's algorithm."""
 
@@ -145,47 +172,24 @@ class Restorer:
     @staticmethod
     def lattice(stretch: str) -> list[list[tuple[str, float]]]:
         """For each run of a character the strings it may stand for, with their channel costs; a space ends a word."""
-        out, i, n = [], 0, len(stretch)
-        while i < n:
-            c, j = stretch[i], i
-            while j < n and stretch[j] == c:
-                j += 1
-            if c.isalpha():
-                if j - i == 1:
-                    out.append([(c, 0.0)])
-                elif j - i == 2:
-                    out.append([(c + c, 0.0), (c, REPEAT_COST)])
-                else:
-                    out.append([(c, REPEAT_COST), (c + c, REPEAT_COST)])
-            elif c in LEET:
-                inside = 0 < i and j < n
-                reads = [(x, LEET_COST) for x in LEET[c]]
-                if j - i > 1:
-                    reads += [(x + x, LEET_COST) for x in LEET[c]]
-                out.append([*reads, (" ", BREAK_COST if inside else 0.0)])
-            else:
-                out.append([("", GAP_COST), (" ", 0.0)])
-            i = j
-        return out
+        return [[(letters, channel) for letters, channel, _ in options] for options in _slots(stretch)]
 
     def read(self, stretch: str) -> str:
         """The cheapest reading of a lower-case stretch."""
         cost = self.cost
         states = {0: (0.0, "")}  # by the last three symbols
-        for options in [*self.lattice(stretch), [(" ", 0.0)]]:
+        for options in [*_slots(stretch), _END]:
             after: dict[int, tuple[float, str]] = {}
             for context, (spent, text) in states.items():
-                for letters, channel in options:
+                for letters, channel, symbols in options:
                     at, total = context, spent + channel
-                    for x in letters:
-                        symbol = ord(x) - 96 if "a" <= x <= "z" else EDGE if x == " " else OTHER
-                        if symbol == EDGE:
-                            if at:
-                                total += cost[at * SYMBOLS]
-                            at = 0
-                        else:
+                    for symbol in symbols:
+                        if symbol:
                             total += cost[at * SYMBOLS + symbol]
                             at = (at * SYMBOLS + symbol) % CONTEXTS
+                        elif at:
+                            total += cost[at * SYMBOLS]
+                            at = 0
                     if at not in after or total < after[at][0]:
                         after[at] = (total, text + letters)
             states = after
