@@ -68,10 +68,12 @@ LATTICE_CHARS = 400
 
 _LEET_CLASS = re.escape("".join(LEET))
 _LETTER = r"[^\W\d_]"
-#: A chunk worth a lattice: a letter with a leet character inside or in front, or a repeated letter, or a separator between letters.
-_SUSPICIOUS = re.compile(rf"{_LETTER}[{_LEET_CLASS}]+{_LETTER}|^\W*[{_LEET_CLASS}]+{_LETTER}|{_LETTER}[{_LEET_CLASS}]+$|({_LETTER})\1|{_LETTER}[.\-_*~]+{_LETTER}")
-#: Single characters set apart by the same kind of gap.
-_APART = re.compile(rf"(?<![^\s.\-_*])(?:[a-z{_LEET_CLASS}](?:\s{{1,3}}|[.\-_*]+)){{2,}}[a-z{_LEET_CLASS}](?![^\s.,;:!?\-_*])")
+#: A chunk with a letter is worth a lattice if it has a leet character, a repeated letter, or anything between two letters.
+_SUSPICIOUS = re.compile(rf"[{_LEET_CLASS}]|({_LETTER})\1|{_LETTER}[\W\d_]+{_LETTER}")
+#: Between letters set apart: white space and any sign that is no letter's own.
+_SEPARATOR = rf"(?:[^\w{_LEET_CLASS}]|_)"
+#: Single characters set apart, between any characters but letters and digits.
+_APART = re.compile(rf"(?<![^\W_])(?:[a-z{_LEET_CLASS}]{_SEPARATOR}+){{2,}}[a-z{_LEET_CLASS}](?![^\W_])")
 _GAP = re.compile(r"\s")
 _RUN = re.compile(r"(.)\1*", re.DOTALL)
 _WORDS = re.compile(rf"{_LETTER}+")
@@ -203,8 +205,9 @@ class Restorer:
         return " ".join(map(self.read_chunks.__getitem__, text.split())).split()
 
     def _read_chunk(self, chunk: str) -> str:
-        if not _SUSPICIOUS.search(chunk):
-            return " ".join(_WORDS.findall(chunk))
+        words = _WORDS.findall(chunk)
+        if not words or not _SUSPICIOUS.search(chunk):
+            return " ".join(words)
         return " ".join(self.read(chunk[i : i + LATTICE_CHARS]) for i in range(0, len(chunk), LATTICE_CHARS))
 
 

@@ -300,6 +300,22 @@ def test_restore(restorer, text, words):
     assert restorer.restore(text) == words
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "idio7.", "idi07,", "idio+?", "idio7_", "«idio7»", "1.d.1.0.t", '"i d i o t"', "(i d i o t)", "«i d i o t»", "[i.d.i.o.t]",
+        "i    d     i    o \t  \n  t", "i/d/i/o/t", "i,d,i,o,t", "i, d, i, o, t;", "i . d . i . o . t", "'i:d:1:0:t'",
+    ],
+)
+def test_restore_before_and_between_any_signs(restorer, text):
+    assert restorer.restore(f"you {text}") == ["you", "idiot"]
+
+
+def test_gates_take_linear_time(restorer):
+    for text in ("$ " * 50_000 + "ab", "1" * 200_000, "a" + "." * 200_000 + "1", "i d " * 50 + "ii"):
+        assert isinstance(restorer.restore(text), list)
+
+
 def test_viterbi_finds_the_cheapest_reading(restorer):
     def cost(reading):
         total, at = 0.0, 0
