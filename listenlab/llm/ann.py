@@ -8,9 +8,9 @@ How many is calibrated: for `CALIBRATION_QUERIES` queries, the true neighbours a
 `TARGET_RECALL` of them lie in visited leaves. Scores are exact: inner products of the original vectors in double precision, summed component by component, so
 that equal vectors have equal scores.
 
-How it runs: the tree goes to the tasks with their code; it has at most `BRANCH` ^ `DEPTH` leaves. Vectors are dealt by (leaf,
-part), where a large leaf has several parts, and each query goes to its leaves' parts; a part is a task's group of bounded size. The best
-of all parts are merged by query.
+How it runs: the tree goes to the tasks with their code; it has at most `BRANCH` ^ `DEPTH` leaves. A large leaf's vectors are dealt
+into parts of about `PART_ROWS`, the queries that visit it into blocks of about `QUERY_ROWS`. Each (leaf, part, block) is a task's group of bounded size, and the best
+of all are merged by query.
 
 Defined results: rows with a null id, a null, empty or zero vector, or a null or non-finite component take no part; rows of equal id are one vector, the
 smallest in order. Vectors of another length than most of the sample's take no part. Equal scores go to the smaller id. Queries visit further leaves
@@ -38,6 +38,7 @@ FIT_ROWS = 16_384
 BRANCH, DEPTH = 8, 3
 LEAF_ROWS = 64
 PART_ROWS = 16_384
+QUERY_ROWS = 2048
 ROUNDS = 12
 CALIBRATION_QUERIES = 256
 TARGET_RECALL = 0.95
@@ -199,32 +200,49 @@ def leaves_to_visit(index: Index, is_query: Column, k: int = K, target: float =
     return int(needed[min(len(needed) - 1, int(np.ceil(target * len(needed))) - 1)]) if len(needed) else 1
 
 
-def search(index: Index, is_query: Column, visits: int, k: int = K) -> DataFrame:
-    """(query_id, rank, vec_id, score) of every indexed row with `is_query` (over vec_id), in its first `visits` leaves."""
+def _groups(index: Index, is_query: Column, visits: int, k: int) -> DataFrame:
+    """(leaf, part, block, is_query, vec_id, vec): a leaf's vectors once for each block of its queries, and these once for each of its parts."""
     tree, sizes = index.tree, index.sizes
-    parts = np.maximum(1, -(-sizes // PART_ROWS))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at, leaves, part = [], [], []
-            for i, q in enumerate(matrix(b.column(1))):
-                held = 0
+            leaves = []
+            for q in matrix(b.column(1)):
+                held, seen = 0, []
                 for n, leaf in enumerate(tree.best_bins(q)):
                     if n >= visits and held > k:
                         break
                     held += sizes[leaf]
                     if sizes[leaf]:
-                        at += [i] * parts[leaf]
-                        leaves += [leaf] * parts[leaf]
-                        part += range(parts[leaf])
-            took = b.take(pa.array(at, pa.int64()))
-            cols = [pa.array(leaves, pa.int32()), pa.array(part, pa.int32()), pa.array([True] * len(at), pa.bool_()), took.column(0), took.column(1)]
-            yield pa.RecordBatch.from_arrays(cols, names=["leaf", "part", "is_query", "vec_id", "vec"])
-
-    counts = F.element_at(F.array(*map(F.lit, parts.tolist())), F.col("leaf") + 1)
-    part = F.pmod(F.xxhash64("vec_id"), counts.cast("long")).cast("int")
-    held = index.rows.select("leaf", part.alias("part"), F.lit(False).alias("is_query"), "vec_id", "vec")
-    queries = index.rows.filter(is_query).select("vec_id", "vec").mapInArrow(route, held.schema)
+                        seen.append(leaf)
+                leaves.append(seen)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(leaves, pa.list_(pa.int32()))], names=["vec_id", "vec", "leaves"])
+
+    queries = index.rows.filter(is_query).select("vec_id", "vec")
+    routed = T.StructType([*queries.schema.fields, T.StructField("leaves", T.ArrayType(T.IntegerType()))])
+    queries = stash(queries.mapInArrow(route, routed), "ann-queries").select(F.explode("leaves").alias("leaf"), "vec_id", "vec")
+    visitors = np.zeros(tree.leaves, np.int64)
+    for leaf, n in queries.groupBy("leaf").count().collect():  # a row for each leaf
+        visitors[leaf] = n
+
+    def of_leaf(counts: np.ndarray) -> Column:
+        return F.element_at(F.array(*map(F.lit, counts.tolist())), F.col("leaf") + 1)
+
+    def dealt(seed: int, counts: Column) -> Column:
+        return F.pmod(F.xxhash64("vec_id", F.lit(seed)), counts.cast("long")).cast("int")
+
+    def each(counts: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), counts.cast("int") - 1))
+
+    parts, blocks = of_leaf(np.maximum(1, -(-sizes // PART_ROWS))), of_leaf(np.maximum(1, -(-visitors // QUERY_ROWS)))
+    visited = index.rows.filter(of_leaf(visitors) > 0)
+    held = visited.select("leaf", dealt(0, parts).alias("part"), each(blocks).alias("block"), F.lit(False).alias("is_query"), "vec_id", "vec")
+    queries = queries.select("leaf", each(parts).alias("part"), dealt(1, blocks).alias("block"), F.lit(True).alias("is_query"), "vec_id", "vec")
+    return held.unionByName(queries)
+
+
+def search(index: Index, is_query: Column, visits: int, k: int = K) -> DataFrame:
+    """(query_id, rank, vec_id, score) of every indexed row with `is_query` (over vec_id), in its first `visits` leaves."""
 
     def run(group: pa.Table) -> pa.Table:
         q, v = group.filter(group["is_query"]), group.filter(pa.compute.invert(group["is_query"]))
@@ -235,7 +253,7 @@ def search(index: Index, is_query: Column, visits: int, k: int = K) -> DataFrame
         kept = found != NO_ID
         return pa.table({"query_id": np.broadcast_to(ids[:, None], found.shape)[kept], "vec_id": found[kept], "score": scores[kept]})
 
-    found = held.unionByName(queries).groupBy("leaf", "part").applyInArrow(run, "query_id long, vec_id long, score double")
+    found = _groups(index, is_query, visits, k).groupBy("leaf", "part", "block").applyInArrow(run, "query_id long, vec_id long, score double")
     return best(found, k, F.col("score"))
 
 

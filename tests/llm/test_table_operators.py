@@ -213,6 +213,27 @@ def test_ann(spark, rows):
     assert ann.nearest(few.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_ann_groups_are_bounded(spark, rows, monkeypatch):
+    is_query = F.col("vec_id") % 2 == 0
+    index = ann.build(vectors(spark, rows))
+    want = {tuple(r) for r in ann.search(index, is_query, 2).collect()}
+    monkeypatch.setattr(ann, "PART_ROWS", 100)
+    monkeypatch.setattr(ann, "QUERY_ROWS", 50)
+    groups, met = defaultdict(lambda: ([], [])), Counter()
+    for r in ann._groups(index, is_query, 2, ann.K).collect():
+        groups[r.leaf, r.part, r.block][r.is_query].append(r.vec_id)
+    for held, queries in groups.values():
+        assert len(held) <= 150 and len(queries) <= 80
+        met.update((q, v) for q in queries for v in held)
+    assert set(met.values()) == {1}
+    leaf = {r.vec_id: r.leaf for r in index.rows.collect()}
+    size = Counter(leaf.values())
+    visited = Counter(q for q, _ in met)
+    assert max(size.values()) > 300 and set(visited) == {i for i in leaf if i % 2 == 0}
+    assert all(n == sum(size[x] for x in {leaf[v] for p, v in met if p == q}) for q, n in [*visited.items()][:20])
+    assert {tuple(r) for r in ann.search(index, is_query, 2).collect()} == want
+
+
 def test_ann_recall_on_the_table(spark, sf_mid):
     got = {(r.query_id, r.vec_id) for r in registry.QUERIES["op9_ann"](spark, sf_mid).collect()}
     data = table(spark, sf_mid, "embeddings").collect()
