@@ -10,10 +10,10 @@ prefixes that hold a target are probed again, one level finer, until every split
 within `tolerance`. Rows are then exchanged once. The probes that come back
 to the driver are bounded by parameters, not by the rows.
 
-Equal texts stay together where they can: boundaries between texts are taken if
-they are within `group_slack` of a shard. If a large group of copies lies across a target,
-the order is dealt anew with another hash seed (`SEEDS` of them); a group that still doesn't
-fit, such as one above a shard, is cut.
+Equal texts stay together where they can. Groups of more than `group_slack` of a shard, at most
+shards / `group_slack`, are found by their bytes and put into shards whole, the largest first, each into the fullest shard that
+has room for it. The splitters then deal the rest, so that the shards have equal bytes; boundaries between texts
+are taken if they are within `group_slack` of a shard. Only a group that no shard has room for, such as one above a shard, is cut.
 
 Inside a shard, rows are numbered from 0 without gaps: the exchange goes to many pieces of
 about equal rows, whose first numbers are the exact counts below their boundaries.
@@ -38,7 +38,6 @@ SHARDS = 8
 PIECES = 1024
 TOLERANCE = 0.0005
 GROUP_SLACK = 0.02
-SEEDS = 6
 #: Key prefixes probed in turn, in bits; the first four end between texts.
 LEVELS = (12, 20, 30, 40, 48, 56, 64)
 TEXT_BITS = 40
@@ -52,10 +51,10 @@ class Splitter:
     below: tuple[int, int]
 
 
-def sort_key(doc_id: Column, text: Column, seed: int) -> Column:
-    words = F.xxhash64(F.lit(seed), F.coalesce(text, F.lit("")))
+def sort_key(doc_id: Column, text: Column) -> Column:
+    words = F.xxhash64(F.lit(0), F.coalesce(text, F.lit("")))
     low = (1 << (64 - TEXT_BITS)) - 1
-    return words.bitwiseAND(F.lit(~low)).bitwiseOR(F.xxhash64(F.lit(seed), doc_id).bitwiseAND(F.lit(low)))
+    return words.bitwiseAND(F.lit(~low)).bitwiseOR(F.xxhash64(F.lit(0), doc_id).bitwiseAND(F.lit(low)))
 
 
 def find_splitters(keyed: DataFrame, goals: list[tuple[int, float, float, float]]) -> list[Splitter]:
@@ -105,6 +104,31 @@ def find_splitters(keyed: DataFrame, goals: list[tuple[int, float, float, float]
     return [s or Splitter(-(1 << 63), total) for s in best]
 
 
+def large_groups(keyed: DataFrame, above: float) -> dict[int, int]:
+    """The bytes of each group of equal texts of more than `above`, by the text's bits of the key."""
+    found: dict[int, int] = {}
+    for last, bits in zip((0, *LEVELS), LEVELS, strict=False):
+        if bits > TEXT_BITS:
+            break
+        rows = keyed if last == 0 else keyed.filter(F.shiftright("key", 64 - last).isin([*found]))
+        sums = rows.groupBy(F.shiftright("key", 64 - bits).alias("bin")).agg(F.sum("size").alias("b")).filter(F.col("b") > above)
+        found = dict(sums.collect())
+        if not found:
+            break
+    return found
+
+
+def place(groups: dict[int, int], shards: int, room: float) -> dict[int, int]:
+    """A shard for each group that fits whole: the largest first, into the fullest shard with room."""
+    held, placed = [0] * shards, {}
+    for group, size in sorted(groups.items(), key=lambda x: (-x[1], x[0])):
+        fits = [i for i in range(shards) if held[i] + size <= room]
+        if fits:
+            placed[group] = max(fits, key=lambda i: (held[i], -i))
+            held[placed[group]] += size
+    return placed
+
+
 def shard(
     docs: DataFrame,
     shards: int = SHARDS,
@@ -116,34 +140,57 @@ def shard(
 ) -> DataFrame:
     """`docs` with size (UTF-8 bytes of the text plus 1), shard and slot."""
     size = utf8_size(F.col(text_col)) + 1
-    for seed in range(SEEDS):
-        key = sort_key(F.col(id_col), F.col(text_col), seed)
-        keyed = stash(docs.select(key.alias("key"), size.alias("size")), "shard-keys")
-        all_bytes, all_rows = keyed.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
-        part = all_bytes / shards
-        goals = [(0, part * i, part * tolerance, part * group_slack) for i in range(1, shards)]
-        splitters = find_splitters(keyed, goals)
-        between_texts = (1 << (64 - TEXT_BITS)) - 1
-        if all(s.at & between_texts == 0 for s in splitters):
-            break
+    key = sort_key(F.col(id_col), F.col(text_col))
+    keyed = stash(docs.select(key.alias("key"), size.alias("size")), "shard-keys")
+    all_bytes, all_rows = keyed.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
+    part = all_bytes / shards
+    groups = large_groups(keyed, part * group_slack)
+    placed = place(groups, shards, part * (1 + group_slack))
+    free = [part] * shards
+    for group, i in placed.items():
+        free[i] -= groups[group]
+    # A shard filled above its part takes nothing more; the others share what is left.
+    free = [max(x, 0.0) for x in free]
+    share = (all_bytes - sum(groups[g] for g in placed)) / (sum(free) or 1)
+    goals = [(0, sum(free[:i]) * share, part * tolerance, part * group_slack) for i in range(1, shards)]
+    own = _placed(placed, F.col("key"))
+    # Where the last shards take nothing more, a splitter may lie beyond the last key.
+    ends = sorted(min(s.at, (1 << 63) - 1) for s in find_splitters(keyed.filter(own.isNull()), goals))
+    # Rows are in order of shard and key: the shard takes the top bits, below two that stay 0, so that no mark is above a long.
+    bits = (shards - 1).bit_length() + 2
+    in_order = lambda key: F.shiftleft(_shard(placed, ends, key).cast("long"), 64 - bits).bitwiseOR(F.shiftrightunsigned(key, bits))
+    keyed = keyed.select(in_order(F.col("key")).alias("key"), "size")
     step = all_rows / pieces
     inner = find_splitters(keyed, [(1, step * i, step / 4, step / 4) for i in range(1, pieces)])
-    ends = sorted(s.at for s in splitters)
-    rows_below = dict((s.at, s.below[1]) for s in [*inner, *splitters])
+    counts = dict(keyed.groupBy(F.shiftright("key", 64 - bits).cast("int")).count().collect())  # a row for each shard
+    bases = [sum(counts.get(j, 0) for j in range(i)) for i in range(shards)]
+    rows_below = dict((s.at, s.below[1]) for s in inner) | {i << (64 - bits): bases[i] for i in range(1, shards)}
     marks = sorted(rows_below)
 
-    src = docs.withColumns({"size": size, "__shard_key": key})
+    src = docs.withColumns({"size": size, "__shard_key": key}).withColumn("shard", _shard(placed, ends, F.col("__shard_key")))
+    src = src.withColumn("__shard_key", in_order(F.col("__shard_key")))
     src = src.withColumn("__shard_piece", _count_not_above(marks, F.col("__shard_key")))
-    shard_no = _count_not_above(ends, F.col("__shard_key"))
     # The rows below a piece, less the rows below its shard.
     first = F.element_at(_longs([0, *(rows_below[m] for m in marks)]), F.col("__shard_piece") + 1)
-    base = F.element_at(_longs([0, *(rows_below[e] for e in ends)]), F.col("shard") + 1)
+    base = F.element_at(_longs(bases), F.col("shard") + 1)
     order = W.partitionBy("__shard_piece").orderBy("__shard_key", id_col, "size")
-    src = src.withColumn("shard", shard_no)
     src = src.withColumn("slot", (first - base + F.row_number().over(order) - 1).cast("long"))
     return src.drop("__shard_key", "__shard_piece")
 
 
+def _placed(placed: dict[int, int], key: Column) -> Column:
+    """The shard of a key whose group is put into one whole, else null."""
+    if not placed:
+        return F.lit(None).cast("int")
+    known, group = sorted(placed), F.shiftright(key, 64 - TEXT_BITS)
+    at = F.greatest(_count_not_above(known, group), F.lit(1))
+    return F.when(F.element_at(_longs(known), at) == group, F.element_at(_longs([placed[g] for g in known]), at).cast("int"))
+
+
+def _shard(placed: dict[int, int], ends: list[int], key: Column) -> Column:
+    return F.coalesce(_placed(placed, key), _count_not_above(ends, key))
+
+
 def _count_not_above(marks: list[int], key: Column) -> Column:
     """How many of the sorted `marks` are at most `key`, by halving a constant array."""
     if not marks:

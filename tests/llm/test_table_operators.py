@@ -145,6 +145,24 @@ def test_a_text_of_most_rows_is_cut(spark):
     check_shards(rows, 8, 0.03 * sum(r.size for r in rows) / 8)
 
 
+@pytest.mark.parametrize("shares", [[0.04] * 20, [0.03] * 10, [0.12] * 7, [0.11] * 7 + [0.1, 0.025]])
+def test_groups_that_fit_a_shard_stay_whole(spark, shares):
+    texts = [f"group {i:04d}" for i, x in enumerate(shares) for _ in range(round(6000 * x))]
+    texts += [f"own  {i:05d}" for i in range(len(texts), 6000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sharding.shard(docs, pieces=64).collect()
+    check_shards(rows, 8, 0.04 * sum(r.size for r in rows) / 8)
+    where = defaultdict(set)
+    for r in rows:
+        where[r.text].add(r.shard)
+    assert len(rows) == 6000 and {len(x) for x in where.values()} == {1}
+
+
+def test_place():
+    assert sharding.place({1: 4, 2: 4, 3: 4, 4: 9, 5: 13, 6: 3}, 2, 12) == {4: 0, 1: 1, 2: 1, 3: 1, 6: 0}
+    assert sharding.place({}, 3, 0.0) == {}
+
+
 def test_shard_query_columns(spark, sf_small):
     rows = registry.QUERIES["op5_sharding"](spark, sf_small).collect()
     texts = {r.doc_id: r.text for r in table(spark, sf_small, "documents").collect()}
