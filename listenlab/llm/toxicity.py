@@ -33,6 +33,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from math import exp, log
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -63,8 +64,8 @@ LEET = {
 #: Channel costs in nats.
 LEET_COST, REPEAT_COST, GAP_COST, BREAK_COST = 0.7, 2.0, 0.3, 3.0
 CACHE_WORDS = 100_000
-#: Longer stretches are cut into pieces of so many characters for the lattice; no word is that long.
-LATTICE_CHARS = 400
+#: After so many runs of a stretch, what all readings share is settled, so that the texts carried along stay short.
+LATTICE_RUNS = 400
 
 _LEET_CLASS = re.escape("".join(LEET))
 _LETTER = r"[^\W\d_]"
@@ -180,7 +181,8 @@ class Restorer:
         """The cheapest reading of a lower-case stretch."""
         cost = self.cost
         states = {0: (0.0, "")}  # by the last three symbols
-        for options in [*_slots(stretch), _END]:
+        settled = []
+        for i, options in enumerate([*_slots(stretch), _END], 1):
             after: dict[int, tuple[float, str]] = {}
             for context, (spent, text) in states.items():
                 for letters, channel, symbols in options:
@@ -195,7 +197,11 @@ class Restorer:
                     if at not in after or total < after[at][0]:
                         after[at] = (total, text + letters)
             states = after
-        return min(states.values())[1]
+            if i % LATTICE_RUNS == 0:
+                shared = commonprefix([text for _, text in states.values()])
+                settled.append(shared)
+                states = {at: (spent, text[len(shared) :]) for at, (spent, text) in states.items()}
+        return "".join(settled) + min(states.values())[1]
 
     def restore(self, text: str | None) -> list[str]:
         """The words of a text, lower-cased and restored, in order."""
@@ -208,7 +214,7 @@ class Restorer:
         words = _WORDS.findall(chunk)
         if not words or not _SUSPICIOUS.search(chunk):
             return " ".join(words)
-        return " ".join(self.read(chunk[i : i + LATTICE_CHARS]) for i in range(0, len(chunk), LATTICE_CHARS))
+        return self.read(chunk)
 
 
 def features(word: str) -> list[str]:

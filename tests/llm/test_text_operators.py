@@ -316,6 +316,12 @@ def test_gates_take_linear_time(restorer):
         assert isinstance(restorer.restore(text), list)
 
 
+def test_long_stretches_are_read_whole(restorer):
+    for shift in range(10):
+        text = "x" * shift + " " + " ".join("idiot" * 400)
+        assert restorer.restore(f"{text}")[-400:] == ["idiot"] * 400
+
+
 def test_viterbi_finds_the_cheapest_reading(restorer):
     def cost(reading):
         total, at = 0.0, 0
