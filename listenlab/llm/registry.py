@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import ann, bpe, exact_topk, line_dedup, mixing, sharding, simhash, token_counts, toxicity, url_rules
+from . import (
+    ann, bpe, exact_topk, line_dedup, mixing, periodic_runs, quality, sharding, simhash, spelling, token_counts, toxicity, url_rules,
+)
 from .common import table
 
 RULES = [
@@ -20,6 +22,9 @@ RULES = [
     ("block", "net", "/fr/"),
 ]
 
+#: One in so many pairs of a document and a word loses a code point.
+SPOIL = 199
+
 #: The vocabulary's place on every machine, and the pattern that cuts texts.
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
@@ -77,6 +82,30 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = quality.learn_and_judge(docs, table(spark, sf_dir, "labels"))
+    return out.select("doc_id", *quality.COLUMNS)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.periodic_runs(periodic_runs.plant(docs))
+    found = found.withColumn("best", periodic_runs.longest(F.col("runs")))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    length, period = F.col("best.length"), -F.col("best.period")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(spelling.vocabulary(docs, spoil=SPOIL))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -94,6 +123,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_topk": op8_exact_topk,
     "op9_ann": op9_ann,
     "op10_toxicity": op10_toxicity,
+    "op11_quality": op11_quality,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_spelling": op13_spelling,
     "pipeline": pipeline,
 }
 
