@@ -81,6 +81,19 @@ def small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Rec
             yield b.slice(i, rows)
 
 
+def portions(texts: list[str | None], chars: int) -> Iterator[list[str | None]]:
+    """The same texts, in lists of up to `chars` characters or of one longer text."""
+    part, n = [], 0
+    for t in texts:
+        if part and n + len(t or "") > chars:
+            yield part
+            part, n = [], 0
+        part.append(t)
+        n += len(t or "")
+    if part:
+        yield part
+
+
 class BoundedCache(dict):
     """What `make` gives for a text, for at most 2 * `most` texts of up to `longest` characters.
 

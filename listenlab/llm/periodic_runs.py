@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORD, ship, small
+from .common import WORD, portions, ship, small
 from .recompression import Extensions, levels
 
 MIN_WORDS = 12
@@ -135,18 +135,6 @@ def collapse(words: list[str], runs: np.ndarray) -> str:
     return " ".join([words[i] for i in np.flatnonzero(np.cumsum(change[:-1]) == 0).tolist()])
 
 
-def _portions(texts: list[str | None], chars: int) -> Iterator[list[str | None]]:
-    part, held = [], 0
-    for t in texts:
-        if part and held + len(t or "") > chars:
-            yield part
-            part, held = [], 0
-        part.append(t)
-        held += len(t or "")
-    if part:
-        yield part
-
-
 def periodic_runs(docs: DataFrame, text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """`docs` with n_words, runs (an array of start, length, period by start and period) and collapsed."""
     ship(docs.sparkSession)
@@ -158,7 +146,7 @@ def periodic_runs(docs: DataFrame, text_col: str = "text", min_words: int = MIN_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
             n, runs, collapsed = [], [], []
-            for part in _portions(b.column(at).to_pylist(), BATCH_CHARS):
+            for part in portions(b.column(at).to_pylist(), BATCH_CHARS):
                 words = [_words(t or "") for t in part]
                 found = find_runs(words, min_words)
                 n += map(len, words)

@@ -3,8 +3,9 @@
 Documents are summed by encoded length. Suffix sums over the lengths then answer, for every context limit: the documents and
 tokens of at least that length, and the tokens that are left if longer documents are cut there. Quantiles are read off the same sums.
 
-How it runs: each task encodes its texts (`bpe.token_lengths`) and sends one row per length. Suffix sums are taken in two steps, in
-blocks of `BLOCK` lengths and over the blocks' sums, so that no window holds all lengths of a group.
+How it runs: each task encodes its texts (`bpe.token_lengths`) and sends one row per length. Suffix sums are taken in steps: inside
+blocks of `BLOCK` lengths, over the blocks of each block of blocks, and so on `STEPS` times, so that a window holds at most `BLOCK` rows, but for the last,
+which holds one for each `BLOCK` ^ `STEPS` tokens of a group's longest document.
 
 Defined results: null and empty texts have length 0. Repeated rows count each time. Null groups are a group. An
 empty table has no lengths. Quantile q of n documents is the length of document ceil(q n) in order of length, the first for q = 0.
@@ -17,8 +18,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .bpe import token_lengths
+from .common import stash
 
-BLOCK = 1024
+BLOCK, STEPS = 64, 3
 
 
 def length_histogram(docs: DataFrame, path: str, pattern: str, text_col: str = "text", group_cols: tuple[str, ...] = ()) -> DataFrame:
@@ -32,19 +34,27 @@ def suffix_sums(histogram: DataFrame, group_cols: tuple[str, ...] = ()) -> DataF
 
     truncated_total: tokens if documents are cut to n_tokens. Ranks number the documents by length, from 1.
     """
-    rows = histogram.withColumn("tokens", F.col("documents") * F.col("n_tokens")).withColumn("block", F.expr(f"n_tokens div {BLOCK}"))
-    sums = rows.groupBy(*group_cols, "block").agg(F.sum("documents").alias("block_documents"), F.sum("tokens").alias("block_tokens"))
-    later = W.partitionBy(*group_cols).orderBy(F.desc("block")).rowsBetween(W.unboundedPreceding, -1)
-    every = W.partitionBy(*group_cols)
+    rows = stash(histogram, "length-histogram")  # read by each step
+    rows = rows.withColumn("tokens", F.col("documents") * F.col("n_tokens"))
+    base = rows = rows.withColumns({f"block_{k}": F.expr(f"n_tokens div {BLOCK**k}") for k in range(1, STEPS + 1)})
+    for k in range(1, STEPS + 1):
+        # Of each block: the sums of the later ones in the next larger block, or in the group.
+        parent = [f"block_{k + 1}"] if k < STEPS else []
+        sums = base.groupBy(*group_cols, f"block_{k}", *parent).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
+        within = W.partitionBy(*group_cols, *parent)
+        later = within.orderBy(F.desc(f"block_{k}")).rowsBetween(W.unboundedPreceding, -1)
+        keys = [*group_cols, f"block_{k}"]
+        more = [F.coalesce(F.sum(x).over(later), F.lit(0)).alias(f"later_{x}_{k}") for x in ("documents", "tokens")]
+        if not parent:
+            more += [F.sum(x).over(within).alias(f"all_{x}") for x in ("documents", "tokens")]
+        sums = sums.select(*(F.col(c).alias(f"s_{c}") for c in keys), *more)
+        on = F.lit(True)
+        for c in keys:
+            on = on & F.col(c).eqNullSafe(F.col(f"s_{c}"))
+        rows = rows.join(sums, on).drop(*(f"s_{c}" for c in keys))
     for x in ("documents", "tokens"):
-        sums = sums.withColumn(f"later_{x}", F.coalesce(F.sum(f"block_{x}").over(later), F.lit(0)))
-        sums = sums.withColumn(f"all_{x}", F.sum(f"block_{x}").over(every))
-    sums = sums.select(*(F.col(c).alias(f"s_{c}") for c in (*group_cols, "block")), "later_documents", "later_tokens", "all_documents", "all_tokens")
-    on = F.lit(True)
-    for c in (*group_cols, "block"):
-        on = on & F.col(c).eqNullSafe(F.col(f"s_{c}"))
-    rows = rows.join(sums, on).drop(*(f"s_{c}" for c in (*group_cols, "block")))
-    here = W.partitionBy(*group_cols, "block").orderBy(F.desc("n_tokens"))
+        rows = rows.withColumn(f"later_{x}", sum((F.col(f"later_{x}_{k}") for k in range(1, STEPS + 1)), F.lit(0)))
+    here = W.partitionBy(*group_cols, "block_1").orderBy(F.desc("n_tokens"))
     docs_here, tokens_here = F.sum("documents").over(here), F.sum("tokens").over(here)
     rows = rows.withColumn("documents_at_least", F.col("later_documents") + docs_here).withColumn("tokens_at_least", F.col("later_tokens") + tokens_here)
     cut = F.col("all_tokens") - F.col("tokens_at_least") + F.col("documents_at_least") * F.col("n_tokens")

@@ -366,3 +366,42 @@ def test_labels_of_held_out_rows_change_nothing(spark, sf_small):
     turned = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     a, b = (sorted(toxicity.learn_and_score(docs, x).select("doc_id", "score").collect()) for x in (labels, turned))
     assert a == b
+
+
+def test_int_map():
+    rng = np.random.default_rng(5)
+    m, want = bpe.IntMap(2), {}
+    for _ in range(30):
+        new = np.array([k for k in np.unique(rng.integers(0, 1 << 62 if rng.random() < 0.5 else 200, 40)) if int(k) not in want], np.int64)
+        values = rng.integers(0, 1 << 30, len(new))
+        m.add(new, values)
+        want.update(zip(new.tolist(), values.tolist(), strict=True))
+        asked = np.concatenate([np.array([*want], np.int64), rng.integers(0, 400, 50)])
+        assert m.get(asked).tolist() == [want.get(k, -1) for k in asked.tolist()]
+    assert len(m) == len(want)
+
+
+def test_matches_together_and_one_by_one(tokenizer, monkeypatch):
+    matches = sorted({m.encode() for t in random_texts(300) for m in tokenizer.cut(t)}, key=len)
+    matches = [m for m in matches if m not in tokenizer.vocabulary.ranks]
+    assert list(tokenizer.encode_together(matches)) == [tokenizer.encode_match(m) for m in matches]
+    # Forgetting changes nothing.
+    texts = random_texts(200)
+    want = list(tokenizer.encode_all(texts))
+    monkeypatch.setattr(bpe, "CACHE_MATCHES", 5)
+    monkeypatch.setattr(bpe, "KNOWN_PAIRS", 10)
+    monkeypatch.setattr(bpe, "TABLE_BYTES", 6)
+    monkeypatch.setattr(bpe, "PORTION", 40)
+    small = bpe.Tokenizer(registry.RANKS, registry.PATTERN)
+    assert list(small.encode_all(texts)) == want
+
+
+def test_suffix_sums_in_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(token_counts, "BLOCK", 3)
+    rows = [(n, 1 + n % 4) for n in (0, 1, 2, 5, 8, 9, 26, 27, 80, 81, 700, 100_000)]
+    got = token_counts.suffix_sums(spark.createDataFrame(rows, "n_tokens long, documents long")).collect()
+    for r in got:
+        later = [(n, d) for n, d in rows if n >= r.n_tokens]
+        assert (r.documents_at_least, r.tokens_at_least) == (sum(d for _, d in later), sum(n * d for n, d in later))
+        assert r.truncated_total == sum(min(n, r.n_tokens) * d for n, d in rows) and r.total == sum(n * d for n, d in rows)
+        assert r.rank_to == sum(d for n, d in rows if n <= r.n_tokens) and r.rank_from == r.rank_to - r.documents + 1
