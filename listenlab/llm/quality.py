@@ -42,10 +42,10 @@ MIN_WORDS = 50
 MAX_REPEAT = 50
 KEEP = 0.5
 
-FIT_ROWS = 20_000
+FIT_ROWS = 10_000
 #: One in so many of the labels calibrates.
 CALIBRATE = 5
-BITS, CHARS, WORD_CHARS = 17, 4, 32
+BITS, CHARS, WORD_CHARS = 17, 3, 32
 PIECE = 1 << 18
 SCALE, RIDGE, ROUNDS = 100.0, 1e-4, 40
 
@@ -161,17 +161,17 @@ def _features(docs: DataFrame, known: DataFrame, id_col: str, text_col: str) ->
             kinds = [pa.int8(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.float64())]
             cols = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], t) for t in kinds]
             vectors = pa.StructArray.from_arrays(cols, names=sparse.names)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], vectors], names=["l_id", "label", "calibrates", "features"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], vectors], names=["label", "weight", "calibrates", "features"])
 
-    rows = docs.select(id_col, text_col).join(F.broadcast(known), F.col(id_col) == F.col("l_id")).filter(F.length(text_col) > 0)
-    rows = rows.select(F.col("l_id").cast("string").alias("l_id"), "label", "calibrates", text_col)
+    known = F.broadcast(known)  # at most FIT_ROWS rows
+    texts = docs.select(id_col, text_col).filter(F.length(text_col) > 0)
+    often = texts.join(known, F.col(id_col) == F.col("l_id")).groupBy("l_id", "label", "calibrates").agg((1 / F.count(F.lit(1))).alias("weight"))
+    rows = texts.join(F.broadcast(often), F.col(id_col) == F.col("l_id")).select("label", "weight", "calibrates", text_col)
     made = rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], T.StructField("features", sparse)]))
     path = new_output_path(spark, "llm-quality-features")
     made.write.parquet(path)
     vectors = T.StructType([*made.schema.fields[:-1], T.StructField("features", VectorUDT())])
-    rows = spark.read.schema(vectors).parquet(path)
-    often = rows.groupBy("l_id", "label").agg((1 / F.count(F.lit(1))).alias("weight"))
-    return rows.join(often, ["l_id", "label"])
+    return spark.read.schema(vectors).parquet(path)
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Classifier:
