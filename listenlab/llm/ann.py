@@ -12,8 +12,9 @@ How it runs: the tree goes to the tasks with their code; it has at most `BRANCH`
 into parts of about `PART_ROWS`, the queries that visit it into blocks of about `QUERY_ROWS`. Each (leaf, part, block) is a task's group of bounded size, and the best
 of all are merged by query.
 
-Defined results: rows with a null id, a null, empty or zero vector, or a null or non-finite component take no part; rows of equal id are one vector, the
-smallest in order. Vectors of another length than most of the sample's take no part. Equal scores go to the smaller id. Queries visit further leaves
+Defined results: rows with a null id, a null, empty or zero vector, or a null or non-finite component take no part; rows equal in id and
+vector are one. Rows of equal id with different vectors each take part: the result has the best pairs with other ids of all an id's vectors. Each length of
+vectors has a tree of its own, since only vectors of one length have a product. Equal scores go to the smaller id. Queries visit further leaves
 until these hold k other vectors, so that with fewer candidates than k all are returned. Without queries or candidates the result is empty.
 """
 
@@ -22,6 +23,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -145,16 +147,16 @@ class Index:
     sizes: np.ndarray
 
 
-def build(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> Index | None:
-    """Fit the tree on a bounded sample and index every usable row; None without any."""
+def build(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> list[Index]:
+    """For each length of vectors: a tree fitted on a bounded sample, and every usable row in it."""
     ship(vectors.sparkSession)
-    rows = stash(usable(vectors, id_col, vec_col, nonzero=True), "ann-vectors")
-    sample = hash_sample(rows, FIT_ROWS, "vec_id").toPandas()["vec"]
-    if not len(sample):
-        return None
-    d = int(sample.map(len).mode()[0])
-    tree = fit_tree(np.array([v for v in sample if len(v) == d]))
-    rows = rows.filter(F.size("vec") == d)
+    rows = stash(usable(vectors, id_col, vec_col, nonzero=True).distinct(), "ann-vectors")
+    lengths = [r[0] for r in rows.select(F.size("vec")).distinct().orderBy(F.size("vec")).collect()]  # a row for each length
+    return [_build(rows.filter(F.size("vec") == d)) for d in lengths]
+
+
+def _build(rows: DataFrame) -> Index:
+    tree = fit_tree(np.array(hash_sample(rows, FIT_ROWS, "vec_id", "vec").toPandas()["vec"].tolist()))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -229,7 +231,7 @@ def _groups(index: Index, is_query: Column, visits: int, k: int) -> DataFrame:
         return F.element_at(F.array(*map(F.lit, counts.tolist())), F.col("leaf") + 1)
 
     def dealt(seed: int, counts: Column) -> Column:
-        return F.pmod(F.xxhash64("vec_id", F.lit(seed)), counts.cast("long")).cast("int")
+        return F.pmod(F.xxhash64("vec_id", "vec", F.lit(seed)), counts.cast("long")).cast("int")
 
     def each(counts: Column) -> Column:
         return F.explode(F.sequence(F.lit(0), counts.cast("int") - 1))
@@ -259,7 +261,10 @@ def search(index: Index, is_query: Column, visits: int, k: int = K) -> DataFrame
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id", vec_col: str = "embedding", target: float = TARGET_RECALL) -> DataFrame:
     """Build, calibrate and search."""
-    index = build(vectors, id_col, vec_col)
-    if index is None:
+    found = [search(index, is_query, leaves_to_visit(index, is_query, k, target), k) for index in build(vectors, id_col, vec_col)]
+    if not found:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    return search(index, is_query, leaves_to_visit(index, is_query, k, target), k)
+    if len(found) == 1:
+        return found[0]
+    # An id may have vectors of several lengths.
+    return best(reduce(DataFrame.unionByName, found).drop("rank"), k, F.col("score"))

@@ -168,7 +168,7 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "op8_exact_topk": """
         WITH whole AS (
-            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+            SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
             WHERE vec_id IS NOT NULL AND len(embedding) > 0
               AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
         ), scored AS (

@@ -13,7 +13,6 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str, nonzero: bool = False)
     """(vec_id, vec) with vec an array of double; rows that cannot take part are left out.
 
     Those are rows with a null id, a null or empty vector, or a null or non-finite component; with `nonzero` also zero vectors.
-    Rows of equal id are one vector, the smallest in order.
     """
     vec = F.col(vec_col).cast("array<double>")
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), vec.alias("vec")).filter(F.col("vec_id").isNotNull() & (F.size("vec") > 0))
@@ -21,7 +20,7 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str, nonzero: bool = False)
     rows = rows.filter(~F.exists("vec", infinite))
     if nonzero:
         rows = rows.filter(F.exists("vec", lambda x: x != 0))
-    return rows.groupBy("vec_id").agg(F.min("vec").alias("vec"))
+    return rows
 
 
 def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:

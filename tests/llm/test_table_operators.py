@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -205,6 +206,71 @@ def test_exact_topk(spark, rows, monkeypatch):
     assert exact_topk.top_k(few.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.fixture(scope="module")
+def odd_rows():
+    """Ids with several vectors, one row twice, and vectors of three lengths."""
+    rng = np.random.default_rng(8)
+    out = [(i, rng.normal(size=8).round(3).tolist(), "x") for i in range(300)]
+    out += [(i, rng.normal(size=4).round(3).tolist(), "x") for i in range(100, 160)]
+    out += [(5, [9.0] * 8, "x"), (20, [8.0] * 8, "x"), (20, [8.0] * 8, "y"), (40, [-3.0] * 8, "x"), (60, [1.0], "x"), (61, [2.0], "x")]
+    return out
+
+
+def brute_pairs(rows, change):
+    """For each query id its 20 best (score, id) pairs with other ids, over all different vectors of both."""
+    kinds = {(i, tuple(change(np.array(v, np.float32).astype(float)).tolist())) for i, v, _ in rows}
+    out = {}
+    for q, x in sorted(kinds):
+        if q % 20 == 0:
+            out.setdefault(q, []).extend((-sum(a * b for a, b in zip(x, y, strict=True)), i) for i, y in kinds if i != q and len(x) == len(y))
+    return {(q, n, i, -s) for q, pairs in out.items() for n, (s, i) in enumerate(sorted(pairs)[:20], 1)}
+
+
+def test_every_vector_of_an_id_takes_part(spark, odd_rows, monkeypatch):
+    want = brute_pairs(odd_rows, lambda v: np.floor(64 * v))
+    got = exact_topk.top_k(vectors(spark, odd_rows), F.col("vec_id") % 20 == 0).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+    monkeypatch.setattr(exact_topk, "SHARD_ROWS", 40)
+    monkeypatch.setattr(exact_topk, "QUERY_ROWS", 3)
+    got = exact_topk.top_k(vectors(spark, odd_rows), F.col("vec_id") % 20 == 0).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+    want = {(q, i) for q, _, i, _ in brute_pairs(odd_rows, lambda v: v)}
+    got = ann.nearest(vectors(spark, odd_rows), F.col("vec_id") % 20 == 0).collect()
+    assert {r.query_id for r in got} == {q for q, _ in want} and len(got) == len(set(got))
+    assert len({(r.query_id, r.vec_id) for r in got} & want) >= 0.9 * len(want)
+    assert {(r.query_id, r.vec_id) for r in got if r.query_id in (5, 20)} >= {(20, 5)}
+
+
+def test_far_shards_are_not_searched(spark, monkeypatch):
+    monkeypatch.setattr(exact_topk, "SHARD_ROWS", 50)
+    monkeypatch.setattr(exact_topk, "QUERY_ROWS", 20)
+    rng = np.random.default_rng(9)
+    centres = np.eye(8) * 10
+    rows = [(i, (centres[i % 8] + rng.normal(size=8) * 0.2).round(3).tolist(), "x") for i in range(1600)]
+    is_query = F.col("vec_id") % 4 == 0
+    index = exact_topk.build(vectors(spark, rows), is_query)
+    shards, blocks = index.shards.collect(), index.blocks.count()
+    assert sum(len(pickle.loads(s.tree)[1]) for s in shards) == 1600
+    assert max(len(pickle.loads(s.tree)[1]) for s in shards) <= 100
+    searched = exact_topk.pairs_to_search(index, exact_topk.first_search(index)).count()
+    assert searched < 0.2 * len(shards) * blocks
+    got = exact_topk.top_k(vectors(spark, rows), is_query).collect()
+    v = np.floor(64 * np.array([r[1] for r in rows], np.float32).astype(float)).astype(int)
+    for q in range(0, 1600, 80):
+        ranked = sorted((-int(v[q] @ v[i]), i) for i in range(1600) if i != q)[:20]
+        assert sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == q) == [(n, i, -s) for n, (s, i) in enumerate(ranked, 1)]
+
+
+def test_cells():
+    rng = np.random.default_rng(10)
+    sample = np.concatenate([rng.normal(size=(500, 3)), np.ones((400, 3))])
+    cells = exact_topk.fit_cells(sample, 8)
+    assert len({*cells.of(sample)}) == 8 == sum(k is None for k in cells.children)
+    assert len({*cells.of(np.ones((5, 3)))}) == 1
+    same = exact_topk.fit_cells(np.ones((100, 3)), 4)
+    assert same.children == [None]
+
+
 def test_huge_components_stay_exact():
     tree = exact_topk.BallTree(np.array([[2.0**30, 1.0], [2.0**30, 2.0], [-(2.0**30), 3.0]]))
     scores, ids = exact_topk.search(tree, np.array([1, 2, 3]), np.array([[2.0**30, 1.0]]), np.array([9]), np.array([-np.inf]), 2)
@@ -233,7 +299,7 @@ def test_ann(spark, rows):
 
 def test_ann_groups_are_bounded(spark, rows, monkeypatch):
     is_query = F.col("vec_id") % 2 == 0
-    index = ann.build(vectors(spark, rows))
+    [index] = ann.build(vectors(spark, rows))
     want = {tuple(r) for r in ann.search(index, is_query, 2).collect()}
     monkeypatch.setattr(ann, "PART_ROWS", 100)
     monkeypatch.setattr(ann, "QUERY_ROWS", 50)
