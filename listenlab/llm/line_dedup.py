@@ -7,25 +7,25 @@ largest id that holds the key. All other lines stay, joined by line feeds.
 
 How it runs:
 
-1. One pass over the texts emits each document's distinct long keys as 128-bit
-   hashes. No text is shuffled here.
+1. One pass over the texts emits each row's distinct long keys as 128-bit hashes, with a key of the row (a hash of id and text). No text is shuffled here.
 2. The hashes are taken in batches of descending document id, so the first batch
    that holds a hash also holds its largest document. `SortedRuns` merge-anti-joins
    a batch against the runs: a new hash enters with its holder, a known hash
    only adds to its document count. The batch then becomes a run of its own,
    and `fan_in` runs of a level are compacted into one run of the next.
 3. The last compaction leaves one row per hash. Hashes of enough documents are
-   joined to the (document, hash) rows; each document gets its list of hashes to drop.
-4. Documents are joined to their lists and filtered, whole texts, in Arrow batches.
+   joined to the (row, hash) rows; each row key gets its list of hashes to drop, never more than one text's lines.
+4. A filter of `FILTER_BITS` bits, of any table's row keys with a list, tells which rows may lose lines. The others pass without an exchange; these are joined to
+   their lists and filtered, whole texts, in Arrow batches. What the filter lets through in vain costs an exchange only.
 
-Runs are tables bucketed and sorted by hash: a batch is exchanged once and then
+Runs are tables bucketed and sorted by hash, in the shared folder: a batch is exchanged once and then
 merged with every run without another exchange. A hash of a third of all
 documents is one row a batch, summed before the shuffle; its join in step 3 is
 an ordinary join, which Spark splits by skew.
 
 Defined results: a null or empty text is one empty line. Rows of equal id are
 one document (their keys count once; repeated rows lose the same lines). A null
-id is one document, smaller than any other. An empty table gives an empty
+id is one document, smaller than any other. Ids may have any type with an order. An empty table gives an empty
 result. Columns named `n_lines` or `n_dropped` are replaced; all others pass.
 """
 
@@ -37,15 +37,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACE_BYTES, ship, small, stash
+from ..sources.files import new_output_path, remove
+from .common import SPACE_BYTES, hash_sample, ship, small, stash
 
 MIN_CHARS = 40
 MIN_DOCS = 5
-HASH = ("h1", "h2")
+HASH, ROW = ("h1", "h2"), ("r1", "r2")
+CUT_SAMPLE = 4096
+#: Bits of the filter, and how many of them a row key sets.
+FILTER_BITS, FILTER_SETS = 1 << 24, 4
 
 
 def line_key(line: bytes) -> bytes:
@@ -69,22 +73,27 @@ def _keyed_lines(text: str | None, min_chars: int) -> tuple[list[bytes], list[by
     return lines, [_digest(k) if _long_enough(k, min_chars) else None for k in keys]
 
 
+def row_key(id_col: str, text_col: str) -> list[Column]:
+    """128 bits of a row: equal for rows of equal id and text only."""
+    return [F.xxhash64(F.lit(seed), id_col, text_col).alias(c) for seed, c in enumerate(ROW)]
+
+
 def line_hashes(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """The distinct long keys of each row: (doc_id, h1, h2)."""
+    """The distinct long keys of each row: (doc_id, r1, r2, h1, h2)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
             counts, found = [], []
-            for text in b.column(1):
+            for text in b.column(3):
                 own = {h for h in _keyed_lines(text.as_py(), min_chars)[1] if h}
                 counts.append(len(own))
                 found.extend(own)
             h = np.frombuffer(b"".join(found), dtype=">i8").astype("i8").reshape(-1, 2)
-            ids = b.column(0).take(pa.array(np.repeat(np.arange(b.num_rows), counts)))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(h[:, 0]), pa.array(h[:, 1])], names=["doc_id", *HASH])
+            at = pa.array(np.repeat(np.arange(b.num_rows), counts))
+            yield pa.RecordBatch.from_arrays([*(c.take(at) for c in b.columns[:3]), pa.array(h[:, 0]), pa.array(h[:, 1])], names=["doc_id", *ROW, *HASH])
 
-    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return src.mapInArrow(emit, T.StructType([src.schema["doc_id"], *(T.StructField(c, T.LongType()) for c in HASH)]))
+    src = docs.select(F.col(id_col).alias("doc_id"), *row_key(id_col, text_col), F.col(text_col).alias("text"))
+    return src.mapInArrow(emit, T.StructType([src.schema["doc_id"], *(T.StructField(c, T.LongType()) for c in (*ROW, *HASH))]))
 
 
 class SortedRuns:
@@ -97,17 +106,21 @@ class SortedRuns:
 
     def __init__(self, spark: SparkSession, buckets: int, fan_in: int = 2):
         self.spark, self.buckets, self.fan_in = spark, buckets, fan_in
-        self.name = f"line_runs_{uuid.uuid4().hex}"
+        self.name = "line_runs"
         self.levels: list[list[str]] = [[]]
-        self.made = 0
+        self.paths: dict[str, str] = {}
 
     def _write(self, rows: DataFrame) -> str:
         """`rows`: partitioned into the runs' buckets."""
-        name = f"{self.name}_{self.made}"
-        self.made += 1
-        rows.write.bucketBy(self.buckets, *HASH).sortBy(*HASH).format("parquet").saveAsTable(name)
+        name = f"{self.name}_{uuid.uuid4().hex}"
+        path = self.paths[name] = new_output_path(self.spark, f"llm-{name}")
+        rows.write.option("path", path).bucketBy(self.buckets, *HASH).sortBy(*HASH).format("parquet").saveAsTable(name)
         return name
 
+    def _remove(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        remove(self.spark, self.paths.pop(name))
+
     def _dealt(self, rows: DataFrame) -> DataFrame:
         return rows.repartition(self.buckets, *HASH)
 
@@ -148,7 +161,7 @@ class SortedRuns:
                     self.levels.append([])
                 self.levels[k + 1].append(self._write(self._merged(level)))
                 for r in level:
-                    self.spark.sql(f"DROP TABLE {r}")
+                    self._remove(r)
                 level.clear()
 
     def merged(self) -> DataFrame:
@@ -156,8 +169,8 @@ class SortedRuns:
         return self._merged(self._runs())
 
     def drop(self) -> None:
-        for r in self._runs():
-            self.spark.sql(f"DROP TABLE IF EXISTS {r}")
+        for name in [*self.paths]:
+            self._remove(name)
         self.levels = [[]]
 
 
@@ -167,20 +180,36 @@ def repeated_lines(hashes: DataFrame, min_docs: int = MIN_DOCS, batches: int = 4
     `batches` cuts the ids into ranges of about equal rows, largest ids first.
     """
     spark = hashes.sparkSession
-    runs = SortedRuns(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cuts = [i / batches for i in range(1, batches)]
-    at = hashes.select(F.percentile_approx("doc_id", cuts).alias("at")).first()["at"] or [] if cuts else []
-    edges = sorted(set(at), reverse=True)
+    edges = _cuts(hashes, batches)
     doc = F.col("doc_id")
-    for i in range(len(edges) + 1):
-        own = F.lit(True) if i == 0 else doc <= edges[i - 1]
-        own = own & (doc > edges[i]) if i < len(edges) else own | doc.isNull()
-        per_doc = hashes.filter(own).select(*HASH, "doc_id").distinct()
-        runs.add(per_doc.groupBy(*HASH).agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("holder")))
-    found = runs.merged().filter(F.col("n_docs") >= min_docs).select(*HASH, "holder")
-    found = stash(found, "repeated-lines")
-    runs.drop()
-    return found
+    runs = SortedRuns(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    try:
+        for i in range(len(edges) + 1):
+            own = F.lit(True) if i == 0 else doc <= edges[i - 1]
+            own = own & (doc > edges[i]) if i < len(edges) else own | doc.isNull()
+            per_doc = hashes.filter(own).select(*HASH, "doc_id").distinct()
+            runs.add(per_doc.groupBy(*HASH).agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("holder")))
+        return stash(runs.merged().filter(F.col("n_docs") >= min_docs).select(*HASH, "holder"), "repeated-lines")
+    finally:
+        runs.drop()
+
+
+def _cuts(hashes: DataFrame, batches: int) -> list:
+    """The ids between batches of about equal rows, the largest first, by a bounded sample; ids of any type."""
+    if batches < 2:
+        return []
+    ids = sorted(r[0] for r in hash_sample(hashes.select("doc_id", *HASH).dropna(subset=["doc_id"]), CUT_SAMPLE, "doc_id", *HASH).select("doc_id").collect())
+    return sorted({ids[len(ids) * i // batches] for i in range(1, batches)} if ids else set(), reverse=True)
+
+
+def _filter(keys: DataFrame) -> np.ndarray:
+    """Bits set for the row keys of `keys`, by one sum of at most `FILTER_BITS` / 64 rows."""
+    at = F.explode(F.array(*(F.pmod(F.xxhash64(*ROW, F.lit(i)), F.lit(FILTER_BITS)) for i in range(FILTER_SETS))))
+    bit = F.expr("shiftleft(1L, int(at % 64))")
+    words = keys.select(at.alias("at")).groupBy(F.expr("at div 64").alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return out.astype("<i8").view(np.uint8)
 
 
 def dedup_lines(
@@ -192,44 +221,63 @@ def dedup_lines(
     batches: int = 4,
 ) -> DataFrame:
     """`docs` with repeated lines removed from the text, plus n_lines (before) and n_dropped."""
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     hashes = stash(line_hashes(docs, id_col, text_col, min_chars), "line-hashes")
     repeated = repeated_lines(hashes, min_docs, batches)
     drops = (
         hashes.join(repeated, list(HASH))
         .filter(~F.col("doc_id").eqNullSafe(F.col("holder")))
-        .groupBy(F.col("doc_id").alias("__line_doc"))
+        .groupBy(*(F.col(c).alias(f"__line_{c}") for c in ROW))
         .agg(F.collect_set(F.concat(_be(F.col("h1")), _be(F.col("h2")))).alias("__line_drop"))
     )
+    drops = stash(drops, "line-drops")
+    bits = spark.sparkContext.broadcast(_filter(drops.select(*(F.col(f"__line_{c}").alias(c) for c in ROW))))  # FILTER_BITS / 8 bytes
     kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    src = docs.select(*kept)
-    out = T.StructType([*src.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
-    at = kept.index(text_col)
+    keys = [f"__line_{c}" for c in ROW]
+    src = docs.select(*kept, *(c.alias(k) for c, k in zip(row_key(id_col, text_col), keys, strict=True)))
+    at = F.array(*(F.pmod(F.xxhash64(*keys, F.lit(i)), F.lit(FILTER_BITS)).cast("int") for i in range(FILTER_SETS)))
+    src = src.withColumn("__line_at", at)
+    out = T.StructType([*docs.select(*kept).schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
+    at_text = kept.index(text_col)
+
+    def passed(b: pa.RecordBatch, wanted: bool) -> pa.RecordBatch:
+        """The rows whose bits are all set, or the others."""
+        places = b.column(b.num_columns - 1).flatten().to_numpy().reshape(-1, FILTER_SETS)
+        inside = (bits.value[places >> 3] >> (places & 7) & 1).all(axis=1)
+        return b.filter(pa.array(inside == wanted))
+
+    def whole(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small(rows):
+            b = passed(b, False)
+            texts = [t or "" for t in b.column(at_text).to_pylist()]
+            yield result(b, texts, [t.count("\n") + 1 for t in texts], [0] * b.num_rows)
+
+    def candidates(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small(rows):
+            b = passed(b, True)
+            yield pa.RecordBatch.from_arrays(b.columns[:-1], names=[*kept, *keys])
 
     def strip(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(rows):
             texts, n_lines, n_dropped = [], [], []
-            for text, drop in zip(b.column(at), b.column(len(kept)), strict=True):
-                text = text.as_py()
+            for text, drop in zip(b.column(at_text), b.column(len(kept)), strict=True):
                 drop = set(drop.as_py() or ())
-                if not drop:
-                    texts.append(text or "")
-                    n_lines.append((text or "").count("\n") + 1)
-                    n_dropped.append(0)
-                    continue
-                lines, hashed = _keyed_lines(text, min_chars)
-                keep = [x for x, h in zip(lines, hashed, strict=True) if h not in drop]
+                lines, hashed = _keyed_lines(text.as_py(), min_chars)
+                keep = [x for x, h in zip(lines, hashed, strict=True) if h not in drop] if drop else lines
                 texts.append(b"\n".join(keep).decode("utf-8"))
                 n_lines.append(len(lines))
                 n_dropped.append(len(lines) - len(keep))
-            cols = [pa.array(texts, b.schema.field(at).type) if i == at else b.column(i) for i in range(len(kept))]
-            cols += [pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())]
-            yield pa.RecordBatch.from_arrays(cols, names=out.names)
+            yield result(b, texts, n_lines, n_dropped)
+
+    def result(b: pa.RecordBatch, texts: list[str], n_lines: list[int], n_dropped: list[int]) -> pa.RecordBatch:
+        cols = [pa.array(texts, b.schema.field(at_text).type) if i == at_text else b.column(i) for i in range(len(kept))]
+        return pa.RecordBatch.from_arrays([*cols, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], names=out.names)
 
-    joined = src.join(drops, src[id_col].eqNullSafe(drops["__line_doc"]), "left").drop("__line_doc")
-    return joined.mapInArrow(strip, out)
+    moved = src.mapInArrow(candidates, src.drop("__line_at").schema).join(drops, keys, "left").select(*kept, "__line_drop")
+    return src.mapInArrow(whole, out).unionByName(moved.mapInArrow(strip, out))
 
 
-def _be(h):
+def _be(h: Column) -> Column:
     """A long as its eight big-endian bytes."""
     return F.unhex(F.lpad(F.hex(h), 16, "0"))

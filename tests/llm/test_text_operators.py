@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -29,14 +30,14 @@ def texts_of(df):
 # --- line dedup ---
 
 
-def brute_lines(docs, min_chars=40, min_docs=5):
+def brute_lines(docs, min_chars=40, min_docs=5, key=None):
     holders = defaultdict(set)
+    none_first = key or (lambda i: (i is not None, i or 0))
     key = lambda line: line.strip(SPACE).translate(LOWER)
     for i, t in docs:
         for line in (t or "").split("\n"):
             if len(key(line)) >= min_chars:
                 holders[key(line)].add(i)
-    none_first = lambda i: (i is not None, i or 0)
     keep = {k: max(v, key=none_first) for k, v in holders.items() if len(v) >= min_docs}
     out = []
     for i, t in docs:
@@ -58,6 +59,39 @@ def test_line_dedup_edges(spark, edge_docs, no_docs):
     assert line_dedup.dedup_lines(no_docs).count() == 0
 
 
+def test_line_dedup_of_rows_without_an_id(spark):
+    lines = [f"a line that is long enough to be a key, {i:03d} of some" for i in range(40)]
+    rng = random.Random(7)
+    rows = [(None if i % 3 == 0 else i, "\n".join([f"own {i}", *rng.sample(lines, 6)])) for i in range(90)] + [(None, None), (None, "")] + [(None, lines[0])] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for shown in (docs, docs.withColumn("doc_id", F.format_string("id-%05d", "doc_id"))):
+        given = texts_of(shown)
+        key = (lambda i: (i is not None, i or 0)) if shown is docs else (lambda i: (i is not None, i or ""))
+        got = Counter((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in line_dedup.dedup_lines(shown).collect())
+        assert got == brute_lines(given, key=key)
+
+
+def test_line_dedup_moves_only_rows_that_lose_lines(spark, tmp_path, monkeypatch):
+    shared = "this very line is found in many of the documents"
+    docs = spark.createDataFrame([(i, f"own {i}\n" + (shared if i % 10 == 0 else "")) for i in range(2000)], "doc_id long, text string")
+    out = line_dedup.dedup_lines(docs)
+    rows = Counter((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in out.collect())
+    assert rows == brute_lines(texts_of(docs))
+    monkeypatch.setattr(line_dedup, "FILTER_BITS", 64)  # a filter that lets all through changes nothing
+    again = Counter((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in line_dedup.dedup_lines(docs).collect())
+    assert again == rows
+    bits = np.unpackbits(line_dedup._filter(spark.createDataFrame([(1, 2), (1, 2)], "r1 long, r2 long")), bitorder="little")
+    assert len(bits) == 64 and 1 <= bits.sum() <= line_dedup.FILTER_SETS
+
+
+def test_line_dedup_leaves_no_tables(spark, edge_docs):
+    before = {t.name for t in spark.catalog.listTables()}
+    line_dedup.dedup_lines(edge_docs).count()
+    assert {t.name for t in spark.catalog.listTables()} == before
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")
+    assert not os.path.isdir(warehouse) or not [x for x in os.listdir(warehouse) if "line_runs" in x]
+
+
 def test_line_dedup_oracle(spark, sf_mid):
     got = compare(spark, sf_mid, ["op2_line_dedup"], con=duck(sf_mid))
     assert got["op2_line_dedup"][0] == "ok", got
