@@ -2,7 +2,9 @@
 
 Rows are sorted by a 64-bit key and cut into shards of nearly equal bytes. The
 key's top 40 bits hash the text and its low 24 bits the id, so equal texts are
-neighbours, and even a text of a third of all rows can be cut.
+neighbours, and even a text of a third of all rows can be cut. Rows equal in id and text
+have equal keys; where they are more than a piece's rows, they are written once with copy
+numbers, which take part in the low bits, so that they can be cut as well.
 
 Splitters are found without sorting: bytes and rows are counted exactly below
 candidate boundaries (the edges of key prefixes) over all partitions, and only the
@@ -38,9 +40,10 @@ SHARDS = 8
 PIECES = 1024
 TOLERANCE = 0.0005
 GROUP_SLACK = 0.02
-#: Key prefixes probed in turn, in bits; the first four end between texts.
-LEVELS = (12, 20, 30, 40, 48, 56, 64)
+#: Key prefixes probed in turn, in bits; the first five end between texts.
+LEVELS = (12, 20, 28, 34, 40, 48, 56, 64)
 TEXT_BITS = 40
+COPY = "__shard_copy"
 
 
 @dataclass
@@ -51,10 +54,12 @@ class Splitter:
     below: tuple[int, int]
 
 
-def sort_key(doc_id: Column, text: Column) -> Column:
+def sort_key(doc_id: Column, text: Column, copy: Column | None = None) -> Column:
     words = F.xxhash64(F.lit(0), F.coalesce(text, F.lit("")))
     low = (1 << (64 - TEXT_BITS)) - 1
-    return words.bitwiseAND(F.lit(~low)).bitwiseOR(F.xxhash64(F.lit(0), doc_id).bitwiseAND(F.lit(low)))
+    # A null copy number leaves the hash as it is.
+    own = F.xxhash64(F.lit(0), doc_id, F.lit(None).cast("long") if copy is None else copy)
+    return words.bitwiseAND(F.lit(~low)).bitwiseOR(own.bitwiseAND(F.lit(low)))
 
 
 def find_splitters(keyed: DataFrame, goals: list[tuple[int, float, float, float]]) -> list[Splitter]:
@@ -104,20 +109,33 @@ def find_splitters(keyed: DataFrame, goals: list[tuple[int, float, float, float]
     return [s or Splitter(-(1 << 63), total) for s in best]
 
 
-def large_groups(keyed: DataFrame, above: float) -> dict[int, int]:
-    """The bytes of each group of equal texts of more than `above`, by the text's bits of the key."""
+def heavy_bins(keyed: DataFrame, measure: str, above: float, up_to: int) -> dict[int, int]:
+    """The key prefixes of `up_to` bits that hold more than `above` of `measure` (bytes or rows), refined from the shorter ones that do."""
+    total = F.sum("size") if measure == "bytes" else F.count(F.lit(1))
     found: dict[int, int] = {}
     for last, bits in zip((0, *LEVELS), LEVELS, strict=False):
-        if bits > TEXT_BITS:
+        if bits > up_to:
             break
         rows = keyed if last == 0 else keyed.filter(F.shiftright("key", 64 - last).isin([*found]))
-        sums = rows.groupBy(F.shiftright("key", 64 - bits).alias("bin")).agg(F.sum("size").alias("b")).filter(F.col("b") > above)
+        sums = rows.groupBy(F.shiftright("key", 64 - bits).alias("bin")).agg(total.alias("b")).filter(F.col("b") > above)
         found = dict(sums.collect())
         if not found:
             break
     return found
 
 
+def large_groups(keyed: DataFrame, above: float) -> dict[int, int]:
+    """The bytes of each group of equal texts of more than `above`, by the text's bits of the key."""
+    return heavy_bins(keyed, "bytes", above, TEXT_BITS)
+
+
+def _numbered(docs: DataFrame, key: Column, hot: list[int]) -> DataFrame:
+    """`docs` with the copy numbers of the rows with a key in `hot`, which are written once, so that they stay the same."""
+    chosen = key.isin(hot)
+    copies = stash(docs.filter(chosen).withColumn(COPY, F.monotonically_increasing_id()), "shard-copies")
+    return docs.filter(~chosen).withColumn(COPY, F.lit(None).cast("long")).unionByName(copies)
+
+
 def place(groups: dict[int, int], shards: int, room: float) -> dict[int, int]:
     """A shard for each group that fits whole: the largest first, into the fullest shard with room."""
     held, placed = [0] * shards, {}
@@ -143,6 +161,11 @@ def shard(
     key = sort_key(F.col(id_col), F.col(text_col))
     keyed = stash(docs.select(key.alias("key"), size.alias("size")), "shard-keys")
     all_bytes, all_rows = keyed.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
+    hot = heavy_bins(keyed, "rows", max(all_rows / pieces, 1), 64)  # fewer than `pieces` keys
+    if hot:
+        docs = _numbered(docs, key, sorted(hot))
+        key = sort_key(F.col(id_col), F.col(text_col), F.col(COPY))
+        keyed = stash(docs.select(key.alias("key"), size.alias("size")), "shard-keys")
     part = all_bytes / shards
     groups = large_groups(keyed, part * group_slack)
     placed = place(groups, shards, part * (1 + group_slack))
@@ -175,7 +198,7 @@ def shard(
     base = F.element_at(_longs(bases), F.col("shard") + 1)
     order = W.partitionBy("__shard_piece").orderBy("__shard_key", id_col, "size")
     src = src.withColumn("slot", (first - base + F.row_number().over(order) - 1).cast("long"))
-    return src.drop("__shard_key", "__shard_piece")
+    return src.drop("__shard_key", "__shard_piece", COPY)
 
 
 def _placed(placed: dict[int, int], key: Column) -> Column:

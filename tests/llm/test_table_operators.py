@@ -146,6 +146,21 @@ def test_a_text_of_most_rows_is_cut(spark):
     check_shards(rows, 8, 0.03 * sum(r.size for r in rows) / 8)
 
 
+def test_equal_rows_are_cut(spark):
+    rows = [(7, "the very same row " * 11)] * 1500 + [(i, f"own {i} " * 30) for i in range(1500)] + [(None, None)] * 200
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("more", F.lit(1))
+    out = sharding.shard(docs, pieces=64)
+    assert out.columns == ["doc_id", "text", "more", "size", "shard", "slot"]
+    got = out.collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(rows)
+    check_shards(got, 8, 0.03 * sum(r.size for r in got) / 8)
+    assert len({r.shard for r in got if r.doc_id == 7}) >= 4
+    # Their keys differ, so that no piece need hold them all.
+    numbered = sharding._numbered(docs, sharding.sort_key(F.col("doc_id"), F.col("text")), [docs.filter("doc_id = 7").select(sharding.sort_key(F.col("doc_id"), F.col("text"))).first()[0]])
+    key = sharding.sort_key(F.col("doc_id"), F.col("text"), F.col(sharding.COPY))
+    assert numbered.filter("doc_id = 7").select(key).distinct().count() > 1400 and numbered.count() == len(rows)
+
+
 @pytest.mark.parametrize("shares", [[0.04] * 20, [0.03] * 10, [0.12] * 7, [0.11] * 7 + [0.1, 0.025]])
 def test_groups_that_fit_a_shard_stay_whole(spark, shares):
     texts = [f"group {i:04d}" for i, x in enumerate(shares) for _ in range(round(6000 * x))]
