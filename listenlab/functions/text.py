@@ -138,8 +138,18 @@ def capitalize_words(s: Column) -> Column:
     return F.array_join(F.transform(words, lambda w: F.when(is_lower(w), F.initcap(w)).otherwise(w)), " ")
 
 
+# An upper or title case letter inside a word, or one that is no Latin-1 letter: `initcap` may change such words.
+_ODD_CASE = rf"(?<=[^{PY_WHITESPACE[1:-2]}])[\p{{IsUppercase}}\p{{IsTitlecase}}]|[\p{{IsUppercase}}\p{{IsTitlecase}}&&[^A-ZÀ-ÖØ-Þ]]"
+
+
+def _capitalize_piece(s: Column) -> Column:
+    # Where words begin with a capital at most, `initcap` of all of them is that of the lower-case ones.
+    at_once = F.initcap(F.trim(F.regexp_replace(s, PY_WHITESPACE, " ")))
+    return F.when(~s.rlike(_ODD_CASE), at_once).otherwise(capitalize_words(s))
+
+
 def capitalize_sentences(c: Column | str) -> Column:
     """The summary capitaliser: split on '. ', capitalise each all-lower-case word
     of every piece, rejoin pieces with '. '. Despite the name it title-cases words."""
     pieces = F.split(_col(c), r"\Q" + SENTENCE_SEP + r"\E")
-    return F.array_join(F.transform(pieces, capitalize_words), SENTENCE_SEP)
+    return F.array_join(F.transform(pieces, _capitalize_piece), SENTENCE_SEP)

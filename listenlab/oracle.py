@@ -250,6 +250,46 @@ def _capitalize_sql() -> str:
     )
 
 
+def _misread_sql(text: str) -> str:
+    """The UTF-8 bytes of `text`, each as the character of its number."""
+    at = {k: f"chr(CAST(128 + (ord(t) // {64**k}) % 64 AS INTEGER))" for k in range(3)}
+    first = lambda base, k: f"chr(CAST({base} + ord(t) // {64**k} AS INTEGER))"
+    return (
+        f"array_to_string(list_transform(regexp_extract_all({text}, '[\\x00-\\x7F]+|[^\\x00-\\x7F]'), lambda t: CASE "
+        f"WHEN ord(t) < 128 THEN t WHEN ord(t) < 2048 THEN {first(192, 1)} || {at[0]} "
+        f"WHEN ord(t) < 65536 THEN {first(224, 2)} || {at[1]} || {at[0]} ELSE {first(240, 3)} || {at[2]} || {at[1]} || {at[0]} END), '')"
+    )
+
+
+def _decode_sql(text: str) -> str:
+    """The characters of `text` taken as bytes and decoded as UTF-8; a longest part of a sequence that isn't valid becomes U+FFFD."""
+    tail, r = "[\\x{80}-\\x{BF}]", lambda a, b: f"[\\x{{{a}}}-\\x{{{b}}}]"
+    pattern = "|".join([
+        "[\\x00-\\x7F]+", r("C2", "DF") + tail,
+        f"\\x{{E0}}{r('A0', 'BF')}{tail}?", f"(?:{r('E1', 'EC')}|{r('EE', 'EF')}){tail}{{1,2}}", f"\\x{{ED}}{r('80', '9F')}{tail}?",
+        f"\\x{{F0}}{r('90', 'BF')}{tail}{{0,2}}", f"{r('F1', 'F3')}{tail}{{1,3}}", f"\\x{{F4}}{r('80', '8F')}{tail}{{0,2}}", r("80", "FF"),
+    ])
+    bits = lambda n: " + ".join([f"(ord(t[1]) - {[0, 0, 192, 224, 240][n]}) * {64 ** (n - 1)}", *(f"(ord(t[{k}]) - 128) * {64 ** (n - k)}" for k in range(2, n + 1))])
+    whole = " ".join(f"WHEN length(t) = {n} AND ord(t[1]) BETWEEN {a} AND {b} THEN chr(CAST({bits(n)} AS INTEGER))" for n, a, b in ((2, 194, 223), (3, 224, 239), (4, 240, 244)))
+    return f"array_to_string(list_transform(regexp_extract_all({text}, '{pattern}'), lambda t: CASE WHEN ord(t) < 128 THEN t {whole} ELSE chr(65533) END), '')"
+
+
+def _repair_compat_sql() -> str:
+    """Texts read wrongly 0, 1 or 2 times. Undoing one layer gives the text; the rules then take a second step, which damages what isn't UTF-8."""
+    once = (
+        f"CASE WHEN regexp_matches(text, '^[\\x00-\\x7F]*$') THEN text WHEN contains(text, '?') OR regexp_matches(text, '[^\\x{{00}}-\\x{{FF}}]') THEN misread "
+        "WHEN decoded <> text AND NOT contains(decoded, '?') THEN decoded ELSE text END"
+    )
+    twice = "CASE WHEN contains(text, '?') THEN misread_twice ELSE text END"
+    return f"""
+WITH one AS (SELECT doc_id, text, {_misread_sql('text')} AS misread FROM documents),
+two AS (SELECT *, {_misread_sql('misread')} AS misread_twice,
+               CASE WHEN NOT regexp_matches(text, '[^\\x{{00}}-\\x{{FF}}]') THEN {_decode_sql('text')} END AS decoded FROM one)
+SELECT doc_id, CAST(0 AS INTEGER) AS layers, text FROM documents
+UNION ALL SELECT doc_id, CAST(1 AS INTEGER), {once} FROM two
+UNION ALL SELECT doc_id, CAST(2 AS INTEGER), {twice} FROM two"""
+
+
 def oracle_sql() -> dict[str, str]:
     L = _with(LISTENS)
     counts_as = "ac AS (SELECT artist, state, count(*) AS listens FROM listens GROUP BY ALL)"
@@ -295,7 +335,7 @@ def oracle_sql() -> dict[str, str]:
         "read_listens": L + f"SELECT {RAW_COLS} FROM listens",
         "clean_listens": L + f"SELECT {CLEAN_COLS} FROM listens",
         "read_clean": L + f"SELECT {CLEAN_COLS} FROM listens",
-        "repair_text_compat": docs((0, 2)),
+        "repair_text_compat": _repair_compat_sql(),
         "repair_text_strict": docs((0, 1, 2)),
         "capitalize_sentences": _capitalize_sql(),
         "coerce_numeric": (

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions.numbers import coerce_numeric
-from .functions.text import capitalize_sentences, mis_encode, repair_text
+from .functions.text import capitalize_sentences, mis_encode, repair_columns
 from .operators import counts, kpis, maps, mix, monthly, subscriptions, summaries
 from .operators.clean import clean_listens
 from .plans.topk import by_count
@@ -85,8 +85,8 @@ def _documents_layers(spark: SparkSession, sf_dir: str, layers: tuple[int, ...])
 
 def _repair(mode: str, layers: tuple[int, ...]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        d = _documents_layers(spark, sf_dir, layers)
-        return d.select("doc_id", "layers", repair_text(F.col("garbled"), mode).alias("text"))
+        d = _documents_layers(spark, sf_dir, layers).withColumnRenamed("garbled", "text")
+        return repair_columns(d, ["text"], mode).select("doc_id", "layers", "text")
 
     return run
 
@@ -156,7 +156,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_listens": _read_listens,
     "clean_listens": _clean_listens,
     "read_clean": _read_clean,
-    "repair_text_compat": _repair("compat", (0, 2)),
+    "repair_text_compat": _repair("compat", (0, 1, 2)),
     "repair_text_strict": _repair("strict", (0, 1, 2)),
     "capitalize_sentences": _capitalize,
     "coerce_numeric": _coerce_numeric,

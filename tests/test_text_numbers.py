@@ -158,3 +158,40 @@ def test_py_round_text_matches_python_round(spark):
     got = {r.i: r.t for r in df.select("i", py_round_text("x").alias("t")).collect()}
     bad = [(v, got[i], str(round(v))) for i, v in enumerate(vals) if got[i] != str(round(v))]
     assert not bad, bad[:5]
+
+
+def _compat_rules(s: str) -> str:
+    """The rules of `repair_text(mode="compat")`, byte by byte."""
+
+    def step(x):
+        try:
+            return x.encode("latin-1").decode("utf-8", "replace")
+        except UnicodeEncodeError:
+            return None
+
+    once = step(s)
+    if once is None or once == s or "?" in once:
+        return s
+    twice = step(once)
+    if twice is None:
+        return s
+    return twice if twice != once and "?" not in twice else once
+
+
+def test_repair_compat_of_random_bytes(spark):
+    rnd = random.Random(11)
+    some = [0x41, 0x3F, 0x80, 0x8F, 0x9F, 0xA0, 0xBF, 0xC2, 0xC3, 0xDF, 0xE0, 0xE2, 0xED, 0xF0, 0xF4, 0xFF]
+    texts = ["".join(map(chr, rnd.choices([*some, 0x263A], k=rnd.randint(0, 8)))) for _ in range(3000)]
+    texts += [t.encode().decode("latin-1") for t in texts]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, s string")
+    assert {r.i: r.s for r in repair_columns(df, ["s"], "compat").collect()} == {i: _compat_rules(t) for i, t in enumerate(texts)}
+
+
+def test_capitalize_random_words(spark):
+    rnd = random.Random(12)
+    words = ["".join(rnd.choices("abzABZéÉßǆǅİ1'-", k=rnd.randint(1, 4))) for _ in range(3000)]
+    words += ["".join(rnd.choices("abé1-", k=3)) for _ in range(3000)]  # many pieces without a capital inside a word
+    texts = ["".join(w + rnd.choice([" ", ". ", "\n", "  ", ".", " . "]) for w in rnd.sample(words, rnd.randint(1, 6))) for _ in range(2000)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, s string")
+    want = {i: ". ".join(" ".join(w.capitalize() if w.islower() else w for w in p.split()) for p in t.split(". ")) for i, t in enumerate(texts)}
+    assert {r.i: r.c for r in df.select("i", capitalize_sentences(F.col("s")).alias("c")).collect()} == want
