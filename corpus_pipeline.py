@@ -2,7 +2,8 @@
 
 Each stage is a function (spark, docs, sf_dir) -> DataFrame over all that its predecessor kept. Its result is
 written as Parquet in the shared folder and read again as the next one's docs, so a lost executor costs one stage at most.
-All but the last return the columns of documents; n_chars follows the text. Missing columns stay missing.
+All but the last return the columns of documents, with their own values also where an operator names a column of its result alike; n_chars follows
+the text. Missing columns stay missing. The last one's token_ids and n_tokens replace columns of those names.
 """
 
 from __future__ import annotations
@@ -25,15 +26,22 @@ def _with_sizes(docs: DataFrame, columns: list[str]) -> DataFrame:
     return docs.select(*columns)
 
 
+def _keeping(docs: DataFrame, results: tuple[str, ...], stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """`stage` of `docs`, whose columns named as its `results` are put aside meanwhile."""
+    aside = {c: f"__own_{c}" for c in docs.columns if c in results}
+    out = stage(docs.withColumnsRenamed(aside)).drop(*aside).withColumnsRenamed({v: k for k, v in aside.items()})
+    return out.select(*docs.columns)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity operator doesn't predict to be toxic."""
-    scored = toxicity.learn_and_score(docs, table(spark, sf_dir, "labels"))
-    return scored.filter(F.col("predicted") == 0).select(*docs.columns)
+    labels = table(spark, sf_dir, "labels")
+    return _keeping(docs, ("score", "predicted"), lambda d: toxicity.learn_and_score(d, labels).filter(F.col("predicted") == 0))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that many of them share."""
-    return _with_sizes(line_dedup.dedup_lines(docs), docs.columns)
+    return _with_sizes(_keeping(docs, ("n_lines", "n_dropped"), line_dedup.dedup_lines), docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +51,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: a row for each time that a document is taken, as far as it is taken."""
-    return _with_sizes(mixing.mixed_documents(mixing.mix(docs)), docs.columns)
+    mixed = _keeping(docs, ("size", "source_size", "target", "taken"), lambda d: mixing.mixed_documents(mixing.mix(d)))
+    return _with_sizes(mixed, docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
