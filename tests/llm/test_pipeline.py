@@ -86,3 +86,19 @@ def test_run(spark, sf_small):
     got = registry.QUERIES["pipeline"](spark, sf_small)
     assert got.columns == ["doc_id", "lang", "source", "n_tokens", "token_ids"]
     assert got.count() > 0
+
+
+@pytest.mark.parametrize(("name", "stage"), corpus_pipeline.STAGES)
+def test_edge_and_empty_tables_through_every_stage(spark, sf_small, edge_docs, no_docs, name, stage):
+    own = {"score": F.lit(0.5), "predicted": F.lit(9), "size": F.col("doc_id") * 3, "target": F.lit("own"), "taken": F.lit(1.5), "n_lines": F.lit("x"), "source_size": F.lit(True)}
+    docs = edge_docs.withColumns(own).withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long"))
+    out = stage(spark, docs, sf_small)
+    if name != "BPE encoding":
+        assert out.schema.simpleString() == docs.schema.simpleString()
+        given = {(r.doc_id, r.score, r.predicted, r["size"], r.target, r.taken, r.n_lines, r.source_size) for r in docs.collect()}
+        rows = out.collect()
+        assert rows and {(r.doc_id, r.score, r.predicted, r["size"], r.target, r.taken, r.n_lines, r.source_size) for r in rows} <= given
+        assert all(r.n_chars == len(r.text or "") for r in rows)
+    else:
+        assert out.count() == docs.count()
+    assert stage(spark, docs.limit(0), sf_small).count() == 0 and stage(spark, no_docs, sf_small).count() == 0
