@@ -10,22 +10,23 @@ letter) in all documents. There are at most 28^4 counts, so the model's size is
 
 The classifier learns word and stem features. Of each toxic text, the word before a feature's first place counts, and a
 feature's evidence is the number of different such words: a passage copied into a thousand texts, or a word repeated in one, counts once. Against it
-stands the number of clean texts that hold it. It is fitted on the `FIT_ROWS` labelled rows with the smallest hashes of their ids, and
-keeps the `FEATURES` features with most evidence; both bounds are parameters. A text's evidence is the sum of the log odds of its telling words.
+stands the number of clean texts that hold it. It is fitted on the `FIT_ROWS` labels with the smallest hashes of their ids (a parameter), and
+keeps every feature with `LEAST_EVIDENCE`. A text's evidence is the sum of the log odds of its telling words.
 A logistic curve over the evidence and the number of words, fitted on the same rows with each row left out of the counts that judge it, makes the score, so that
 one odd word in a long text counts less than in a short one.
 
 How it runs: the counts are one pass with a partial sum in each task; the fit passes over the labelled rows
 only; scoring is one `mapInArrow` over the documents without a shuffle.
 
-Defined results: null and empty texts have the base score. Null labels are not learnt from. Repeated labels of one id count as often; ids without a text
-don't. Without labels, or without toxic ones, every score is the base score. Repeated rows have equal scores. An empty table gives
+Defined results: null and empty texts have the base score. Null labels are not learnt from. Repeated labels of one id count once, for one of the texts with that id; ids without a text
+don't count. Without labels, or without toxic ones, every score is the base score. Repeated rows have equal scores. An empty table gives
 an empty result. The columns score and predicted replace those of the same name.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from array import array
 from collections import Counter
@@ -45,7 +46,6 @@ from .common import BoundedCache, hash_sample, held, ship, small, stash
 
 THRESHOLD = 0.7
 FIT_ROWS = 20_000
-FEATURES = 50_000
 #: What a feature's evidence is weighed against; 5 different contexts and no clean text make 0.71.
 DOUBT = 2.0
 LEAST_EVIDENCE = 4
@@ -63,6 +63,15 @@ LEET = {
 }
 #: Channel costs in nats.
 LEET_COST, REPEAT_COST, GAP_COST, BREAK_COST = 0.7, 2.0, 0.3, 3.0
+#: One letter for two, which words have of their own; longer runs have REPEAT_COST.
+DOUBLE_COST = 3.0
+#: A sign between two stretches of letters that is no word's end, and a word's end between letters set apart.
+JOIN_COST, APART_COST = 4.0, 3.0
+#: Any letter for one sign of MASKS between letters.
+MASK_COST = 3.0
+MASKS = "*#"
+#: Nothing to see between two letters.
+INVISIBLE = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 CACHE_WORDS = 100_000
 #: After so many runs of a stretch, what all readings share is settled, so that the texts carried along stay short.
 LATTICE_RUNS = 400
@@ -78,6 +87,8 @@ _APART = re.compile(rf"(?<![^\W_])(?:[a-z{_LEET_CLASS}]{_SEPARATOR}+){{2,}}[a-z{
 _GAP = re.compile(r"\s")
 _RUN = re.compile(r"(.)\1*", re.DOTALL)
 _WORDS = re.compile(rf"{_LETTER}+")
+_WIDE_FORMS = re.compile("[\uff01-\uff5e]")
+_NARROW = {0xFF01 + i: chr(0x21 + i) for i in range(94)}
 
 
 def _symbol_table() -> np.ndarray:
@@ -145,21 +156,48 @@ def _symbol(x: str) -> int:
 
 
 @lru_cache(maxsize=4096)
-def _options(c: str, n: int, inside: bool) -> list[tuple[str, float, tuple[int, ...]]]:
-    """What a run of n (3: or more) times c may stand for: the letters, their channel cost and their symbols."""
+def _options(c: str, n: int, inside: bool, gap: float, end: float) -> list[tuple[str, float, tuple[int, ...]]]:
+    """What a run of n (3: or more) times c may stand for: the letters, their channel cost and their symbols.
+
+    `gap`, `end`: the costs of a separator as nothing and as a word's end.
+    """
     if c.isalpha():
-        out = [[(c, 0.0)], [(c + c, 0.0), (c, REPEAT_COST)], [(c, REPEAT_COST), (c + c, REPEAT_COST)]][n - 1]
+        out = [[(c, 0.0)], [(c + c, 0.0), (c, DOUBLE_COST)], [(c, REPEAT_COST), (c + c, REPEAT_COST)]][n - 1]
     elif c in LEET:
         out = [(x * k, LEET_COST) for k in range(1, min(n, 2) + 1) for x in LEET[c]]
         out.append((" ", BREAK_COST if inside else 0.0))
+    elif c in INVISIBLE:
+        out = [("", 0.0)]
     else:
-        out = [("", GAP_COST), (" ", 0.0)]
+        out = [("", gap), (" ", end)]
+        if c in MASKS and n == 1 and inside:
+            out += [(chr(x), MASK_COST) for x in range(ord("a"), ord("z") + 1)]
     return [(letters, channel, tuple(map(_symbol, letters))) for letters, channel in out]
 
 
 def _slots(stretch: str) -> list[list[tuple[str, float, tuple[int, ...]]]]:
     runs = [m.span() for m in _RUN.finditer(stretch)]
-    return [_options(stretch[i], min(j - i, 3), 0 < i and j < len(stretch)) for i, j in runs]
+    last = len(runs) - 1
+    divides = [not (stretch[i].isalpha() or stretch[i] in LEET or stretch[i] in INVISIBLE) for i, _ in runs]
+    # How many characters stand between separators, at each run; separators of one kind are as wide as the narrowest.
+    sizes, at = [0] * len(runs), 0
+    while at <= last:
+        end = at
+        while end <= last and not divides[end]:
+            end += 1
+        width = runs[end - 1][1] - runs[at][0] if end > at else 0
+        sizes[at:end] = [width] * (end - at)
+        at = max(end, at + 1)
+    narrow = min((j - i for (i, j), d in zip(runs, divides, strict=True) if d), default=0)
+    out = []
+    for k, (i, j) in enumerate(runs):
+        gap, end = GAP_COST, 0.0
+        if divides[k] and 0 < k < last:
+            left, right = sizes[k - 1], sizes[k + 1]
+            gap = JOIN_COST if left > 1 and right > 1 else GAP_COST
+            end = APART_COST if left == right == 1 and j - i <= narrow else 0.0
+        out.append(_options(stretch[i], min(j - i, 3), 0 < i and j < len(stretch), gap, end))
+    return out
 
 
 _END = [(" ", 0.0, (EDGE,))]
@@ -205,7 +243,10 @@ class Restorer:
 
     def restore(self, text: str | None) -> list[str]:
         """The words of a text, lower-cased and restored, in order."""
-        text = (text or "").lower()
+        text = text or ""
+        if _WIDE_FORMS.search(text):
+            text = text.translate(_NARROW)
+        text = text.lower()
         # Letters set apart by white space are one chunk: their gaps become dots.
         text = _APART.sub(lambda m: _GAP.sub(".", m.group()), text)
         return " ".join(map(self.read_chunks.__getitem__, text.split())).split()
@@ -222,6 +263,11 @@ def features(word: str) -> list[str]:
     return [f"{word}$", *(word[:k] for k in (4, 5, 6) if len(word) > k)]
 
 
+def without_marks(word: str) -> str:
+    """`word` without the marks on its letters."""
+    return word if word.isascii() else "".join(c for c in unicodedata.normalize("NFKD", word) if not unicodedata.combining(c))
+
+
 def _restorer(model: bytes) -> Restorer:
     """The restorer that this process keeps."""
     return held(("restorer", zlib.crc32(model)), lambda: Restorer(np.frombuffer(model)))
@@ -240,12 +286,12 @@ class Classifier:
     weights: tuple[float, float, float]
 
     def tells(self, word: str, own: int | None = None) -> float:
-        """The log odds of a word, by itself or the best of its stems; 0.0 if they don't tell.
+        """The log odds of a word, by itself, without marks or the best of its stems; 0.0 if they don't tell.
 
         `own`: the label of a text learnt from, which is left out of the counts.
         """
         best = 0.0
-        for f in features(word):
+        for f in {*features(word), f"{without_marks(word)}$"}:
             if f in self.evidence:
                 toxic, clean = self.evidence[f]
                 best = max(best, chance(toxic - (own == 1), clean - (own == 0)))
@@ -272,18 +318,20 @@ def fit(
     spark = docs.sparkSession
     ship(spark)
     known = labels.select(F.col(id_col).alias("l_id"), F.col(label_col).alias("y"))
-    known = hash_sample(known.filter(F.col("y").isin(0, 1) & ~held_out(F.col("l_id"))), FIT_ROWS, "l_id", "y")
+    known = hash_sample(known.filter(F.col("y").isin(0, 1) & F.col("l_id").isNotNull() & ~held_out(F.col("l_id"))).distinct(), FIT_ROWS, "l_id", "y")
     known = F.broadcast(known)  # an id and a label for at most FIT_ROWS rows
-    rows = docs.select(id_col, text_col).join(known, F.col(id_col) == F.col("l_id")).select("y", text_col)
+    rows = docs.select(id_col, text_col).join(known, F.col(id_col) == F.col("l_id")).select("l_id", "y", text_col)
     shared = spark.sparkContext.broadcast(model.tobytes())
 
     def restore(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r = _restorer(shared.value)
         for b in small(batches):
-            words = [" ".join(r.restore(t.as_py())) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words, pa.string())], names=["y", "words"])
+            words = [" ".join(r.restore(t.as_py())) for t in b.column(2)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(words, pa.string())], names=["l_id", "y", "words"])
 
-    rows = stash(rows.mapInArrow(restore, "y int, words string"), "toxicity-rows")
+    restored = rows.mapInArrow(restore, T.StructType([rows.schema["l_id"], rows.schema["y"], T.StructField("words", T.StringType())]))
+    # One text for each label, however many rows have its id.
+    rows = stash(restored.groupBy("l_id", "y").agg(F.min("words").alias("words")).select(F.col("y").cast("int").alias("y"), "words"), "toxicity-rows")
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
@@ -300,7 +348,7 @@ def fit(
 
     toxic = rows.filter("y = 1").mapInArrow(contexts, "feature string, left long").distinct()
     held = toxic.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_EVIDENCE)
-    held = dict(held.orderBy(F.desc("n"), "feature").limit(FEATURES).collect())
+    held = dict(held.collect())  # of the toxic ones of FIT_ROWS texts
     wanted = spark.sparkContext.broadcast(frozenset(held))
 
     def clean_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,7 +359,7 @@ def fit(
         yield pa.RecordBatch.from_arrays([pa.array([*total], pa.string()), pa.array([*total.values()], pa.int64())], names=["feature", "n"])
 
     clean = rows.filter("y = 0").mapInArrow(clean_texts, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
-    clean = dict(clean.collect())  # at most FEATURES rows
+    clean = dict(clean.collect())  # of the features held
     evidence = {f: (n, clean.get(f, 0)) for f, n in held.items() if chance(n, clean.get(f, 0)) >= TELLING}
     telling = spark.sparkContext.broadcast(Classifier(evidence, (0.0, 0.0, 0.0)))
 
@@ -323,7 +371,7 @@ def fit(
             x = [t.weigh(w, lambda word, own=own: t.tells(word, own)) for w, own in zip(words, y, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.float64()), pa.array(map(len, words), pa.int64())], names=["y", "x", "n"])
 
-    got = rows.mapInArrow(weigh, "y int, x double, n long").toPandas()  # at most FIT_ROWS rows, but for repeated ids
+    got = rows.mapInArrow(weigh, "y int, x double, n long").toPandas()  # at most a row for each label
     got = got.sort_values(["y", "x", "n"])
     return Classifier(evidence, logistic(got["y"].to_numpy(float), got["x"].to_numpy(float), got["n"].to_numpy(float)))
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import os
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -345,6 +347,78 @@ def test_restore_before_and_between_any_signs(restorer, text):
     assert restorer.restore(f"you {text}") == ["you", "idiot"]
 
 
+@pytest.mark.parametrize(
+    ("text", "words"),
+    [
+        ("u s e l e s s", ["useless"]), ("u.s.e.l.e.s.s", ["useless"]), ("u/s/e/l/e/s/s", ["useless"]), ("u_s_e_l_e_s_s", ["useless"]),
+        ("u\u200bs\u200be\u200bl\u200be\u200bs\u200bs", ["useless"]), ("use\u00adless", ["useless"]), ("dog/cool", ["dog", "cool"]),
+        ("id*ot", ["idiot"]), ("m#ron", ["moron"]), ("ｉｄｉｏｔ", ["idiot"]), ("ＩＤ１０Ｔ", ["idiot"]), ("t r a s h  c l o w n", ["trash", "clown"]),
+    ],
+)
+def test_restore_wide_masked_and_set_apart(restorer, text, words):
+    assert restorer.restore(f"you {text} and") == ["you", *words, "and"]
+
+
+def test_marks_on_letters():
+    known = toxicity.Classifier({"idiot$": (30, 0), "gêner$": (9, 0)}, (0.0, 1.0, 0.0))
+    assert known.tells("idiót") == known.tells("idiot") > 0 == known.tells("idióts")
+    assert known.tells("gêner") > 0 == known.tells("gener")
+
+
+def plain_toxicity(rows, labels):
+    """The whole path over {doc_id: text} in plain Python, but for the cheapest readings: scores by doc_id."""
+    reader = toxicity.Restorer(toxicity.costs(brute_costs([*rows.values()]).ravel()))
+    words = {i: reader.restore(t) for i, t in rows.items()}
+    held = lambda i: zlib.crc32(str(i).encode()) % 3 == 1
+    known = {(i, y) for i, y in labels if y in (0, 1) and not held(i) and i in rows}
+    stems = lambda w: {w + "$"} | {w[:k] for k in (4, 5, 6) if len(w) > k}
+    contexts, clean = defaultdict(set), Counter()
+    for i, y in known:
+        seen = set()
+        for k, w in enumerate(words[i]):
+            new = stems(w) - seen
+            seen |= new
+            for f in new if y else ():
+                contexts[f].add(words[i][k - 1] if k else "")
+        clean.update(() if y else seen)
+    evidence = {f: (len(c), clean[f]) for f, c in contexts.items() if len(c) >= 4 and len(c) / (len(c) + clean[f] + 2) >= 0.6}
+
+    def weigh(ws, own=None):
+        total = []
+        for w in set(ws):
+            odds = [(t - (own == 1)) / (t - (own == 1) + c - (own == 0) + 2) for t, c in (evidence[f] for f in stems(w) | {toxicity.without_marks(w) + "$"} if f in evidence)]
+            total.append(math.log(max(odds) / (1 - max(odds))) if odds and max(odds) >= 0.6 else 0.0)
+        return math.fsum(total)
+
+    data = [(y, 1.0, weigh(words[i], y), math.log(1 + len(words[i]))) for i, y in sorted(known)]
+    w = np.zeros(3)
+    x, y = np.array([r[1:] for r in data]), np.array([r[0] for r in data], float)
+    for _ in range(3000):  # Newton's method in small steps
+        p = 1 / (1 + np.exp(-x @ w))
+        slope = x.T @ (y - p) - np.array([1e-3, 1e-2, 1e-2]) * w
+        w += 0.2 * np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag([1e-3, 1e-2, 1e-2]), slope)
+    return {i: 1 / (1 + math.exp(-(w @ [1.0, weigh(ws), math.log(1 + len(ws))]))) for i, ws in words.items()}
+
+
+def test_toxicity_against_plain_python(spark, sf_small):
+    rows = {r.doc_id: r.text for r in table(spark, sf_small, "documents").collect()}
+    labels = [(r.doc_id, r.toxic) for r in table(spark, sf_small, "labels").collect()]
+    want = plain_toxicity(rows, labels)
+    got = registry.QUERIES["op10_toxicity"](spark, sf_small).collect()
+    assert {r.doc_id for r in got} == set(want)
+    for r in got:
+        assert r.score == pytest.approx(want[r.doc_id], abs=1e-6) and r.predicted == int(r.score >= 0.7)
+
+
+def test_repeated_rows_of_a_label_count_once(spark, sf_small):
+    docs, labels = table(spark, sf_small, "documents").select("doc_id", "text"), table(spark, sf_small, "labels")
+    model = toxicity.language_model(docs)
+    once = toxicity.fit(docs, labels, model)
+    label = labels.filter("toxic = 1").select("doc_id").first()[0]
+    more = docs.unionByName(docs.filter(F.col("doc_id") == label).crossJoin(spark.range(50)).drop("id"))
+    assert toxicity.fit(more, labels.unionByName(labels), model) == once
+
+
 def test_gates_take_linear_time(restorer):
     for text in ("$ " * 50_000 + "ab", "1" * 200_000, "a" + "." * 200_000 + "1", "i d " * 50 + "ii"):
         assert isinstance(restorer.restore(text), list)
