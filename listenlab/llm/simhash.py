@@ -15,8 +15,9 @@ neighbours, points of even sum only into their own. Whoever meets in a cell is c
 distance of the whole point first and by the exact fingerprints then.
 
 How it runs: equal fingerprints are one point (a group of exact copies is summed before the shuffle). A point looks into
-about 26 cells. Cells with a single visitor, or that are no visitor's own, go in the JVM. Cells with over `HOT_CELL` visitors are cut again: of four 16-bit
-blocks, two fingerprints within 3 bits agree in one, so their visitors meet by block value, and no link is lost. In a cell, a search that takes linked
+about 26 cells. Cells with a single visitor, or that are no visitor's own, go in the JVM. Cells with over `HOT_CELL` visitors are cut again, and as long as it takes: of four
+quarters of the bits, two fingerprints within 3 bits agree in one, so their visitors meet by its value, and no link is lost. A group where all but `FREE_BITS` bits agree
+is small by itself, so no group is larger than 4096. In a cell, a search that takes linked
 points out of the candidates writes a spanning forest, not all pairs. Groups are then found by `graph.components`.
 
 Defined results: a null text is an empty text. Rows of equal id are rows of their own and have the same id in results. A null id belongs to a
@@ -27,6 +28,7 @@ fingerprint and component_id replace those of the same name; other columns pass.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +45,9 @@ SHINGLE = 3
 MAX_BITS = 3
 HASH_SEED = 42
 HOT_CELL = 4096
+#: With so few bits free, a group can hold no more than 4096 fingerprints.
+FREE_BITS = 12
+GROUP = ("half", "cell", "mask", "value")
 #: Hashes whose bits are counted at once, so that the longest text needs no more memory.
 COUNT_BLOCK = 1 << 15
 LOW_BITS = 0x5555555555555555
@@ -145,23 +150,50 @@ def spanning_links(fps: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     return links
 
 
+def _parts(mask: int) -> list[int]:
+    """`mask` with each quarter of its free bits."""
+    free = [b for b in range(64) if not mask >> b & 1]
+    cuts = [len(free) * k // 4 for k in range(5)]
+    return [mask | sum(1 << b for b in free[i:j]) for i, j in zip(cuts, cuts[1:], strict=False)]
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def _bounded(rows: DataFrame) -> DataFrame:
+    """Groups (half, cell, mask, value) of `rows` (with their size n), those of more than `HOT_CELL` fingerprints cut until none is, or few bits are free.
+
+    All in a group agree in the bits of its mask. Two that differ in 3 bits at most agree in one quarter of the others, where they meet again.
+    """
+    spark, done, masks = rows.sparkSession, [], [0]
+    while True:
+        done.append(rows.filter(F.col("n") <= HOT_CELL))
+        hot = rows.filter(F.col("n") > HOT_CELL)
+        if 64 - masks[0].bit_count() <= FREE_BITS or hot.isEmpty():
+            done.append(hot)
+            break
+        cut = [(_signed(m), _signed(part)) for m in masks for part in _parts(m)]
+        parts = F.broadcast(spark.createDataFrame(cut, "mask long, part long"))  # 4 times as many as before, at most 4 ^ 6
+        hot = hot.join(parts, "mask").select("half", "cell", F.col("part").alias("mask"), F.col("fp").bitwiseAND(F.col("part")).alias("value"), "fp")
+        hot = stash(hot, "fingerprint-cut")
+        sizes = hot.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        rows = hot.join(sizes, list(GROUP))
+        masks = [part for m in masks for part in _parts(m)]
+    return reduce(DataFrame.unionByName, done)
+
+
 def linked(points: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(a, b) pairs of fingerprints that connect all within `max_bits`, at most 3; `points` has fp, each once."""
     if not 0 <= max_bits <= 3:
         raise ValueError("max_bits: two halves with radius 1 cover 3 bits")
     ship(points.sparkSession)
-    here = W.partitionBy("half", "cell")
-    met = cells(points).withColumn("n", F.count(F.lit(1)).over(here)).withColumn("home", F.min("nth").over(here) == 0)
-    # Points within distance 1 meet in the own cell of one of them.
-    met = stash(met.filter((F.col("n") > 1) & F.col("home")).select("half", "cell", "fp", "n"), "fingerprint-cells")
-    blocks = F.array(
-        *(F.struct(F.lit(i).alias("block"), F.shiftrightunsigned("fp", 16 * i).bitwiseAND(F.lit(0xFFFF)).alias("value")) for i in range(4))
-    )
-    whole = met.filter(F.col("n") <= HOT_CELL).select("half", "cell", F.lit(-1).alias("block"), F.lit(0).cast("long").alias("value"), "fp")
-    hot = met.filter(F.col("n") > HOT_CELL).select("half", "cell", F.inline(blocks), "fp")
-    met = whole.unionByName(hot)
-    key = ["half", "cell", "block", "value"]
-    met = met.select(*key, "fp").repartition(*key).sortWithinPartitions(*key, "fp")
+    met = cells(points)
+    # Points within distance 1 meet in the own cell of one of them. Sums by cell are partial in each task, then joined.
+    used = met.groupBy("half", "cell").agg(F.count(F.lit(1)).alias("n"), F.min("nth").alias("least")).filter("n > 1 and least = 0")
+    met = stash(met.join(used.drop("least"), ["half", "cell"]).select("half", "cell", "fp", "n"), "fingerprint-cells")
+    met = _bounded(met.withColumns({"mask": F.lit(0).cast("long"), "value": F.lit(0).cast("long")}))
+    met = met.select(*GROUP, "fp").repartition(*GROUP).sortWithinPartitions(*GROUP, "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None

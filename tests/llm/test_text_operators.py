@@ -174,6 +174,38 @@ def test_links_of_clustered_fingerprints(spark, monkeypatch, hot):
     assert {signed(f): found.get(signed(f), signed(f)) for f in fps} == {signed(f): min(smallest[g]) for f, g in groups.items()}
 
 
+def test_groups_of_near_fingerprints_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "HOT_CELL", 20)
+    # All share 52 bits and most of their cells.
+    fps = [0x5A5A5A5A5A5A5000 | i for i in range(0, 4096, 5)]
+    points = spark.createDataFrame([(f,) for f in fps], "fp long")
+    met = simhash.cells(points)
+    n = met.groupBy("half", "cell").agg(F.count(F.lit(1)).alias("n"))
+    rows = met.join(n, ["half", "cell"]).select("half", "cell", "fp", "n").withColumns({"mask": F.lit(0).cast("long"), "value": F.lit(0).cast("long")})
+    sizes = simhash._bounded(rows).groupBy(*simhash.GROUP).agg(F.countDistinct("fp").alias("n"), F.first("mask").alias("m")).collect()
+    assert max(r.n for r in sizes) <= 20 or all(r.n <= 20 or bin(r.m & (1 << 64) - 1).count("1") >= 64 - simhash.FREE_BITS for r in sizes)
+    links = {(r.a, r.b) for r in simhash.linked(points).collect()}
+    assert all((a ^ b).bit_count() <= 3 for a, b in links)
+    groups, found = brute_groups(fps), brute_groups_of(fps, links)
+    assert len({*groups.values()}) == len({*found.values()}) and all((groups[a] == groups[b]) == (found[a] == found[b]) for a, b in zip(fps, fps[1:], strict=False))
+    for mask in (0, *simhash._parts(0)):
+        parts = simhash._parts(mask)
+        assert all(p & mask == mask for p in parts) and parts[0] | parts[1] | parts[2] | parts[3] == (1 << 64) - 1
+
+
+def brute_groups_of(fps, links):
+    parent = {f: f for f in fps}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        parent[find(a)] = find(b)
+    return {f: find(f) for f in fps}
+
+
 def test_near_duplicates(spark, sf_small, edge_docs, no_docs):
     near = table(spark, sf_small, "documents").select("doc_id", "text")
     near = near.unionByName(near.filter("doc_id % 3 = 0").select((F.col("doc_id") + 1000).alias("doc_id"), F.concat("text", F.lit(" end")).alias("text")))
