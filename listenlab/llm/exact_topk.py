@@ -213,7 +213,8 @@ def _placed(rows: DataFrame, k: int) -> DataFrame:
     rows = stash(rows.mapInArrow(place, "vec_id long, vec array<double>, is_query boolean, dim int, cell int"), "topk-placed")
     count = rows.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_query").alias("q"))
     count = count.select("dim", "cell", F.ceil(F.col("n") / SHARD_ROWS).alias("parts"), F.greatest(F.ceil(F.col("q") / QUERY_ROWS), F.lit(1)).alias("blocks"))
-    return rows.join(count, ["dim", "cell"])
+    # Written, so that its size is known when the rows are joined to it: a small table then goes to the rows.
+    return rows.join(stash(count, "topk-cells"), ["dim", "cell"])
 
 
 @dataclass
@@ -245,10 +246,13 @@ def build(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
         return _table(row | {"norm": [float(np.sqrt((vecs**2).sum(axis=1).max()))], "queries": [pickle.dumps((vecs, ids))]}, BLOCK)
 
     dealt = placed.withColumn("part", by_hash(0, "parts"))
-    shards = stash(dealt.select("dim", "cell", "part", "vec_id", "vec").groupBy("dim", "cell", "part").applyInArrow(shard, SHARD), "topk-shards")
+    # Dealt by part, so that a cell of many parts is not one task.
+    dealt = dealt.select("dim", "cell", "part", "vec_id", "vec").repartition("dim", "cell", "part")
+    shards = stash(dealt.groupBy("dim", "cell", "part").applyInArrow(shard, SHARD), "topk-shards")
     asked = placed.filter("is_query").withColumn("block", by_hash(1, "blocks")).withColumn("home", (F.col("block") % F.col("parts")).cast("int"))
     # A small part may have got no row; then the block starts from any bound.
-    blocks = stash(asked.select("dim", "cell", "block", "home", "vec_id", "vec").groupBy("dim", "cell", "block", "home").applyInArrow(block, BLOCK), "topk-blocks")
+    asked = asked.select("dim", "cell", "block", "home", "vec_id", "vec").repartition("dim", "cell", "block", "home")
+    blocks = stash(asked.groupBy("dim", "cell", "block", "home").applyInArrow(block, BLOCK), "topk-blocks")
     return Index(shards, blocks)
 
 
