@@ -39,9 +39,9 @@ from pyspark.sql import types as T
 
 from .common import held, portions, ship, small
 
-CACHE_MATCHES = 200_000
-KNOWN_PAIRS = 1_000_000
-PORTION = 2_000_000
+CACHE_MATCHES = 100_000
+KNOWN_PAIRS = 400_000
+PORTION = 1_000_000
 #: Longer matches are encoded one by one, and not kept.
 TABLE_BYTES = 64
 IDS = np.dtype("<u4")
@@ -107,7 +107,7 @@ class IntMap:
         if 2 * (self.n + len(keys)) > len(self.keys):
             old = self.keys != -1
             keys, values = np.concatenate([self.keys[old], keys]), np.concatenate([self.values[old], values])
-            self.__init__((2 * len(keys)).bit_length() + 1)
+            self.__init__((2 * len(keys)).bit_length())
         self.n += len(keys)
         at = self._home(keys)
         while len(keys):
