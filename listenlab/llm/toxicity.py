@@ -87,6 +87,7 @@ _APART = re.compile(rf"(?<![^\W_])(?:[a-z{_LEET_CLASS}]{_SEPARATOR}+){{2,}}[a-z{
 _GAP = re.compile(r"\s")
 _RUN = re.compile(r"(.)\1*", re.DOTALL)
 _WORDS = re.compile(rf"{_LETTER}+")
+_UNDIVIDED = re.compile(rf"(?:{_LETTER}|[{_LEET_CLASS}])*").fullmatch
 _WIDE_FORMS = re.compile("[\uff01-\uff5e]")
 _NARROW = {0xFF01 + i: chr(0x21 + i) for i in range(94)}
 
@@ -156,7 +157,7 @@ def _symbol(x: str) -> int:
 
 
 @lru_cache(maxsize=4096)
-def _options(c: str, n: int, inside: bool, gap: float, end: float) -> list[tuple[str, float, tuple[int, ...]]]:
+def _options(c: str, n: int, inside: bool, gap: float = GAP_COST, end: float = 0.0) -> list[tuple[str, float, tuple[int, ...]]]:
     """What a run of n (3: or more) times c may stand for: the letters, their channel cost and their symbols.
 
     `gap`, `end`: the costs of a separator as nothing and as a word's end.
@@ -177,6 +178,8 @@ def _options(c: str, n: int, inside: bool, gap: float, end: float) -> list[tuple
 
 def _slots(stretch: str) -> list[list[tuple[str, float, tuple[int, ...]]]]:
     runs = [m.span() for m in _RUN.finditer(stretch)]
+    if _UNDIVIDED(stretch, 1, len(stretch) - 1):
+        return [_options(stretch[i], min(j - i, 3), 0 < i and j < len(stretch)) for i, j in runs]
     last = len(runs) - 1
     divides = [not (stretch[i].isalpha() or stretch[i] in LEET or stretch[i] in INVISIBLE) for i, _ in runs]
     # How many characters stand between separators, at each run; separators of one kind are as wide as the narrowest.
@@ -244,7 +247,7 @@ class Restorer:
     def restore(self, text: str | None) -> list[str]:
         """The words of a text, lower-cased and restored, in order."""
         text = text or ""
-        if _WIDE_FORMS.search(text):
+        if not text.isascii() and _WIDE_FORMS.search(text):
             text = text.translate(_NARROW)
         text = text.lower()
         # Letters set apart by white space are one chunk: their gaps become dots.
@@ -291,7 +294,8 @@ class Classifier:
         `own`: the label of a text learnt from, which is left out of the counts.
         """
         best = 0.0
-        for f in {*features(word), f"{without_marks(word)}$"}:
+        own_features = features(word) if word.isascii() else {*features(word), f"{without_marks(word)}$"}
+        for f in own_features:
             if f in self.evidence:
                 toxic, clean = self.evidence[f]
                 best = max(best, chance(toxic - (own == 1), clean - (own == 0)))
