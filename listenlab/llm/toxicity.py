@@ -32,7 +32,7 @@ from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from math import exp, log
 from os.path import commonprefix
 
@@ -84,10 +84,17 @@ _SUSPICIOUS = re.compile(rf"[{_LEET_CLASS}]|({_LETTER})\1|{_LETTER}[\W\d_]+{_LET
 _SEPARATOR = rf"(?:[^\w{_LEET_CLASS}]|_)"
 #: Single characters set apart, between any characters but letters and digits.
 _APART = re.compile(rf"(?<![^\W_])(?:[a-z{_LEET_CLASS}]{_SEPARATOR}+){{2,}}[a-z{_LEET_CLASS}](?![^\W_])")
+#: Where that may begin; told from a blank before the text. It starts with a class of few characters, so it passes over words fast.
+_MAY_APART = re.compile(rf"[\W_][a-z{_LEET_CLASS}]{_SEPARATOR}+[a-z{_LEET_CLASS}]{_SEPARATOR}+[a-z{_LEET_CLASS}]")
 _GAP = re.compile(r"\s")
 _RUN = re.compile(r"(.)\1*", re.DOTALL)
 _WORDS = re.compile(rf"{_LETTER}+")
 _UNDIVIDED = re.compile(rf"(?:{_LETTER}|[{_LEET_CLASS}])*").fullmatch
+#: Letters that stand for themselves; and a stretch from a letter to a letter with nothing between but letters and leet characters.
+_PLAIN = re.compile(r"(?:([a-z])(?!\1))*").fullmatch
+_WHOLE = re.compile(rf"{_LETTER}(?:(?:{_LETTER}|[{_LEET_CLASS}])*{_LETTER})?").fullmatch
+#: Signs that end a word and change no reading beside a letter.
+_OUTER = ",.;:?'\"-)[]{}<>=~%&_"
 _WIDE_FORMS = re.compile("[\uff01-\uff5e]")
 _NARROW = {0xFF01 + i: chr(0x21 + i) for i in range(94)}
 
@@ -212,6 +219,7 @@ class Restorer:
     def __init__(self, model: np.ndarray):
         self.cost = array("d", model)
         self.read_chunks = BoundedCache(self._read_chunk, CACHE_WORDS)
+        self.read_whole = BoundedCache(self.read, CACHE_WORDS)
 
     @staticmethod
     def lattice(stretch: str) -> list[list[tuple[str, float]]]:
@@ -225,7 +233,17 @@ class Restorer:
         settled = []
         for i, options in enumerate([*_slots(stretch), _END], 1):
             after: dict[int, tuple[float, str]] = {}
-            for context, (spent, text) in states.items():
+            if len(options) == 1 and options is not _END and len(options[0][2]) == 1:
+                # Nothing to choose: one letter, without channel costs.
+                letters, _, (symbol,) = options[0]
+                for context, (spent, text) in states.items():
+                    at = context * SYMBOLS + symbol
+                    total = spent + cost[at]
+                    at %= CONTEXTS
+                    if at not in after or total < after[at][0]:
+                        after[at] = (total, text + letters)
+                options = ()
+            for context, (spent, text) in states.items() if options else ():
                 for letters, channel, symbols in options:
                     at, total = context, spent + channel
                     for symbol in symbols:
@@ -251,10 +269,16 @@ class Restorer:
             text = text.translate(_NARROW)
         text = text.lower()
         # Letters set apart by white space are one chunk: their gaps become dots.
-        text = _APART.sub(lambda m: _GAP.sub(".", m.group()), text)
+        if _MAY_APART.search(f" {text}"):
+            text = _APART.sub(lambda m: _GAP.sub(".", m.group()), text)
         return " ".join(map(self.read_chunks.__getitem__, text.split())).split()
 
     def _read_chunk(self, chunk: str) -> str:
+        inner = chunk.strip(_OUTER)
+        if _PLAIN(inner):
+            return inner
+        if _WHOLE(inner):
+            return self.read_whole[inner] if _SUSPICIOUS.search(inner) else inner
         words = _WORDS.findall(chunk)
         if not words or not _SUSPICIOUS.search(chunk):
             return " ".join(words)
@@ -301,9 +325,15 @@ class Classifier:
                 best = max(best, chance(toxic - (own == 1), clean - (own == 0)))
         return log(best / (1 - best)) if best >= TELLING else 0.0
 
+    @cached_property
+    def heads(self) -> frozenset[str]:
+        """The first four letters of every telling feature; no other word tells, but for marks on its letters."""
+        return frozenset(f.removesuffix("$")[:4] for f in self.evidence)
+
     def weigh(self, words: list[str], tells: Callable[[str], float]) -> float:
         """The evidence of the different words of a text, summed in order of size, so that it is alike in every run."""
-        return sum(sorted(map(tells, set(words))))
+        heads = self.heads
+        return sum(sorted(tells(w) for w in set(words) if w[:4] in heads or not w.isascii()))
 
     def score(self, words: list[str], tells: Callable[[str], float]) -> float:
         a, b, c = self.weights
