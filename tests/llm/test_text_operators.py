@@ -462,6 +462,31 @@ def test_long_stretches_are_read_whole(restorer):
         assert restorer.restore(f"{text}")[-400:] == ["idiot"] * 400
 
 
+def test_shortcuts_read_as_the_lattice(restorer):
+    rng = random.Random(7)
+    for _ in range(5_000):
+        chunk = "".join(rng.choice("abeidotsñé..,-'\"*#!$013@_()2\u200b") for _ in range(rng.randint(1, 14)))
+        words = re.findall(r"[^\W\d_]+", chunk)
+        if words and toxicity._SUSPICIOUS.search(chunk):
+            words = restorer.read(chunk).split()
+        assert restorer._read_chunk(chunk).split() == words
+
+
+def test_letters_set_apart_are_never_passed_over():
+    rng = random.Random(8)
+    for _ in range(20_000):
+        text = "".join(rng.choice("ab1$é  ..,_*\n\u200b") for _ in range(rng.randint(1, 16)))
+        assert not toxicity._APART.search(text) or toxicity._MAY_APART.search(f" {text}")
+
+
+def test_only_words_that_cannot_tell_are_left_out():
+    judge = toxicity.Classifier({"idiot$": (9, 1), "stup": (9, 1), "é$": (8, 0), "idi$": (7, 0), "abcde": (8, 1)}, (-3.0, 1.0, 0.1))
+    rng = random.Random(9)
+    for _ in range(5_000):
+        words = ["".join(rng.choice("abcdeistupoé") for _ in range(rng.randint(1, 4))) + rng.choice(["", "idiot", "stupid", "ídi"]) for _ in range(6)]
+        assert judge.weigh(words, judge.tells) == sum(sorted(map(judge.tells, set(words))))
+
+
 def test_viterbi_finds_the_cheapest_reading(restorer):
     def cost(reading):
         total, at = 0.0, 0
