@@ -26,6 +26,42 @@ def test_json_round_trip(spark, sf_small, tmp_path):
     assert _rows(back) == _rows(events)
 
 
+def _events(n):
+    """Events with nulls, quotes, line breaks and other scripts, each third one twice."""
+    rows = []
+    for i in range(n):
+        text = [None, "", 'a "b" \\ c', "line\nbreak", "café 東京 \U0001f600", f"song {i * 7919 % 10007}"][i % 6]
+        number = None if i % 5 == 0 else i
+        row = (number, text, "x", "F", text, text, i / 7, i, i % 9, "Logged In", "free", text, None, "00123", 1.5, -2.5, number, "agent", number)
+        rows += [row] * (2 if i % 3 == 0 else 1)
+    return rows
+
+
+def test_events_are_written_compressed_and_read_back_whole(spark, tmp_path):
+    rows = _events(3_000)
+    events = spark.createDataFrame(rows, L.LISTEN_SCHEMA).repartition(2)
+    plain, path = str(tmp_path / "plain"), str(tmp_path / "events")
+    events.write.json(plain)
+    files.write_listens(events, path)
+
+    def size(d):
+        return sum(os.path.getsize(os.path.join(d, f)) for f in os.listdir(d) if f.startswith("part-"))
+
+    assert size(path) * 3 < size(plain)
+    assert _rows(files.read_listens(spark, path)) == Counter(rows)
+    assert _rows(files.read_listens(spark, path, exact_types=True)) == Counter(rows)
+    assert files.rejected(files.read_raw_listens(spark, path)).collect() == []
+
+
+def test_no_event_file_holds_more_than_its_share(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "EVENTS_PER_FILE", 100, raising=False)
+    rows, path = _events(600), str(tmp_path / "events")
+    files.write_listens(spark.createDataFrame(rows, L.LISTEN_SCHEMA).coalesce(1), path)
+    per_file = [r["count"] for r in files.read_listens(spark, path).groupBy(F.input_file_name()).count().collect()]
+    assert sum(per_file) == len(rows) and max(per_file) <= 100
+    assert _rows(files.read_listens(spark, path)) == Counter(rows)
+
+
 def test_clean_parquet_round_trip(spark, sf_small, tmp_path):
     clean = L.clean_listens(listen_events(spark, sf_small))
     path = str(tmp_path / "clean")
