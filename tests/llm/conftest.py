@@ -7,6 +7,9 @@ import pytest
 
 sys.path[:0] = [os.path.dirname(os.path.abspath(__file__)), os.path.dirname(os.path.dirname(os.path.abspath(__file__)))]
 
+#: As in the conftest above: when the whole suite is collected, `conftest` is this module for the tests there too.
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 LONG = "lorem ipsum dolor sit amet " * 20_000
 
 
